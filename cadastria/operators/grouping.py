@@ -69,17 +69,13 @@ def dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
 def quantile_class(df: DataFrame, value: str, tie: list[str], classes: int,
                    name: str) -> DataFrame:
     """Equal-frequency class 0..k-1 on first-come ranks; fewer classes if values are few."""
-    size = df.agg(F.count("*").alias("_n"), F.count_distinct(value).alias("_d"))
-    k = F.least(F.lit(classes), F.col("_d"))
+    rows = df.select(F.count("*")).scalar()
+    values = df.select(F.count_distinct(value)).scalar()
     ranked = global_row_number(df, [F.col(value), *[F.col(t) for t in tie]], "_r")
-    spread = (F.col("_r") - 1) * k / (F.col("_n") - 1).cast("double")
-    return (
-        ranked.crossJoin(F.broadcast(size))  # a single row of two counts
-        .withColumn("_k", k)
-        .withColumn(name, F.when(F.col("_k") < 2, 0).otherwise(
-            F.greatest(F.ceil(spread) - 1, F.lit(0))).cast("int"))
-        .drop("_r", "_n", "_d")
-    )
+    sized = ranked.withColumn("_k", F.least(F.lit(classes), values)).withColumn("_n", rows)
+    spread = (F.col("_r") - 1) * F.col("_k") / (F.col("_n") - 1).cast("double")
+    return sized.withColumn(name, F.when(F.col("_k") < 2, 0).otherwise(
+        F.greatest(F.ceil(spread) - 1, F.lit(0))).cast("int")).drop("_r", "_n")
 
 
 def colour_by_price(df: DataFrame, value: str = "prix_m2_median",

@@ -44,11 +44,10 @@ def training_set(fact: DataFrame, places: DataFrame) -> DataFrame:
 
 def temporal_split(df: DataFrame, year: str = "annee") -> DataFrame:
     """'test' is the last year, 'valid' the one before, 'train' everything older."""
-    last = df.agg(F.max(year).alias("_last"))
-    y = F.col(year)
-    return df.join(F.broadcast(last)).withColumn(  # one row, one number
-        "part", F.when(y == F.col("_last"), "test").when(y == F.col("_last") - 1, "valid")
-        .otherwise("train")).drop("_last")
+    last = df.select(F.max(year)).scalar()
+    behind = last - F.col(year)
+    return df.withColumn(
+        "part", F.when(behind == 0, "test").when(behind == 1, "valid").otherwise("train"))
 
 
 # ---- baseline ----------------------------------------------------------------------------
@@ -62,16 +61,13 @@ def baseline(train: DataFrame, other: DataFrame, target: str = "prix_m2") -> Dat
         return broadcast_if_small(found.withColumnRenamed("_m", name))
 
     by_place, by_dep = ["code_commune", "type_bien"], ["code_departement", "type_bien"]
-    overall = medians(["_all"], "_global") if "_all" in train.columns else broadcast_if_small(
-        exact_quantiles(train.withColumn("_all", F.lit(1)), ["_all"], price, bounded=True)
-        .withColumnRenamed("_m", "_global"))
+    everything = exact_quantiles(train.withColumn("_all", F.lit(1)), ["_all"], price, bounded=True)
+    overall = everything.select("_m").scalar()
     return (
-        other.withColumn("_all", F.lit(1))
-        .join(medians(by_place, "_place"), by_place, "left")
+        other.join(medians(by_place, "_place"), by_place, "left")
         .join(medians(by_dep, "_dep"), by_dep, "left")
-        .join(overall, "_all", "left")
-        .withColumn("prediction_baseline", F.coalesce("_place", "_dep", "_global"))
-        .drop("_all", "_place", "_dep", "_global")
+        .withColumn("prediction_baseline", F.coalesce("_place", "_dep", overall))
+        .drop("_place", "_dep")
     )
 
 
