@@ -55,7 +55,7 @@ def star_of(w: Warehouse, gaps: bool = True) -> Star:
     return Star(w.fact(), w.calendar(), w.places(), w.segments(), w.gaps() if gaps else None)
 
 
-# ---- the first slice: lines to yearly medians, nothing written in between -----------------
+# ---- the first slice: raw lines to yearly medians ----------------------------------------
 
 @query("median_price_year_department")
 def median_price_year_department(w: Warehouse) -> DataFrame:
@@ -70,7 +70,7 @@ def median_price_year_department(w: Warehouse) -> DataFrame:
 
 @query("safe_typing")
 def safe_typing(w: Warehouse) -> DataFrame:
-    return w.lines()
+    return w.typed_sale_lines()
 
 
 @query("distinct_units")
@@ -392,12 +392,14 @@ def kpis(w: Warehouse) -> DataFrame:
     return tidy(extract.headline(_prices(w), ["annee", "type_bien"]))
 
 
-PIVOT_PLACES = ["100", "101", "102", "110", "120"]
+PIVOT_PLACES = {"100": "NATION_0", "101": "NATION_1", "106": "NATION_6", "114": "NATION_14",
+                "115": "NATION_15"}
 
 
 @query("pivot_year_place")
 def pivot_year_place(w: Warehouse) -> DataFrame:
-    return tidy(extract.yearly_pivot(_prices(w), PIVOT_PLACES, K.FLAT))
+    return tidy(extract.yearly_pivot(
+        _prices(w), list(PIVOT_PLACES), K.FLAT, list(PIVOT_PLACES.values())))
 
 
 @query("pivot_band_zone")
@@ -411,9 +413,7 @@ def _table_checks(name: str) -> Callable[[Warehouse], DataFrame]:
     return lambda w: checks.check_table(w, name)
 
 
-CHECKED = ["lines", "sales", "proximity", "fact", "places", "calendar", "segments", "predictions",
-           "gaps", "band_evolution", "departments"]
-for _t in CHECKED:
+for _t in checks.TABLES:
     query(f"dq_table_{_t}")(_table_checks(_t))
 
 

@@ -1,11 +1,12 @@
 """From source lines to one row per sale.
 
 The price is repeated on every line of a sale, units are repeated per land use, and communes may
-differ between lines. Each distinct line is turned into one row per fact it states (unit, parcel,
-price, commune, name, postcode, department); one aggregation removes the repetition inside a sale
-and a second one folds the sale. Three shuffles in all. The first two hash on the whole content, so
-neither a sale with a third of all lines nor a block of exact copies lands in one task, and the
-last one moves partial aggregates only.
+differ between lines, so each fact about a sale is aggregated at its own grain and the results are
+joined on the sale: units, parcels, prices, and the distinct lines themselves. Every branch reads
+only its columns and aggregates before it shuffles. The first shuffle of a branch hashes on more
+than the sale, so neither a sale with a third of all lines nor a block of exact copies lands in one
+task; the second one moves partial aggregates only. All branches end up hashed on the sale, and the
+joins need no further shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from cadastria.functions import columns as C
 from cadastria.functions import constants as K
-from cadastria.operators.grouping import frequency_order
+
+_LAST = "\uffff"  # sorts after any code or name
 
 LINE_COLUMNS = [
     "id_mutation", "date_mutation", "valeur_fonciere", "code_postal", "code_commune",
@@ -57,86 +59,58 @@ def unit_totals(units: DataFrame) -> DataFrame:
 
 def land_totals(lines: DataFrame) -> DataFrame:
     """Largest land surface per parcel, summed over the parcels of the sale."""
+    return parcel_totals(lines).select("id_mutation", "surface_terrain")
+
+
+def parcel_totals(lines: DataFrame) -> DataFrame:
     per_parcel = lines.groupBy("id_mutation", "id_parcelle").agg(
         F.max("surface_terrain").alias("surface_parcelle"))
     return per_parcel.groupBy("id_mutation").agg(
+        F.count("id_parcelle").alias("nb_parcelles"),
         C.exact_sum("surface_parcelle").alias("surface_terrain"))
 
 
-def _statement(kind: str, when: Column | None = None, **fields: Column) -> Column:
-    shape = {
-        "text": "string", "unit": "string", "surface": "double", "rooms": "bigint",
-        "price": "double", "land": "double", "day": "date", "lots": "bigint",
-        "lon": "decimal(18,8)", "lat": "decimal(18,8)",
-    }
-    body = F.struct(F.lit(kind).alias("kind"), *[
-        fields.get(f, F.lit(None)).cast(t).alias(f) for f, t in shape.items()
-    ])
-    return body if when is None else F.when(when, body)
+def price_totals(lines: DataFrame) -> DataFrame:
+    """A repeated price counts once: the largest is the price of the sale."""
+    per_price = lines.select("id_mutation", "valeur_fonciere").distinct()
+    return per_price.groupBy("id_mutation").agg(
+        F.max("valeur_fonciere").alias("valeur_fonciere"),
+        F.count("valeur_fonciere").alias("nb_valeurs_distinctes"))
 
 
-def sale_grain(lines: DataFrame) -> DataFrame:
-    c = F.col
-    statements = F.array_compact(F.array(
-        _statement("unit", c("type_local").isNotNull(), text=c("id_parcelle"),
-                   unit=c("type_local"), surface=c("surface_reelle_bati"),
-                   rooms=c("nombre_pieces")),
-        _statement("parcel", text=c("id_parcelle"), land=c("surface_terrain"),
-                   day=c("date_mutation"), lots=c("nombre_lots"), lon=c("longitude"),
-                   lat=c("latitude")),
-        _statement("price", price=c("valeur_fonciere")),
-        _statement("commune", text=c("code_commune")),
-        _statement("name", text=c("nom_commune")),
-        _statement("postcode", text=c("code_postal")),
-        _statement("department", text=c("code_departement")),
-    ))
-    stated = (
-        distinct_lines(lines)
-        .select("id_mutation", F.explode(statements).alias("s")).select("id_mutation", "s.*")
-        .groupBy("id_mutation", "kind", "text", "unit", "surface", "rooms", "price")
-        .agg(
-            F.count("*").alias("n"), F.max("land").alias("land"), F.min("day").alias("day"),
-            F.max("lots").alias("lots"),
-            F.sum("lon").alias("lon"), F.count("lon").alias("n_lon"),
-            F.sum("lat").alias("lat"), F.count("lat").alias("n_lat"),
-        )
+def _majority_code(name: str) -> Column:
+    """Most frequent code, the smallest on ties, a missing one last. The frequency map of a sale
+    holds communes or postcodes, which are finite administrative lists."""
+    value = F.coalesce(F.col(name), F.lit(_LAST))
+    return F.nullif(F.mode(value, deterministic=True), F.lit(_LAST)).alias(name)
+
+
+def line_totals(lines: DataFrame) -> DataFrame:
+    """What depends on how many distinct lines state it."""
+    def mean(name: str) -> Column:
+        exact = F.sum(F.col(name).cast("decimal(18,8)")).cast("double")
+        return C.ratio(exact, F.count(name)).alias(name)
+
+    return distinct_lines(lines).groupBy("id_mutation").agg(
+        F.min("date_mutation").alias("date_mutation"),
+        F.min("code_departement").alias("code_departement"),
+        _majority_code("code_commune"), _majority_code("nom_commune"),
+        _majority_code("code_postal"),
+        F.max("nombre_lots").alias("nombre_lots"), mean("longitude"), mean("latitude"),
+        F.count("*").alias("nb_lignes_source"),
     )
 
-    def of(kind: str, value: Column) -> Column:
-        return F.when(c("kind") == kind, value)
-
-    def majority(kind: str) -> Column:
-        return F.min_by(of(kind, c("text")), of(kind, frequency_order(c("n"), c("text"))))
-
-    def mean(total: str, count: str) -> Column:
-        return C.ratio(F.sum(total), F.sum(count))
-
-    def units(condition: Column) -> Column:
-        return F.count_if((c("kind") == "unit") & condition)
-
-    dwelling = (c("kind") == "unit") & c("unit").isin(K.DWELLINGS)
-    folded = stated.groupBy("id_mutation").agg(
-        F.min("day").alias("date_mutation"),
-        F.max("price").alias("valeur_fonciere"),
-        F.min(of("department", c("text"))).alias("code_departement"),
-        majority("commune").alias("code_commune"),
-        majority("name").alias("nom_commune"),
-        majority("postcode").alias("code_postal"),
-        F.count(of("parcel", c("text"))).alias("nb_parcelles"),
-        F.max("lots").alias("nombre_lots"),
-        mean("lon", "n_lon").alias("longitude"),
-        mean("lat", "n_lat").alias("latitude"),
-        F.sum(of("parcel", c("n"))).alias("nb_lignes_source"),
-        F.count(of("price", c("price"))).alias("nb_valeurs_distinctes"),
-        units(c("unit") == K.FLAT).alias("nb_appartements"),
-        units(c("unit") == K.HOUSE).alias("nb_maisons"),
-        units(c("unit") == K.OUTBUILDING).alias("nb_dependances"),
-        units(c("unit").startswith(K.BUSINESS_PREFIX)).alias("nb_locaux_activite"),
-        C.exact_sum(F.when(dwelling, c("surface"))).alias("surface_habitable"),
-        F.sum(F.when(dwelling, c("rooms"))).alias("nb_pieces"),
-        C.exact_sum(of("parcel", c("land"))).alias("surface_terrain"),
+
+def sale_grain(lines: DataFrame) -> DataFrame:
+    c = F.col
+    counts = ["nb_appartements", "nb_maisons", "nb_dependances", "nb_locaux_activite"]
+    sales = (
+        line_totals(lines).join(price_totals(lines), "id_mutation")
+        .join(parcel_totals(lines), "id_mutation")
+        .join(unit_totals(distinct_units(lines)), "id_mutation", "left")
+        .withColumns({n: F.coalesce(n, F.lit(0)) for n in counts})
     )
-    return folded.select(
+    return sales.select(
         "*",
         C.sale_class(c("nb_appartements"), c("nb_maisons"), c("nb_locaux_activite"),
                      c("nb_dependances")).alias("type_bien"),

@@ -1,16 +1,20 @@
-"""Fixed-effect least squares with cluster-robust errors, from group-level cross products.
+"""Fixed-effect least squares with cluster-robust errors, from grouped sums.
 
 Centring every variable by group never has to touch the rows twice: the centred cross products of
-a group follow from its sums, X'X - n*mean*mean', and the score of a group is X'y - X'X b on the
-centred products. One aggregation per (segment, group) reads the data; everything after works on
-one row per group, and only one k x k matrix per segment reaches the driver.
+a group follow from its sums, and the score of a group is X'y - X'X b on the centred products. Rows
+are therefore aggregated once, to one cell per (segment, group, dummy levels) with the sums of the
+numeric variables; dummies need nothing but the cell counts. A group has as many cells as there are
+level combinations, so the matrix work per group is small whatever the number of its sales. Only
+one k x k matrix per segment reaches the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +22,27 @@ from cadastria.session import broadcast_if_small, checkpointed
 
 RESULT = ("variable string, coefficient double, erreur_standard double, effet_pct double, "
           "ic95_bas_pct double, ic95_haut_pct double, n bigint, groupes bigint")
+_PRODUCTS = "_n bigint, _xx array<double>, _xy array<double>, _lo array<double>, _hi array<double>"
 Z95 = 1.96
 
 
 @dataclass(frozen=True)
-class Segment:
+class Levels:
+    """A family of dummies: column, its values in order, which present one is the reference."""
+
+    column: str
+    values: list
+    reference: str  # 'first' or 'last'
+    prefix: str = ""
+
+    def names(self) -> list[str]:
+        return [f"{self.prefix}{v}" for v in self.values]
+
+
+@dataclass(frozen=True)
+class Fit:
     key: tuple
-    variables: list[str]
+    used: list[int]
     beta: np.ndarray
     bread: np.ndarray
     n: int
@@ -34,144 +52,167 @@ class Segment:
 def demean(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Columns centred by group; means are aggregated with map-side combine and joined back."""
     means = df.groupBy(group).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
-    return df.join(means, group).withColumns(
+    return df.join(broadcast_if_small(means), group).withColumns(
         {f"{c}_centre": F.col(c) - F.col(f"_mean_{c}") for c in columns}
     ).drop(*[f"_mean_{c}" for c in columns])
 
 
-def group_products(df: DataFrame, segment: list[str], group: str, x: dict[str, Column],
-                   y: Column) -> DataFrame:
-    """Per (segment, group): count, extremes, and centred cross products of X and of X with y."""
-    names = list(x)
-    rows = df.select(*segment, group, y.cast("double").alias("_y"),
-                     *[c.cast("double").alias(f"_x{i}") for i, c in enumerate(x.values())])
-    k = len(names)
-    sums = [F.count("*").alias("_n"), F.sum("_y").alias("_sy")]
-    for i in range(k):
-        xi = F.col(f"_x{i}")
-        sums += [F.sum(xi).alias(f"_s{i}"), F.min(xi).alias(f"_lo{i}"),
-                 F.max(xi).alias(f"_hi{i}"), F.sum(xi * F.col("_y")).alias(f"_xy{i}")]
-        sums += [F.sum(xi * F.col(f"_x{j}")).alias(f"_xx{i}_{j}") for j in range(i, k)]
-    sums.append(F.sum(F.col("_y") * F.col("_y")).alias("_yy"))
-    raw = rows.groupBy(*segment, group).agg(*sums)
-
-    def centred(product: str, a: str, b: str) -> Column:
-        return F.col(product) - F.col(a) * F.col(b) / F.col("_n")
-
-    return raw.select(
-        *segment, group, "_n",
-        *[F.col(f"_{e}{i}") for e in ("lo", "hi") for i in range(k)],
-        *[centred(f"_xy{i}", f"_s{i}", "_sy").alias(f"c{i}") for i in range(k)],
-        *[centred(f"_xx{i}_{j}", f"_s{i}", f"_s{j}").alias(f"c{i}_{j}")
-          for i in range(k) for j in range(i, k)],
-    )
-
-
-def solve_segments(products: DataFrame, segment: list[str], names: list[str],
-                   drop_first: list[list[str]], drop_last: list[list[str]]) -> list[Segment]:
-    """Normal equations per segment on the driver: one k x k system each.
-
-    ``drop_first``/``drop_last`` are families of dummies whose first/last present member is the
-    omitted reference; variables constant over a segment are left out.
-    """
-    k = len(names)
+def cells(df: DataFrame, segment: list[str], group: str, levels: list[Levels],
+          numeric: dict[str, Column], y: Column) -> DataFrame:
+    """Counts, extremes, sums and cross sums of the numeric variables and y per cell."""
+    names = [f"v{i}" for i in range(len(numeric) + 1)]
+    rows = df.select(*segment, group, *[lv.column for lv in levels], *[
+        c.cast("double").alias(n) for n, c in zip(names, [*numeric.values(), y], strict=True)])
+    sums = [F.count("*").alias("n")]
+    for i, a in enumerate(names):
+        sums += [F.sum(a).alias(f"s{i}"), F.min(a).alias(f"lo{i}"), F.max(a).alias(f"hi{i}")]
+        sums += [F.sum(F.col(a) * F.col(b)).alias(f"p{i}_{j}")
+                 for j, b in enumerate(names) if j >= i]
+    return rows.groupBy(*segment, group, *[lv.column for lv in levels]).agg(*sums)
+
+
+def _group_products(pdf: pd.DataFrame, keys: list[str], levels: list[Levels],
+                    numeric: int) -> pd.DataFrame:
+    """Centred X'X and X'y of one group from its cells; y is the last variable."""
+    n = pdf["n"].to_numpy(float)
+    dummies = np.concatenate(
+        [[(pdf[lv.column] == v).to_numpy(float) for v in lv.values] for lv in levels], axis=0
+    ) if levels else np.zeros((0, len(pdf)))
+    d, k = len(dummies), len(dummies) + numeric + 1
+    sums = np.array([pdf[f"s{i}"].to_numpy(float) for i in range(numeric + 1)])
+    product = np.zeros((k, k))
+    product[:d, :d] = (dummies * n) @ dummies.T
+    product[:d, d:] = dummies @ sums.T
+    product[d:, :d] = product[:d, d:].T
+    for i in range(numeric + 1):
+        for j in range(i, numeric + 1):
+            product[d + i, d + j] = product[d + j, d + i] = pdf[f"p{i}_{j}"].sum()
+    totals = np.concatenate([dummies @ n, sums.sum(axis=1)])
+    centred = product - np.outer(totals, totals) / n.sum()
+    lows = [dummies[i].min() for i in range(d)] + [pdf[f"lo{i}"].min() for i in range(numeric)]
+    highs = [dummies[i].max() for i in range(d)] + [pdf[f"hi{i}"].max() for i in range(numeric)]
+    return pd.DataFrame({
+        **{c: [pdf[c].iloc[0]] for c in keys}, "_n": [int(n.sum())],
+        "_xx": [centred[:-1, :-1].ravel()], "_xy": [centred[:-1, -1]],
+        "_lo": [np.array(lows, float)], "_hi": [np.array(highs, float)],
+    })
+
+
+def group_products(df: DataFrame, segment: list[str], group: str, levels: list[Levels],
+                   numeric: dict[str, Column], y: Column) -> DataFrame:
+    """One row per (segment, group): count, centred cross products and extremes as arrays."""
+    keys, width = [*segment, group], len(numeric)
+    types = dict(df.select(*keys).dtypes)
+    schema = ", ".join([f"`{c}` {types[c]}" for c in keys] + [_PRODUCTS])
+
+    def per_group(pdf: pd.DataFrame) -> pd.DataFrame:
+        return _group_products(pdf, keys, levels, width)
+
+    return cells(df, segment, group, levels, numeric, y).groupBy(*keys).applyInPandas(
+        per_group, schema)
+
+
+def _array_totals(products: DataFrame, segment: list[str], column: str,
+                  combine: str = "sum") -> DataFrame:
+    """Element-wise totals over the groups of a segment, as one array in order."""
+    long = products.select(*segment, F.posexplode(column).alias("_i", "_v"))
+    per = long.groupBy(*segment, "_i").agg(getattr(F, combine)("_v").alias("_v"))
+    ordered = F.sort_array(F.collect_list(F.struct("_i", "_v")))  # k or k*k entries
+    return per.groupBy(*segment).agg(ordered["_v"].alias(column))
+
+
+def fit_segments(products: DataFrame, segment: list[str], levels: list[Levels],
+                 names: list[str]) -> list[Fit]:
+    """Solve the normal equations of every segment; one small system each, on the driver."""
     totals = products.groupBy(*segment).agg(
-        F.sum("_n").alias("n"), F.count("*").alias("g"),
-        *[F.min(f"_lo{i}").alias(f"lo{i}") for i in range(k)],
-        *[F.max(f"_hi{i}").alias(f"hi{i}") for i in range(k)],
-        *[F.sum(f"c{i}").alias(f"b{i}") for i in range(k)],
-        *[F.sum(f"c{i}_{j}").alias(f"a{i}_{j}") for i in range(k) for j in range(i, k)],
-    ).collect()
+        F.sum("_n").alias("n"), F.count("*").alias("g"))
+    for column, how in (("_xx", "sum"), ("_xy", "sum"), ("_lo", "min"), ("_hi", "max")):
+        totals = totals.join(_array_totals(products, segment, column, how), segment)
     out = []
-    for row in totals:
-        present = {n for i, n in enumerate(names) if row[f"hi{i}"] != 0}
-        omitted = set()
-        for family in drop_first:
-            omitted.update([n for n in family if n in present][:1])
-        for family in drop_last:
-            omitted.update([n for n in family if n in present][-1:])
-        used = [i for i, n in enumerate(names)
-                if row[f"lo{i}"] < row[f"hi{i}"] and n not in omitted]
-        a = np.array([[row[f"a{min(i, j)}_{max(i, j)}"] for j in used] for i in used], float)
-        b = np.array([row[f"b{i}"] for i in used], float)
-        bread = np.linalg.pinv(a.reshape(len(used), len(used)), hermitian=True)
-        out.append(Segment(tuple(row[s] for s in segment), [names[i] for i in used], bread @ b,
-                           bread, row["n"], row["g"]))
+    for row in totals.collect():
+        lo, hi = np.array(row["_lo"]), np.array(row["_hi"])
+        omitted, at = set(), 0
+        for lv in levels:
+            present = [i for i in range(at, at + len(lv.values)) if hi[i] > 0]
+            omitted.update(present[:1] if lv.reference == "first" else present[-1:])
+            at += len(lv.values)
+        used = [i for i in range(len(names)) if lo[i] < hi[i] and i not in omitted]
+        xx = np.array(row["_xx"]).reshape(len(names), len(names))[np.ix_(used, used)]
+        bread = np.linalg.pinv(xx, hermitian=True)
+        out.append(Fit(tuple(row[s] for s in segment), used, bread @ np.array(row["_xy"])[used],
+                       bread, row["n"], row["g"]))
     return out
 
 
-def cluster_meat(products: DataFrame, segment: list[str], names: list[str],
-                 solved: list[Segment]) -> dict[tuple, np.ndarray]:
-    """Sum over groups of score times score', with scores from the group products."""
-    spark = products.sparkSession
-    k = len(names)
-    full = []
-    for s in solved:
-        beta = np.zeros(k)
-        for n, v in zip(s.variables, s.beta, strict=True):
-            beta[names.index(n)] = v
-        full.append((*s.key, *[float(v) for v in beta]))
-    types = [f.dataType.simpleString() for f in products.select(*segment).schema.fields]
-    schema = ", ".join([f"`{c}` {t}" for c, t in zip(segment, types, strict=True)]
-                       + [f"beta{i} double" for i in range(k)])
-    betas = F.broadcast(spark.createDataFrame(full, schema))  # one row per segment
-    scored = products.join(betas, segment).select(*segment, *[
-        (F.col(f"c{i}") - sum(
-            (F.col(f"c{min(i, j)}_{max(i, j)}") * F.col(f"beta{j}") for j in range(1, k)),
-            F.col(f"c{min(i, 0)}_{max(i, 0)}") * F.col("beta0"))).alias(f"u{i}")
-        for i in range(k)
-    ])
-    rows = scored.groupBy(*segment).agg(*[
-        F.sum(F.col(f"u{i}") * F.col(f"u{j}")).alias(f"m{i}_{j}")
-        for i in range(k) for j in range(i, k)
-    ]).collect()
+def cluster_meat(products: DataFrame, segment: list[str], fits: list[Fit],
+                 k: int) -> dict[tuple, np.ndarray]:
+    """Sum over groups of score times its transpose; each task adds up its own groups first."""
+    betas = {}
+    for f in fits:
+        betas[f.key] = np.zeros(k)
+        betas[f.key][f.used] = f.beta
+    types = dict(products.select(*segment).dtypes)
+    schema = ", ".join([f"`{c}` {types[c]}" for c in segment] + ["_meat array<double>"])
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+        for pdf in batches:
+            for key, xx, xy in zip(pdf[segment].itertuples(index=False, name=None), pdf["_xx"],
+                                   pdf["_xy"], strict=True):
+                score = np.asarray(xy) - np.asarray(xx).reshape(k, k) @ betas[key]
+                sums[key] = sums.get(key, 0.0) + np.outer(score, score)
+        yield pd.DataFrame(
+            [(*key, m.ravel()) for key, m in sums.items()], columns=[*segment, "_meat"])
+
+    parts = products.select(*segment, "_xx", "_xy").mapInPandas(partial, schema)
     return {
-        tuple(r[s] for s in segment): np.array(
-            [[r[f"m{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)], float)
-        for r in rows
+        tuple(r[s] for s in segment): np.array(r["_meat"]).reshape(k, k)
+        for r in _array_totals(parts, segment, "_meat").collect()
     }
 
 
-def fixed_effect_ols(df: DataFrame, segment: list[str], group: str, x: dict[str, Column],
-                     y: Column, drop_first: list[list[str]] | None = None,
-                     drop_last: list[list[str]] | None = None) -> DataFrame:
+def fixed_effect_ols(df: DataFrame, segment: list[str], group: str, levels: list[Levels],
+                     numeric: dict[str, Column], y: Column) -> DataFrame:
     """Coefficients, clustered errors, effect in percent and its 95 % interval per segment.
 
     Groups count as parameters in the small-sample correction; with one group errors are undefined.
+    Variables that are constant over a segment are left out of it.
     """
-    names = list(x)
-    products = checkpointed(group_products(df, segment, group, x, y))
-    solved = solve_segments(products, segment, names, drop_first or [], drop_last or [])
-    meats = cluster_meat(products, segment, names, solved)
+    names = [n for lv in levels for n in lv.names()] + list(numeric)
+    products = checkpointed(group_products(df, segment, group, levels, numeric, y))
+    fits = fit_segments(products, segment, levels, names)
+    meats = cluster_meat(products, segment, fits, len(names))
     rows = []
-    for s in solved:
-        at = [names.index(n) for n in s.variables]
-        meat = meats[s.key][np.ix_(at, at)]
-        k = len(at) + s.groups
-        scale = (s.groups / (s.groups - 1) * (s.n - 1) / max(s.n - k, 1)
-                 if s.groups > 1 else float("nan"))
-        se = np.sqrt(np.diag(s.bread @ meat @ s.bread) * scale)
-        for name, b, e in zip(s.variables, s.beta, se, strict=True):
-            percents = [float(np.expm1(b + z * e) * 100) for z in (-Z95, Z95)]
-            rows.append((*s.key, name, float(b), float(e), float(np.expm1(b) * 100), *percents,
-                         int(s.n), int(s.groups)))
-    types = [f.dataType.simpleString() for f in df.select(*segment).schema.fields]
-    schema = ", ".join([f"`{c}` {t}" for c, t in zip(segment, types, strict=True)] + [RESULT])
+    for f in fits:
+        k = len(f.used) + f.groups
+        scale = (f.groups / (f.groups - 1) * (f.n - 1) / max(f.n - k, 1)
+                 if f.groups > 1 else float("nan"))
+        meat = meats[f.key][np.ix_(f.used, f.used)]
+        se = np.sqrt(np.diag(f.bread @ meat @ f.bread) * scale)
+        for i, b, e in zip(f.used, f.beta, se, strict=True):
+            percents = [float(np.expm1(v) * 100) for v in (b, b - Z95 * e, b + Z95 * e)]
+            rows.append((*f.key, names[i], float(b), float(e), *percents, int(f.n),
+                         int(f.groups)))
+    types = dict(df.select(*segment).dtypes)
+    schema = ", ".join([f"`{c}` {types[c]}" for c in segment] + [RESULT])
     return df.sparkSession.createDataFrame(rows, schema)
 
 
 def within_slope(df: DataFrame, group: str, x: Column, y: Column,
                  segment: list[str]) -> DataFrame:
-    """One regressor: slope and clustered error in closed form, without leaving Spark."""
-    p = group_products(df, segment, group, {"x": x}, y)
+    """One regressor: slope and clustered error in closed form, without leaving the JVM."""
+    n, sx, sy = F.col("n"), F.col("s0"), F.col("s1")
+    p = cells(df, segment, group, [], {"x": x}, y).select(
+        *segment, group, "n", (F.col("p0_1") - sx * sy / n).alias("xy"),
+        (F.col("p0_0") - sx * sx / n).alias("xx"))
     slopes = p.groupBy(*segment).agg(
-        (F.sum("c0") / F.nullif(F.sum("c0_0"), F.lit(0.0))).alias("pente"),
-        F.sum("c0_0").alias("sxx"), F.sum("_n").alias("n"), F.count("*").alias("groupes"))
-    joined = p.join(broadcast_if_small(slopes), segment)  # one row per segment
-    u = F.col("c0") - F.col("c0_0") * F.col("pente")
-    meat = joined.groupBy(*segment).agg(F.sum(u * u).alias("meat"))
-    g, n = F.col("groupes"), F.col("n")
-    scale = F.try_divide(g, g - 1) * (n - 1) / F.greatest(n - 1 - g, F.lit(1))
-    return slopes.join(broadcast_if_small(meat), segment).select(
+        F.try_divide(F.sum("xy"), F.sum("xx")).alias("pente"), F.sum("xx").alias("sxx"),
+        F.sum("n").alias("total"), F.count("*").alias("groupes"))
+    score = F.col("xy") - F.col("xx") * F.col("pente")
+    meat = p.join(broadcast_if_small(slopes), segment).groupBy(*segment).agg(
+        F.sum(score * score).alias("meat"))
+    g, rows = F.col("groupes"), F.col("total")
+    scale = F.try_divide(g, g - 1) * (rows - 1) / F.greatest(rows - 1 - g, F.lit(1))
+    return slopes.join(meat, segment).select(
         *segment, "pente", (F.sqrt(F.col("meat") * scale) / F.col("sxx")).alias("erreur_standard"),
-        "n", "groupes")
+        rows.alias("n"), "groupes")

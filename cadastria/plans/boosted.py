@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import Imputer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import (
+    Imputer,
+    SQLTransformer,
+    StringIndexer,
+    TargetEncoder,
+    VectorAssembler,
+)
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastria.plans import model as M
@@ -16,60 +22,45 @@ BASE = [*M.CATEGORIES, *M.NUMBERS]
 ENRICHED = [*BASE, *M.ENRICHMENT]
 
 
-def _encoded(features: list[str]) -> tuple[list, list[str]]:
+def _sql(expressions: list[str]) -> SQLTransformer:
+    return SQLTransformer(statement=f"SELECT *, {', '.join(expressions)} FROM __THIS__")
+
+
+def _stages(features: list[str]) -> tuple[list, list[str]]:
     """Stages and final columns. Trees here need complete numbers, so gaps are imputed and flagged;
     communes are too many for a tree split, so categories carry the training mean of the target."""
     cats = [c for c in features if c in M.CATEGORIES]
     nums = [c for c in features if c not in M.CATEGORIES]
-    stages = [
-        StringIndexer(inputCols=cats, outputCols=[f"{c}_i" for c in cats], handleInvalid="keep"),
-        TargetEncoder(inputCols=[f"{c}_i" for c in cats], outputCols=[f"{c}_e" for c in cats],
-                      labelCol="y", targetType="continuous", smoothing=10.0,
-                      handleInvalid="keep"),
-        Imputer(inputCols=[f"{c}_d" for c in nums], outputCols=[f"{c}_f" for c in nums],
-                strategy="mean"),
-    ]
-    flags = [f"{c}_na" for c in nums if c in M.ENRICHMENT]
-    return stages, [*[f"{c}_e" for c in cats], *[f"{c}_f" for c in nums], *flags]
-
-
-def prepared(df: DataFrame, features: list[str]) -> DataFrame:
-    nums = [c for c in features if c not in M.CATEGORIES]
-    return df.withColumns({
-        **{f"{c}_d": F.col(c).cast("double") for c in nums},
-        **{f"{c}_na": F.col(c).isNull().cast("double") for c in nums if c in M.ENRICHMENT},
-    })
+    flagged = [c for c in nums if c in M.ENRICHMENT]
+    inputs = _sql([f"CAST({c} AS DOUBLE) AS {c}_d" for c in nums]
+                  + [f"CAST({c} IS NULL AS DOUBLE) AS {c}_na" for c in flagged])
+    index = StringIndexer(inputCols=cats, outputCols=[f"{c}_i" for c in cats],
+                          handleInvalid="keep")
+    encode = TargetEncoder(inputCols=[f"{c}_i" for c in cats], outputCols=[f"{c}_e" for c in cats],
+                           labelCol="y", targetType="continuous", smoothing=10.0,
+                           handleInvalid="keep")
+    # the encoded column still calls itself nominal; an expression makes it a plain number
+    numbers = _sql([f"{c}_e + 0D AS {c}_t" for c in cats])
+    impute = Imputer(inputCols=[f"{c}_d" for c in nums], outputCols=[f"{c}_f" for c in nums])
+    columns = [*[f"{c}_t" for c in cats], *[f"{c}_f" for c in nums], *[f"{c}_na" for c in flagged]]
+    assemble = VectorAssembler(inputCols=columns, outputCol="features")
+    return [inputs, index, encode, numbers, impute, assemble], columns
 
 
 def fit_boosted(train: DataFrame, features: list[str], valid: DataFrame | None = None,
                 trees: int = 60, depth: int = 6, step: float = 0.1,
                 seed: int = 42) -> PipelineModel:
     """Encoders are fitted on the training rows only; ``valid`` only stops the boosting."""
-    stages, columns = _encoded(features)
-    encoders = Pipeline(stages=[
-        *stages, VectorAssembler(inputCols=columns, outputCol="features")])
-    fitted = encoders.fit(prepared(train, features))
-    rows = fitted.transform(prepared(train, features)).select("features", "y")
+    stages, _ = _stages(features)
+    fitted = Pipeline(stages=stages).fit(train)
+    rows = fitted.transform(train).select("features", "y")
     params = dict(featuresCol="features", labelCol="y", maxIter=trees, maxDepth=depth,
                   stepSize=step, minInstancesPerNode=10, subsamplingRate=0.8, seed=seed)
     if valid is not None:
-        held = fitted.transform(prepared(valid, features)).select("features", "y")
-        rows = rows.withColumn("_valid", F.lit(False)).unionByName(
-            held.withColumn("_valid", F.lit(True)))
+        held = fitted.transform(valid).select("features", "y", F.lit(True).alias("_valid"))
+        rows = rows.withColumn("_valid", F.lit(False)).unionByName(held)
         params["validationIndicatorCol"] = "_valid"
-    return PipelineModel(stages=[_Prepare(features), *fitted.stages,
-                                 GBTRegressor(**params).fit(rows)])
-
-
-class _Prepare(Transformer):
-    """The row-level part of the features as a pipeline stage."""
-
-    def __init__(self, features: list[str]):
-        super().__init__()
-        self._features = features
-
-    def _transform(self, dataset: DataFrame) -> DataFrame:
-        return prepared(dataset, self._features)
+    return PipelineModel(stages=[*fitted.stages, GBTRegressor(**params).fit(rows)])
 
 
 def predict_prices(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -78,11 +69,9 @@ def predict_prices(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def importance(model: PipelineModel, features: list[str]) -> DataFrame:
     """Share of the total gain per variable; a missing-value flag counts with its variable."""
-    _, columns = _encoded(features)
+    _, columns = _stages(features)
     gains = model.stages[-1].featureImportances.toArray()
     rows = [(c.rsplit("_", 1)[0], float(g)) for c, g in zip(columns, gains, strict=True)]
-    from pyspark.sql import SparkSession
-
     df = SparkSession.active().createDataFrame(rows, "variable string, gain double")
     per = df.groupBy("variable").agg(F.sum("gain").alias("gain"))
     total = df.select(F.sum("gain")).scalar()

@@ -13,26 +13,29 @@ from cadastria.plans.measures import Star, secure
 from cadastria.plans.warehouse import Warehouse
 
 
-def table_checks(w: Warehouse) -> dict[str, tuple[DataFrame, list[Q.Check]]]:
-    departments = [r[0] for r in w.departments().select("code_departement").collect()]  # seed
-    return {
-        "lines": (w.lines(), [
+def _table(w: Warehouse, name: str) -> tuple[DataFrame, list[Q.Check]]:
+    if name == "lines":
+        seed = [r[0] for r in w.departments().select("code_departement").collect()]
+        return w.lines(), [
             Q.not_null("id_mutation"), Q.not_null("date_mutation"), Q.not_null("valeur_fonciere"),
             Q.accepted_range("valeur_fonciere", 0, inclusive=False),
             Q.accepted_values("nature_mutation", [K.SALE_NATURE]),
-            Q.not_null("code_departement"), Q.accepted_values("code_departement", departments),
-        ]),
-        "sales": (w.sales(), [
+            Q.not_null("code_departement"), Q.accepted_values("code_departement", seed),
+        ]
+    if name == "sales":
+        return w.sales(), [
             Q.unique("id_mutation"), Q.not_null("id_mutation"), Q.not_null("valeur_fonciere"),
             Q.accepted_values("type_bien", K.SALE_CLASSES),
-        ]),
-        "proximity": (w.proximity(), [
+        ]
+    if name == "proximity":
+        return w.proximity(), [
             Q.unique("id_mutation"), Q.not_null("id_mutation"),
             Q.not_null("dist_gare_m"), Q.accepted_range("dist_gare_m", 0, K.STATION_RADIUS_M),
             Q.not_null("nb_gares_1km"),
             Q.not_null("dist_gpe_m"), Q.accepted_range("dist_gpe_m", 0, K.PLANNED_RADIUS_M),
-        ]),
-        "fact": (w.fact(), [
+        ]
+    if name == "fact":
+        return w.fact(), [
             Q.unique("transaction_id"), Q.not_null("transaction_id"),
             Q.not_null("date_key"), Q.relationship("date_key", w.calendar(), "date_key"),
             Q.not_null("geo_key"), Q.relationship("geo_key", w.places(), "geo_key"),
@@ -41,29 +44,31 @@ def table_checks(w: Warehouse) -> dict[str, tuple[DataFrame, list[Q.Check]]]:
             Q.accepted_range("prix_m2", 0, inclusive=False, severity="warn"),
             Q.accepted_values("tranche_dist_gare", [b for _, b in K.STATION_BANDS]),
             Q.accepted_values("tranche_dist_gpe", [b for _, b in K.PLANNED_BANDS]),
-        ]),
-        "places": (w.places(), [
+        ]
+    if name == "places":
+        return w.places(), [
             Q.unique("geo_key"), Q.not_null("geo_key"), Q.not_null("zone"),
             Q.accepted_range("revenu_median_uc", 5000, 100000),
             Q.accepted_range("part_dpe_fg_pct", 0, 100),
-        ]),
-        "calendar": (w.calendar(), [Q.unique("date_key"), Q.not_null("date_key")]),
-        "segments": (w.segments(), [Q.unique("bien_key"), Q.not_null("bien_key")]),
-        "predictions": (w.predictions(), [
-            Q.unique("transaction_id"), Q.not_null("transaction_id")]),
-        "gaps": (w.gaps(), [Q.unique("transaction_id"), Q.not_null("transaction_id")]),
-        "band_evolution": (w.band_evolution(), [
+        ]
+    if name == "band_evolution":
+        return w.band_evolution(), [
             Q.unique("annee", "zone", "type_bien", "tranche_dist_gpe"),
             Q.not_null("prix_m2_median"), Q.accepted_range("prix_m2_median", 500, 30000),
-        ]),
-        "departments": (w.departments(), [
-            Q.unique("code_departement"), Q.not_null("code_departement")]),
-    }
+        ]
+    key = KEYS[name]
+    return getattr(w, name)(), [Q.unique(key), Q.not_null(key)]
+
+
+KEYS = {"calendar": "date_key", "segments": "bien_key", "predictions": "transaction_id",
+        "gaps": "transaction_id", "departments": "code_departement"}
+TABLES = ["lines", "sales", "proximity", "fact", "places", "calendar", "segments", "predictions",
+          "gaps", "band_evolution", "departments"]
 
 
 def check_table(w: Warehouse, name: str) -> DataFrame:
-    df, checks = table_checks(w)[name]
-    return Q.run_checks(name, df, checks)
+    df, found = _table(w, name)
+    return Q.run_checks(name, df, found)
 
 
 def coverage_shares(w: Warehouse) -> DataFrame:

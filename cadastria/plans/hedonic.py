@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastria.functions import columns as C
 from cadastria.functions import constants as K
-from cadastria.operators.hedonic import fixed_effect_ols
+from cadastria.operators.hedonic import Levels, fixed_effect_ols
 from cadastria.plans.marts import located_fact
+from cadastria.session import broadcast_if_small
 
 _SEGMENT = ["zone", "type_bien"]
 
@@ -28,28 +30,26 @@ def comparable_segments(sales: DataFrame) -> DataFrame:
     ).filter((F.col("bandes") >= 2) & (F.col("communes") >= 2))
 
 
-def design(years: list[int]) -> tuple[dict[str, Column], list[str], list[str]]:
-    """Regressors by name, with the families of band and year dummies."""
+def design(years: list[int]) -> tuple[list[Levels], dict[str, Column]]:
+    """Band and year dummies and the numeric controls."""
     bands = [label for _, label in K.STATION_BANDS]
-    columns: dict[str, Column] = {
-        b: (F.col("tranche_dist_gare") == b).cast("double") for b in bands}
-    columns["log_surface"] = F.log("surface_habitable")
-    columns["nb_pieces"] = F.col("nb_pieces").cast("double")
-    columns["maison"] = (F.col("type_bien") == K.HOUSE).cast("double")
-    dummies = [f"annee_{y}" for y in years]
-    for y, name in zip(years, dummies, strict=True):
-        columns[name] = (F.col("annee") == y).cast("double")
-    return columns, bands, dummies
-
-
-def station_effect(sales: DataFrame) -> DataFrame:
+    levels = [Levels("tranche_dist_gare", bands, "last"),
+              Levels("annee", years, "first", prefix="annee_")]
+    return levels, {
+        "log_surface": F.log("surface_habitable"),
+        "nb_pieces": F.col("nb_pieces"),
+        "maison": (F.col("type_bien") == K.HOUSE).cast("int"),
+    }
+
+
+def station_effect(sales: DataFrame, segment: tuple[str, ...] = tuple(_SEGMENT)) -> DataFrame:
     """All regressors per zone and type; the farthest band present is the reference."""
     years = [r[0] for r in sales.select("annee").distinct().orderBy("annee").collect()]
-    columns, bands, dummies = design(years)
+    levels, numeric = design(years)
+    comparable = comparable_segments(sales).select(*_SEGMENT)
     kept = sales.filter(F.col("type_bien").isin(K.DWELLINGS)).join(
-        F.broadcast(comparable_segments(sales).select(*_SEGMENT)), _SEGMENT, "left_semi")
-    return fixed_effect_ols(kept, _SEGMENT, "geo_key", columns, F.log("prix_m2"),
-                            drop_first=[dummies], drop_last=[bands])
+        broadcast_if_small(comparable), _SEGMENT, "left_semi")
+    return fixed_effect_ols(kept, list(segment), "geo_key", levels, numeric, F.log("prix_m2"))
 
 
 def station_effect_report(sales: DataFrame) -> DataFrame:
@@ -57,5 +57,5 @@ def station_effect_report(sales: DataFrame) -> DataFrame:
     effects = station_effect(sales)
     shown = ["effet_pct", "ic95_bas_pct", "ic95_haut_pct"]
     return effects.filter(F.col("variable").rlike("^[0-9]")).select(
-        *_SEGMENT, "variable", *[F.round(c, 1).alias(c) for c in shown], "n", "groupes"
+        *_SEGMENT, "variable", *[C.round_half_even(c, 1).alias(c) for c in shown], "n", "groupes"
     ).orderBy(*_SEGMENT, "variable")

@@ -21,13 +21,12 @@ def text_schema(names: list[str]) -> T.StructType:
 
 def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, header): the first line of every file, found in parallel."""
-    first = F.min_by("value", F.monotonically_increasing_id())
-    return (
-        spark.read.text(paths)
-        .select("value", F.col("_metadata.file_path").alias("path"),
-                F.col("_metadata.file_block_start").alias("start"))
-        .filter("start = 0").groupBy("path").agg(first.alias("header"))
-    )
+    rows = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("row"))
+    # the first block of a file is read by one task, in order
+    return rows.filter("start = 0").groupBy("path").agg(F.min_by("value", "row").alias("header"))
 
 
 def _split_header(header: str, sep: str) -> list[str]:

@@ -219,10 +219,10 @@ def since_first(axes: tuple[str, ...], where: str = "true") -> str:
   {rnd('((c.m - b.m) / nullif(b.m, 0))')} as evolution_depuis_1re_annee
 from (select annee, {keys}, median(prix_m2) as m from fx where {outside} and {where}
     group by annee, {keys}) c
-  left join (select {', '.join(f'f.{o}' for o in others)}, median(prix_m2) as m from fx f
-      join (select {keys}, year(min(date_mutation)) as an0 from fx where {where}
+  left join (select {', '.join(f'f.{o}' for o in others)}, median(prix_m2) as m
+    from (select * from fx where {where}) f join (select {keys}, year(min(date_mutation)) as an0 from fx where {where}
         group by {keys}) z on {same(others, 'f', 'z')}
-    where {outside} and year(f.date_mutation) = z.an0 and {where}
+    where {outside} and year(f.date_mutation) = z.an0
     group by {', '.join(f'f.{o}' for o in others)}) b on {same(others, 'c', 'b')}"""
 
 
@@ -427,10 +427,10 @@ add("kpis", f"""select annee, type_bien, count(*) as communes,
   cast(sum(nb_ventes) as bigint) as ventes, {rnd('median(prix_m2_median)')} as prix_m2_median
 from prices group by 1, 2""")
 add("pivot_year_place", "select annee, " + ", ".join(
-    f"""{rnd(f"avg(prix_m2_median) filter (nom_commune = 'NATION_{n}')")} as NATION_{n}"""
-    for n in (0, 1, 2, 10, 20)
+    f"""{rnd(f"({mean(f'case when code_commune = {100 + n}::varchar then prix_m2_median end')})")} as NATION_{n}"""
+    for n in (0, 1, 6, 14, 15)
 ) + """ from prices where type_bien = 'Appartement'
-  and code_commune in ('100', '101', '102', '110', '120') group by 1""")
+  and code_commune in ('100', '101', '106', '114', '115') group by 1""")
 add("pivot_band_zone", "select tranche_dist_gare, " + ", ".join(
     f"""{rnd(f"({mean(f'''case when zone = '{z}' then prix_m2_median end''')})")} as "{z}" """
     for z in ("Paris", "Petite couronne", "Grande couronne")
@@ -537,10 +537,12 @@ _AGE = "(epoch(timestamp '2024-03-10 00:00:00') - floor(epoch(max(ts)))) / 86400
 add("dq_freshness", f"""select {rnd('age', 3)} as age_jours,
   case when age > 55 then 'error' when age > 35 then 'warn' else 'pass' end as status
 from (select {_AGE} as age from events)""")
-add("dq_gate", """select count(*) as raw_rows, count(distinct code_departement) as departements,
+add("dq_gate", """select raw_rows, departements, missing_groups,
+  raw_rows >= 1000000 and missing_groups = '' as passed
+from (select count(*) as raw_rows, count(distinct code_departement) as departements,
   coalesce((select string_agg(code_departement, ', ' order by code_departement) from seed
-    where code_departement not in (select code_departement from v_raw)), '') as missing_groups,
-  count(*) >= 1000000 and missing_groups = '' as passed from v_raw""")
+    where code_departement not in (select code_departement from v_raw)), '') as missing_groups
+  from v_raw)""")
 add("landing_volumes", "select code_departement, count(*) as n from v_raw group by 1")
 add("profile_volumetrie", "select code_departement, count(*) as n from v_raw group by 1")
 add("profile_taux_nuls", f"""select nuls, total, {rnd('(100e0 * nuls / total)', 2)} as pct_nuls
