@@ -48,14 +48,15 @@ def _stages(features: list[str]) -> tuple[list, list[str]]:
 
 
 def fit_boosted(train: DataFrame, features: list[str], valid: DataFrame | None = None,
-                trees: int = 60, depth: int = 6, step: float = 0.1,
+                trees: int = 60, depth: int = 6, step: float = 0.05,
                 seed: int = 42) -> PipelineModel:
     """Encoders are fitted on the training rows only; ``valid`` only stops the boosting."""
     stages, _ = _stages(features)
     fitted = Pipeline(stages=stages).fit(train)
     rows = fitted.transform(train).select("features", "y")
     params = dict(featuresCol="features", labelCol="y", maxIter=trees, maxDepth=depth,
-                  stepSize=step, minInstancesPerNode=10, subsamplingRate=0.8, seed=seed)
+                  stepSize=step, minInstancesPerNode=40, subsamplingRate=0.8,
+                  featureSubsetStrategy="0.8", seed=seed)
     if valid is not None:
         held = fitted.transform(valid).select("features", "y", F.lit(True).alias("_valid"))
         rows = rows.withColumn("_valid", F.lit(False)).unionByName(held)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,18 +115,22 @@ def segment_errors(df: DataFrame, predicted: str, by: str, actual: str = "prix_m
 
 # ---- out of sample -----------------------------------------------------------------------
 
-def leave_one_group_out(df: DataFrame, fit: FitFn, group: str = "annee") -> DataFrame:
+def leave_one_group_out(df: DataFrame, fit: FitFn, group: str = "annee",
+                        parallelism: int = 4) -> DataFrame:
     """Predict every group with a model fitted on the others; back from logs to prices.
 
-    The loop runs over the distinct groups (years), never over rows.
+    The loop runs over the distinct groups (years), never over rows; fits are independent jobs, so
+    a few of them are submitted at a time, as cross-validation does.
     """
     groups = [r[0] for r in df.select(group).distinct().orderBy(group).collect()]
     if len(groups) < 2:
         raise ValueError(f"at least two values of {group!r} are needed, found {groups}")
-    out = None
-    for g in groups:
-        held = fit(df.filter(F.col(group) != g)).transform(df.filter(F.col(group) == g))
-        out = held if out is None else out.unionByName(held)
+    with ThreadPool(min(parallelism, len(groups))) as pool:
+        models = pool.map(lambda g: fit(df.filter(F.col(group) != g)), groups)
+    held = [m.transform(df.filter(F.col(group) == g)) for m, g in zip(models, groups, strict=True)]
+    out = held[0]
+    for part in held[1:]:
+        out = out.unionByName(part)
     return out.withColumn("prix_m2_predit", F.exp("prediction"))
 
 
