@@ -306,9 +306,10 @@ def evaluate(star: Star, measures: list[str], ctx: Context = Context(),
     for m in measures:
         names += _CHANGES.get(m, ())
         names += ["prix_m2_median"] if m == RANK else []
+    names = list(dict.fromkeys(names))
     branches = [
         *_plain(star, ctx, names).values(),
-        *_medians(star, ctx, list(dict.fromkeys(names))).values(),
+        *_medians(star, ctx, names).values(),
         *_prior_year(star, ctx, names).values(),
         *[make(star, ctx) for name, make in _BRANCHES.items() if name in names],
     ]
