@@ -14,13 +14,13 @@ REPORT = "table_name string, check_name string, column_name string, severity str
 
 @dataclass(frozen=True)
 class Check:
-    """``row`` marks a failing row (folded into one pass per table); ``failing`` builds a frame of
-    failing rows or groups for checks that need a shuffle."""
+    """``row`` marks a failing row (folded into one pass per table); ``count`` gives a one-row frame
+    with the number of ``failures`` for checks that need a shuffle."""
 
     name: str
     column: str
     row: Callable[[], Column] | None = None
-    failing: Callable[[DataFrame], DataFrame] | None = None
+    count: Callable[[DataFrame], DataFrame] | None = None
     severity: str = "error"
 
 
@@ -47,21 +47,25 @@ def accepted_range(column: str, low: float | None = None, high: float | None = N
 
 def unique(*columns: str) -> Check:
     """Groups that occur more than once; a single NULL key is not a duplicate."""
-    def failing(df: DataFrame) -> DataFrame:
+    def count(df: DataFrame) -> DataFrame:
         known = df.filter(F.col(columns[0]).isNotNull()) if len(columns) == 1 else df
-        return known.groupBy(*columns).agg(F.count("*").alias("n")).filter("n > 1")
+        return known.groupBy(*columns).agg(F.count("*").alias("n")).agg(
+            F.count_if(F.col("n") > 1).alias("failures"))
 
     name = "unique" if len(columns) == 1 else "unique_combination"
-    return Check(name, ",".join(columns), failing=failing)
+    return Check(name, ",".join(columns), count=count)
 
 
 def relationship(column: str, parent: DataFrame, key: str) -> Check:
-    """Child rows without a parent; a NULL child is not checked."""
-    def failing(df: DataFrame) -> DataFrame:
-        children = df.filter(F.col(column).isNotNull()).select(F.col(column).alias("_k"))
-        return children.join(parent.select(F.col(key).alias("_k")), "_k", "left_anti")
+    """Child rows without a parent; a NULL child is not checked. Children are counted per key
+    before they meet the parents, so a hot key travels as one row."""
+    def count(df: DataFrame) -> DataFrame:
+        keys = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_k")).agg(
+            F.count("*").alias("n"))
+        orphans = keys.join(parent.select(F.col(key).alias("_k")), "_k", "left_anti")
+        return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failures"))
 
-    return Check("relationship", column, failing=failing)
+    return Check("relationship", column, count=count)
 
 
 def coverage(df: DataFrame, columns: dict[str, Column], minimum: float) -> DataFrame:
@@ -91,8 +95,8 @@ def run_checks(table_name: str, df: DataFrame, checks: list[Check]) -> DataFrame
             df.agg(*[F.count_if(c.row()).alias(f"_{i}") for i, c in enumerate(rows)])
             .select(F.explode(entries).alias("e")).select("e.*"))
     for c in checks:
-        if c.failing is not None:
-            parts.append(c.failing(df).agg(F.count("*").alias("failures")).select(
+        if c.count is not None:
+            parts.append(c.count(df).select(
                 F.lit(c.name).alias("check_name"), F.lit(c.column).alias("column_name"),
                 F.lit(c.severity).alias("severity"), "failures"))
     out = parts[0]

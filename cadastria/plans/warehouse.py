@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cadastria.functions import constants as K
 from cadastria.operators import grain
 from cadastria.plans import marts, staging, star
+from cadastria.plans.model import mean_log_model_predictions
 from cadastria.sources import standin
 from cadastria.sources.store import TableStore
 
@@ -49,6 +50,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, scope: str, inputs: Inputs):
         self.inputs = inputs
         self.store = TableStore(spark, scope)
+        self._predictions: DataFrame | None = None
 
     def raw_lines(self) -> DataFrame:
         return self.inputs.lines()
@@ -102,9 +104,13 @@ class Warehouse:
     def segments(self) -> DataFrame:
         return self.store.table("segments", lambda: star.segments(self.sales()))
 
-    def predictions(self) -> DataFrame:
-        from cadastria.plans.model import mean_log_model_predictions
+    def use_predictions(self, predictions: DataFrame) -> None:
+        """Score with another model than the mean-log one."""
+        self._predictions = predictions
 
+    def predictions(self) -> DataFrame:
+        if self._predictions is not None:
+            return self._predictions
         return self.store.table(
             "predictions", lambda: mean_log_model_predictions(self.fact(), ["type_bien"]))
 
