@@ -18,8 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadastria.session import join_on
-
 BUCKETS_PER_DOUBLING = 64
 Spec = tuple[Column, float]
 
@@ -29,19 +27,25 @@ def value_bucket(v: Column) -> Column:
     return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1.0) * BUCKETS_PER_DOUBLING)).cast("int")
 
 
-def value_counts(df: DataFrame, keys: list[str], specs: dict[str, Spec],
-                 weight: Column | None = None) -> DataFrame:
+def _values(specs: dict[str, Spec]) -> dict[str, Column]:
+    """Distinct value expressions; several quantiles of one value are counted once."""
+    return {str(value): value for value, _ in specs.values()}
+
+
+def _measure_of(specs: dict[str, Spec]) -> dict[str, int]:
+    order = list(_values(specs))
+    return {alias: order.index(str(value)) for alias, (value, _) in specs.items()}
+
+
+def value_counts(df: DataFrame, keys: list[str], specs: dict[str, Spec]) -> DataFrame:
     """Long (keys, _m, _v, _n): how often each value of each measure occurs in each group."""
     tagged = [
         F.struct(F.lit(i).alias("_m"), value.cast("double").alias("_v"))
-        for i, (value, _) in enumerate(specs.values())
+        for i, value in enumerate(_values(specs).values())
     ]
-    long = df.select(
-        *keys,
-        (weight if weight is not None else F.lit(1)).cast("bigint").alias("_w"),
-        F.explode(F.array(*tagged)).alias("_t"),
-    ).select(*keys, "_w", "_t._m", "_t._v").filter(F.col("_v").isNotNull())
-    return long.groupBy(*keys, "_m", "_v").agg(F.sum("_w").alias("_n"))
+    long = df.select(*keys, F.explode(F.array(*tagged)).alias("_t")).select(
+        *keys, "_t._m", "_t._v").filter(F.col("_v").isNotNull())
+    return long.groupBy(*keys, "_m", "_v").agg(F.count("*").alias("_n"))
 
 
 def from_counts(counts: DataFrame, keys: list[str], specs: dict[str, Spec],
@@ -64,44 +68,54 @@ def approx_quantiles(df: DataFrame, keys: list[str], specs: dict[str, Spec],
 
 
 def _by_frequency(counts: DataFrame, keys: list[str], specs: dict[str, Spec]) -> DataFrame:
+    measure = _measure_of(specs)
     return counts.groupBy(*keys).agg(*[
-        F.expr(f"percentile(_v, {p}D, _n) FILTER (WHERE _m = {i})").alias(alias)
-        for i, (alias, (_, p)) in enumerate(specs.items())
+        F.expr(f"percentile(_v, {p}D, _n) FILTER (WHERE _m = {measure[alias]})").alias(alias)
+        for alias, (_, p) in specs.items()
     ])
 
 
 def _by_rank(counts: DataFrame, keys: list[str], specs: dict[str, Spec]) -> DataFrame:
-    probs = [p for _, p in specs.values()]
-    counts = counts.withColumn("_b", value_bucket(F.col("_v")))
-    group = Window.partitionBy(*keys, "_m")
-    buckets = (
-        counts.groupBy(*keys, "_m", "_b").agg(F.sum("_n").alias("_bn"))
-        .withColumn("_below", F.sum("_bn").over(
-            group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("_below", F.coalesce("_below", F.lit(0)))
+    measure = _measure_of(specs)
+    probs = [
+        sorted({p for a, (_, p) in specs.items() if measure[a] == m})
+        for m in range(len(_values(specs)))
+    ]
+    # one struct for the group and the measure: it joins and hashes as a whole, NULLs included
+    placed = counts.select(
+        F.struct(*keys, "_m").alias("_k"), "_v", "_n", value_bucket(F.col("_v")).alias("_b"))
+    group = Window.partitionBy("_k")
+    wanted_probs = F.element_at(
+        F.array(*[F.array(*[F.lit(float(p)) for p in ps]) for ps in probs]), F.col("_k._m") + 1)
+    wanted = (
+        placed.groupBy("_k", "_b").agg(F.sum("_n").alias("_bn"))
+        .withColumn("_upto", F.sum("_bn").over(
+            group.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_total", F.sum("_bn").over(group))
-        .withColumn("_p", F.element_at(F.array(*[F.lit(float(p)) for p in probs]),
-                                       F.col("_m") + 1))
+        .withColumn("_p", F.explode(wanted_probs))
         .withColumn("_pos", (F.col("_total") - 1) * F.col("_p"))
+        .withColumn("_below", F.col("_upto") - F.col("_bn"))
         .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos"))
+        .filter((F.col("_below") <= F.col("_hi")) & (F.col("_lo") < F.col("_upto")))
+        .select("_k", "_b", "_below", "_p", "_pos", "_lo", "_hi")
     )
-    wanted = buckets.filter(
-        (F.col("_below") <= F.col("_hi")) & (F.col("_lo") < F.col("_below") + F.col("_bn"))
-    ).select(*keys, "_m", "_b", "_below", "_pos", "_lo", "_hi")
-    inside = Window.partitionBy(*keys, "_m", "_b").orderBy("_v")
+    inside = Window.partitionBy("_k", "_b", "_p").orderBy("_v")
     ranked = (
-        join_on(counts, wanted, [*keys, "_m", "_b"])
+        placed.join(wanted, ["_k", "_b"])
         .withColumn("_to", F.col("_below") + F.sum("_n").over(
             inside.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_from", F.col("_to") - F.col("_n"))
+        .select(*[F.col(f"_k.{c}").alias(c) for c in [*keys, "_m"]], "_p", "_v", "_pos", "_lo",
+                "_hi", "_from", "_to")
     )
+    aggs = []
+    for alias, (_, p) in specs.items():
+        mine = (F.col("_m") == measure[alias]) & (F.col("_p") == float(p))
 
-    def at(i: int, rank: str) -> Column:
-        hit = (F.col("_m") == i) & (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_to"))
-        return F.max(F.when(hit, F.col("_v")))
+        def at(rank: str, mine: Column = mine) -> Column:
+            hit = mine & (F.col("_from") <= F.col(rank)) & (F.col(rank) < F.col("_to"))
+            return F.max(F.when(hit, F.col("_v")))
 
-    aggs = []
-    for i, alias in enumerate(specs):
-        frac = F.max(F.when(F.col("_m") == i, F.col("_pos") - F.col("_lo")))
-        aggs.append((at(i, "_lo") * (1.0 - frac) + at(i, "_hi") * frac).alias(alias))
+        frac = F.max(F.when(mine, F.col("_pos") - F.col("_lo")))
+        aggs.append((at("_lo") * (1.0 - frac) + at("_hi") * frac).alias(alias))
     return ranked.groupBy(*keys).agg(*aggs)
