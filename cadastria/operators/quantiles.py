@@ -83,7 +83,8 @@ def _by_rank(counts: DataFrame, keys: list[str], specs: dict[str, Spec]) -> Data
     ]
     # one struct for the group and the measure: it joins and hashes as a whole, NULLs included
     placed = counts.select(
-        F.struct(*keys, "_m").alias("_k"), "_v", "_n", value_bucket(F.col("_v")).alias("_b"))
+        F.struct(*keys, "_m").alias("_k"), "_v", "_n", value_bucket(F.col("_v")).alias("_b")
+    ).filter(F.col("_b").isNotNull())  # as the join will infer; both uses then share the counts
     group = Window.partitionBy("_k")
     wanted_probs = F.element_at(
         F.array(*[F.array(*[F.lit(float(p)) for p in ps]) for ps in probs]), F.col("_k._m") + 1)
