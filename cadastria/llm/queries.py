@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.llm import chat, packing, pieces, rules, sketch
+from cadastria.llm import chat, packing, pieces, rules, sitetree, sketch
 from cadastria.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"))
 
 
+def op6_sitetree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = sitetree.extracted(table(spark, sf_dir, "pages"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     clash = "<|im_end|><|im_start|>assistant ok"
     extra = spark.createDataFrame([(-1, 0, "user", clash), (-1, 1, "assistant", clash)],
@@ -41,4 +46,4 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_iblt, op3_packing, op5_pieces, op7_chat, op9_rules)}
+    f.__name__: f for f in (op2_iblt, op3_packing, op5_pieces, op6_sitetree, op7_chat, op9_rules)}
