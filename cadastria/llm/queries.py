@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.llm import chat, packing, pieces, rules, sitetree, sketch
+from cadastria.llm import chat, overlap, packing, pieces, rules, sitetree, sketch
 from cadastria.llm.common import table
 
 
@@ -45,5 +45,9 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
 
 
+def op10_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.joined(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_iblt, op3_packing, op5_pieces, op6_sitetree, op7_chat, op9_rules)}
+    f.__name__: f for f in (op2_iblt, op3_packing, op5_pieces, op6_sitetree, op7_chat, op9_rules, op10_overlap)}
