@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.llm import chat, overlap, packing, pieces, rules, sitetree, sketch
+from cadastria.llm import chat, overlap, packing, pieces, rules, sitetree, sketch, suffixes
 from cadastria.llm.common import table
 
 
@@ -40,6 +40,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_digests(chat.formatted(turns))
 
 
+def op8_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed(table(spark, sf_dir, "documents"))
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.with_verdict(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
@@ -50,4 +54,4 @@ def op10_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_iblt, op3_packing, op5_pieces, op6_sitetree, op7_chat, op9_rules, op10_overlap)}
+    f.__name__: f for f in (op2_iblt, op3_packing, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap)}
