@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.llm import chat, overlap, packing, pieces, rules, sitetree, sketch, suffixes
+from cadastria.llm import chat, overlap, packing, pieces, pii, rules, sitetree, sketch, suffixes
 from cadastria.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+              for k, name in enumerate(pii.BASE_KINDS)]
+    return found.select("doc_id", *counts, F.sha2(F.encode(pii.as_text(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
+                        pii.as_text(F.col("all")).alias("spans"))
+
+
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
@@ -54,4 +62,4 @@ def op10_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_iblt, op3_packing, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap)}
+    f.__name__: f for f in (op2_iblt, op3_packing, op4_weak_pii, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap)}
