@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.llm import chat, overlap, packing, pieces, pii, rules, sitetree, sketch, suffixes
+from cadastria.llm import chat, factorisation, overlap, packing, pieces, pii, rules, sitetree, sketch, suffixes
 from cadastria.llm.common import table
 
 
+def op1_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return factorisation.scored(docs, factorisation.trained(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_iblt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited_and_next(table(spark, sf_dir, "documents"))
 
@@ -62,4 +67,4 @@ def op10_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_iblt, op3_packing, op4_weak_pii, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap)}
+    f.__name__: f for f in (op1_factorisation, op2_iblt, op3_packing, op4_weak_pii, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap)}
