@@ -63,7 +63,7 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return overlap.joined(table(spark, sf_dir, "documents"))
+    return overlap.joined(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -232,16 +232,18 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """doc_id, text_id, n_bytes and copies of every row; text_id and spans; text_id and compressed bytes."""
+def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """text_id and spans of texts with repeated bytes, and text_id and compressed bytes of all texts."""
     rows = with_ids(docs)
     sorted_out = judged(suffixes(rows))
     texts = packed(rows)
     spans = (sorted_out.filter(F.col("kind") == SETTLED).select("text_id", "first", "end")
              .unionByName(repeated_strings(texts, sorted_out)))
-    by_text = spans.groupBy("text_id").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
-    sizes = rows.select("doc_id", "text_id", F.octet_length("text").cast("long").alias("n_bytes"))
-    return sizes, by_text, texts
+    return spans.groupBy("text_id").agg(F.collect_list(F.struct("first", "end")).alias("spans")), texts
+
+
+def copies(docs: DataFrame) -> DataFrame:
+    return with_ids(docs).groupBy("text_id").agg(F.count("*").alias("copies"))
 
 
 def kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -254,7 +256,7 @@ def kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def removed(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
-    sizes, by_text, texts = repeats(docs)
+    by_text, texts = repeats(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data"):
@@ -269,14 +271,60 @@ def removed(docs: DataFrame) -> DataFrame:
 
     cuts = (texts.join(by_text, "text_id")
             .mapInArrow(cut, "text_id long, n_removed long, n_spans long, kept_sha256 string").dropDuplicates(["text_id"]))
-    copies = sizes.groupBy("text_id").agg(F.count("*").alias("copies"))
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_id"),
                        F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(F.encode(text, "UTF-8"), 256).alias("whole"))
-    known = copies.join(cuts, "text_id", "left")
+    known = copies(docs).join(cuts, "text_id", "left")
     n, gone = F.col("n_bytes"), (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     return rows.join(known, "text_id").select(
         "doc_id", "n_bytes",
         F.when(gone, n).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256"))
+
+
+def whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that leave out characters of which they hold some bytes only."""
+    out = []
+    for first, end in spans:
+        while first < end and data[first] & 0xC0 == 0x80:
+            first += 1
+        while end > first and end < len(data) and data[end] & 0xC0 == 0x80:
+            end -= 1
+        if end > first:
+            out.append((first, end))
+    return out
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with the repeated bytes taken out of ``text`` and ``n_chars`` counted anew.
+
+    Characters that are repeated only in part stay. Texts left empty stay as empty texts.
+    """
+    by_text, _ = repeats(docs)
+    changed = (copies(docs).join(by_text, "text_id", "left").filter("copies > 1 or spans is not null")
+               .withColumnRenamed("text_id", "__text"))
+    names = docs.columns
+    rows = docs.withColumn("__id", F.xxhash64(F.coalesce("text", F.lit(""))))
+    met = rows.join(changed, F.col("__id") == F.col("__text"), "left").select(
+        *[F.col(f"`{c}`") for c in names], F.col("copies").alias("__copies"), F.col("spans").alias("__spans"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            columns = {c: batch.column(c) for c in names}
+            texts = columns["text"].to_pylist()
+            sizes = columns["n_chars"].to_pylist() if "n_chars" in columns else None
+            for i, (text, n, spans) in enumerate(zip(texts, batch.column("__copies").to_pylist(), batch.column("__spans").to_pylist())):
+                data = text.encode() if n else b""
+                if not n or len(data) < LENGTH:
+                    continue
+                runs = [(0, len(data))] if n > 1 else merged([(s["first"], s["end"]) for s in spans])
+                texts[i] = kept(data, whole_characters(data, runs)).decode()
+                if sizes:
+                    sizes[i] = len(texts[i])
+            columns["text"] = pa.array(texts, pa.string())
+            if sizes is not None:
+                columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return met.mapInArrow(cut, docs.schema)
