@@ -199,7 +199,7 @@ def features(kinds: np.ndarray, votes: np.ndarray) -> np.ndarray:
     """For each kind and labeler whether it says yes and whether it says no, and the kind."""
     one = np.eye(len(KINDS))[kinds]
     said = np.concatenate([votes == 1, votes == 0], axis=1).astype(float)
-    return np.concatenate([one, (one[:, :, None] * said[:, None, :]).reshape(len(kinds), -1)], axis=1)
+    return np.concatenate([one, (one[:, :, None] * said[:, None, :]).reshape(len(kinds), one.shape[1] * said.shape[1])], axis=1)
 
 
 def span_classifier(seen: Patterns, truth: np.ndarray, rounds: int = 30, ridge: float = 1.0) -> np.ndarray:

@@ -60,6 +60,8 @@ ASIDE_NAMES = set(
     "consent gdpr notice popup modal newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb "
     "breadcrumbs footer header masthead comment comments disqus replies share sharing social related widget".split())
 MAIN_TAGS = {"article", "main"}
+#: Elements that don't show and so don't end a word either.
+UNSEEN = {"script", "style", "template", "noscript", "title"}
 
 
 @dataclass
@@ -170,7 +172,7 @@ def without(node: Node, template: frozenset[str] = frozenset()) -> None:
                 left.append(child)
                 continue
             if child.is_aside(in_main):
-                left.append(" ")
+                left += [] if child.tag in INLINE or child.tag in UNSEEN else [" "]
                 continue
             left.append(child)
             if child.children:

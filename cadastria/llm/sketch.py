@@ -169,7 +169,7 @@ def beside_next(docs: DataFrame) -> DataFrame:
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     quantiles = docs.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    splits = [-math.inf, *sorted(set(quantiles)), math.inf]
+    splits = [-math.inf, *(sorted(set(quantiles)) or [0.0]), math.inf]
     cut = Bucketizer(splits=splits, inputCol="__id", outputCol="__cut", handleInvalid="keep")
     # stretch 1 has the largest ids; null ids come after all others
     last = len(splits)

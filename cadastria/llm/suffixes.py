@@ -305,18 +305,18 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     changed = (copies(docs).join(by_text, "text_id", "left").filter("copies > 1 or spans is not null")
                .withColumnRenamed("text_id", "__text"))
     names = docs.columns
-    rows = docs.withColumn("__id", F.xxhash64(F.coalesce("text", F.lit(""))))
-    met = rows.join(changed, F.col("__id") == F.col("__text"), "left").select(
-        *[F.col(f"`{c}`") for c in names], F.col("copies").alias("__copies"), F.col("spans").alias("__spans"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text.alias("text"), F.xxhash64(text).alias("id"))
+    met = rows.join(changed, F.col("id") == F.col("__text"), "left").select("row", "text", "copies", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            columns = {c: batch.column(c) for c in names}
+            columns = dict(zip(names, batch.column("row").flatten()))
             texts = columns["text"].to_pylist()
             sizes = columns["n_chars"].to_pylist() if "n_chars" in columns else None
-            for i, (text, n, spans) in enumerate(zip(texts, batch.column("__copies").to_pylist(), batch.column("__spans").to_pylist())):
-                data = text.encode() if n else b""
-                if not n or len(data) < LENGTH:
+            for i, (text, n, spans) in enumerate(zip(texts, batch.column("copies").to_pylist(), batch.column("spans").to_pylist())):
+                data = text.encode() if n and text else b""
+                if len(data) < LENGTH:
                     continue
                 runs = [(0, len(data))] if n > 1 else merged([(s["first"], s["end"]) for s in spans])
                 texts[i] = kept(data, whole_characters(data, runs)).decode()
