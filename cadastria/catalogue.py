@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,6 @@ from cadastria.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-BOOSTED = {"trees": 20, "depth": 5}
 
 
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -144,8 +144,7 @@ def spatial_range_join(w: Warehouse) -> DataFrame:
 def nearest_station(w: Warehouse) -> DataFrame:
     pairs = star.station_pairs(star.distinct_points(w.sales()), w.stations())
     return tidy(proximity.nearest_site(
-        pairs, ["lat_k", "lon_k"], "gare_proche", ["mode_gare_proche"], K.NEAR_STATION_M
-    ).drop("nb_sites_near"), 3)
+        pairs, ["lat_k", "lon_k"], "gare_proche", ["mode_gare_proche"]), 3)
 
 
 @query("stations_in_radius")
@@ -311,6 +310,12 @@ for _i, _m in enumerate(measures.MEASURES, 1):
     query(f"measure_k{_i:02d}_{_m}")(_measure(_m))
 
 
+@query("evolution_prix_m2_12m_monthly")
+def evolution_prix_m2_12m_monthly(w: Warehouse) -> DataFrame:
+    return tidy(evaluate(star_of(w, False), ["evolution_prix_m2_12m"],
+                         Context(("annee_mois", "zone"))))
+
+
 def _report(name: str) -> Callable[[Warehouse], DataFrame]:
     return lambda w: tidy(reports.run_report(star_of(w), name))
 
@@ -404,7 +409,7 @@ def pivot_year_place(w: Warehouse) -> DataFrame:
 
 @query("pivot_band_zone")
 def pivot_band_zone(w: Warehouse) -> DataFrame:
-    return tidy(extract.band_pivot(_bands(w), K.FLAT))
+    return tidy(extract.band_pivot(_bands(w), K.FLAT, 1999))
 
 
 # ---- data quality ------------------------------------------------------------------------
@@ -485,13 +490,16 @@ def _scratch(spark: SparkSession, name: str) -> str:
 
 @query("csv_by_name_union")
 def csv_by_name_union(w: Warehouse) -> DataFrame:
-    """Raw lines written as compressed CSV under three different headers, then landed by name."""
+    """Raw lines written as compressed CSV under three different headers, then landed by name.
+
+    Departments without a layout of their own, and lines without one, go with the plain layout.
+    """
     raw = w.raw_lines()
     folder = _scratch(w.store.spark, "csv")
-    dep = F.col("code_departement")
+    dep = F.coalesce("code_departement", F.lit(""))
     columns = raw.columns
     layouts = {
-        "plain": (dep.isin("0", "1"), raw),
+        "plain": (~dep.isin("2", "3", "4"), raw),
         "shuffled": (dep.isin("2", "3"), raw.select(
             *reversed(columns), F.lit("x").alias("section_prefixe"))),
         "short": (dep == "4", raw.drop("nombre_lots")),
@@ -505,16 +513,20 @@ def csv_by_name_union(w: Warehouse) -> DataFrame:
 
 @source_query("incremental_landing")
 def incremental_landing(spark: SparkSession, sf: str) -> DataFrame:
-    """Events dropped as files in two deliveries; each run of the stream lands the unseen files."""
+    """Events dropped as files in two deliveries under two headers; each run of the stream lands the
+    unseen files."""
     folder, target = _scratch(spark, "inbox"), _scratch(spark, "landed")
-    events = standin.table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
-    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
-    name = f"events-{uuid.uuid4().hex}"
-    for delivery in (early, ~early):
-        events.filter(delivery).write.mode("append").option("header", True).csv(folder)
-        incremental.land_new_files(spark, folder, events.columns, target, name)
+    columns = ["event_id", "ts", "user_id", "event_type"]
+    events = standin.table(spark, sf, "events").select(*columns)
+    texts = events.withColumn("ts", F.col("ts").cast("string"))
+    early = F.coalesce(F.col("ts") < "2024-01-16", F.lit(False))
+    for delivery in (texts.filter(early), texts.filter(~early).select(
+            *reversed(columns), F.lit("second").alias("origin"))):
+        delivery.write.mode("append").option("header", True).csv(folder)
+        incremental.land_new_files(spark, folder, columns, target)
     return spark.read.parquet(target).select(
-        F.col("event_id").cast("bigint"), F.col("user_id").cast("bigint"), "event_type")
+        F.col("event_id").cast("bigint"), F.col("ts").cast("timestamp"),
+        F.col("user_id").cast("bigint"), "event_type")
 
 
 @query("file_manifest_diff")
@@ -705,18 +717,36 @@ def hedonic_report(w: Warehouse) -> DataFrame:
 @query("ablation")
 def ablation(w: Warehouse) -> DataFrame:
     """Boosted trees with and without enrichment against the baseline."""
-    return boosted.evaluate_models(_training(w), **BOOSTED)[0]
+    return boosted.evaluate_models(_training(w), fitted=_split_model(w))[0]
+
+
+_FITTED: dict[str, PipelineModel] = {}
+
+
+def _split_model(w: Warehouse) -> PipelineModel:
+    """The enriched model of the temporal split, fitted once per warehouse."""
+    if w.store.root not in _FITTED:
+        split = model.temporal_split(_training(w))
+        _FITTED[w.store.root] = boosted.fit_boosted(
+            split.filter("part = 'train'"), boosted.ENRICHED, split.filter("part = 'valid'"))
+    return _FITTED[w.store.root]
 
 
 @query("importance")
 def importance(w: Warehouse) -> DataFrame:
-    split = model.temporal_split(_training(w))
-    fitted = boosted.fit_boosted(split.filter("part = 'train'"), boosted.ENRICHED,
-                                 split.filter("part = 'valid'"), **BOOSTED)
-    return boosted.importance(fitted, boosted.ENRICHED)
+    return boosted.importance(_split_model(w), boosted.ENRICHED)
+
+
+@query("out_of_sample_metrics")
+def out_of_sample_metrics(w: Warehouse) -> DataFrame:
+    """Errors over all years, each predicted by a model that has not seen it."""
+    scored = w.store.table("out_of_sample", lambda: boosted.out_of_sample(
+        _training(w), boosted.retained_trees(_split_model(w))))
+    return boosted.out_of_sample_metrics(scored)
 
 
 @query("gbt_model")
 def gbt_model(w: Warehouse) -> DataFrame:
     """Out-of-sample predictions of the boosted trees, one year left out at a time."""
-    return boosted.out_of_sample(_training(w), **BOOSTED)
+    return w.store.table("out_of_sample", lambda: boosted.out_of_sample(
+        _training(w), boosted.retained_trees(_split_model(w))))

@@ -102,13 +102,19 @@ def line_totals(lines: DataFrame) -> DataFrame:
 
 
 def sale_grain(lines: DataFrame) -> DataFrame:
+    """One row per sale; lines without an id are one sale of their own.
+
+    The id travels as a struct, which groups, hashes and joins like any value when it holds NULL.
+    """
     c = F.col
     counts = ["nb_appartements", "nb_maisons", "nb_dependances", "nb_locaux_activite"]
+    keyed = lines.withColumn("id_mutation", F.struct(c("id_mutation").alias("id")))
     sales = (
-        line_totals(lines).join(price_totals(lines), "id_mutation")
-        .join(parcel_totals(lines), "id_mutation")
-        .join(unit_totals(distinct_units(lines)), "id_mutation", "left")
+        line_totals(keyed).join(price_totals(keyed), "id_mutation", "left")
+        .join(parcel_totals(keyed), "id_mutation", "left")
+        .join(unit_totals(distinct_units(keyed)), "id_mutation", "left")
         .withColumns({n: F.coalesce(n, F.lit(0)) for n in counts})
+        .withColumn("id_mutation", c("id_mutation.id"))
     )
     return sales.select(
         "*",

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastria.session import broadcast_if_small, checkpointed
+from cadastria.session import checkpointed
 
 RESULT = ("variable string, coefficient double, erreur_standard double, effet_pct double, "
           "ic95_bas_pct double, ic95_haut_pct double, n bigint, groupes bigint")
@@ -52,7 +52,7 @@ class Fit:
 def demean(df: DataFrame, group: str, columns: list[str]) -> DataFrame:
     """Columns centred by group; means are aggregated with map-side combine and joined back."""
     means = df.groupBy(group).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
-    return df.join(broadcast_if_small(means), group).withColumns(
+    return df.join(means, group).withColumns(
         {f"{c}_centre": F.col(c) - F.col(f"_mean_{c}") for c in columns}
     ).drop(*[f"_mean_{c}" for c in columns])
 
@@ -209,7 +209,7 @@ def within_slope(df: DataFrame, group: str, x: Column, y: Column,
         F.try_divide(F.sum("xy"), F.sum("xx")).alias("pente"), F.sum("xx").alias("sxx"),
         F.sum("n").alias("total"), F.count("*").alias("groupes"))
     score = F.col("xy") - F.col("xx") * F.col("pente")
-    meat = p.join(broadcast_if_small(slopes), segment).groupBy(*segment).agg(
+    meat = p.join(slopes, segment).groupBy(*segment).agg(
         F.sum(score * score).alias("meat"))
     g, rows = F.col("groupes"), F.col("total")
     scale = F.try_divide(g, g - 1) * (rows - 1) / F.greatest(rows - 1 - g, F.lit(1))

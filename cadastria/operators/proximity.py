@@ -1,9 +1,9 @@
 """Points within a radius of sites, through an equi-join on grid cells.
 
-Rows of cells are as high as the radius; the width of the cells of a row follows from the largest
-latitude of that row, so the grid is exact at any latitude short of the poles. Every site is copied
-to the 3 x 3 cells around it and a point looks only into its own cell: each pair in reach meets
-exactly once.
+Rows of cells are as high as the radius; each row is cut into a whole number of cells around the
+globe, wide enough at the row's largest latitude, so cells wrap at 180 degrees and a row at a pole is
+one cell. Every site is copied to the cells around it and a point looks only into its own cell: each
+pair in reach meets exactly once.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from cadastria.functions import columns as C
 from cadastria.functions import constants as K
-from cadastria.session import broadcast_if_small
 
 _M_PER_DEGREE = math.radians(1.0) * K.EARTH_RADIUS_M
 _MARGIN = 1.01
@@ -25,11 +24,18 @@ def cell_row(lat: Column, radius_m: float) -> Column:
     return F.floor(lat / (radius_m / _M_PER_DEGREE * _MARGIN))
 
 
-def cell_column(lon: Column, row: Column, radius_m: float) -> Column:
+def cells_of_row(row: Column, radius_m: float) -> Column:
+    """Cells around the globe: a point of the row reaches no further than one cell to either side."""
     height = radius_m / _M_PER_DEGREE * _MARGIN
-    far = F.least(F.greatest(F.abs(row * height), F.abs((row + 1) * height)), F.lit(89.0))
-    width = F.lit(radius_m / _M_PER_DEGREE * _MARGIN) / F.cos(F.radians(far))
-    return F.floor(lon / width)
+    far = F.least(F.greatest(F.abs(row * height), F.abs((row + 1) * height)), F.lit(90.0))
+    reach = F.lit(math.sin(math.radians(height))) / F.greatest(F.cos(F.radians(far)), F.lit(1e-9))
+    return F.when(reach >= 1.0, 1).otherwise(
+        F.greatest(F.floor(360.0 / F.degrees(F.asin(reach))), F.lit(1))).cast("long")
+
+
+def cell_column(lon: Column, row: Column, radius_m: float) -> Column:
+    n = cells_of_row(row, radius_m)
+    return F.least(F.floor(F.pmod(lon + 180.0, F.lit(360.0)) / 360.0 * n), n - 1)
 
 
 def within_radius(points: DataFrame, sites: DataFrame, radius_m: float,
@@ -41,13 +47,15 @@ def within_radius(points: DataFrame, sites: DataFrame, radius_m: float,
         sites.withColumn("_row0", cell_row(slat, radius_m))
         .withColumn("_row", F.explode(F.sequence(F.col("_row0") - 1, F.col("_row0") + 1)))
         .withColumn("_col0", cell_column(slon, F.col("_row"), radius_m))
-        .withColumn("_col", F.explode(F.sequence(F.col("_col0") - 1, F.col("_col0") + 1)))
-        .drop("_row0", "_col0")
+        .withColumn("_n", cells_of_row(F.col("_row"), radius_m))
+        .withColumn("_col", F.explode(F.array_distinct(F.array(
+            *[F.pmod(F.col("_col0") + d, F.col("_n")) for d in (-1, 0, 1)]))))
+        .drop("_row0", "_col0", "_n")
     )
     placed = points.withColumn("_row", cell_row(plat, radius_m)).withColumn(
         "_col", cell_column(plon, F.col("_row"), radius_m))
     return (
-        placed.join(broadcast_if_small(cells), ["_row", "_col"])
+        placed.join(cells, ["_row", "_col"])
         .withColumn("distance_m", C.haversine_m(plat, plon, slat, slon))
         .filter(F.col("distance_m") <= radius_m)
         .drop("_row", "_col")
@@ -55,15 +63,19 @@ def within_radius(points: DataFrame, sites: DataFrame, radius_m: float,
 
 
 def nearest_site(pairs: DataFrame, keys: list[str], name: str, extra: list[str],
-                 near_m: float) -> DataFrame:
-    """Nearest site per point (ties: smallest name) and distinct site names within ``near_m``."""
+                 near_m: float | None = None) -> DataFrame:
+    """Nearest site per point (ties: smallest name) and distinct site names within ``near_m``.
+
+    One aggregation per point, combined before the shuffle: it moves points, not pairs. Only the names
+    within ``near_m`` of a point are held.
+    """
     best = F.struct(F.col("distance_m"), F.col(name), *[F.col(e) for e in extra])
-    per_name = pairs.groupBy(*keys, name).agg(F.min(best).alias("_top"))
-    folded = per_name.groupBy(*keys).agg(
-        F.min("_top").alias("_top"),
-        F.count_if(F.col("_top.distance_m") <= near_m).alias("nb_sites_near"),
-    )
-    return folded.select(
+    aggs = [F.min(best).alias("_top")]
+    if near_m is not None:
+        names = F.collect_set(F.when(F.col("distance_m") <= near_m, F.col(name)))
+        aggs.append(F.size(names).cast("long").alias("nb_sites_near"))
+    return pairs.groupBy(*keys).agg(*aggs).select(
         *keys, F.col("_top.distance_m").alias("distance_m"), F.col(f"_top.{name}").alias(name),
-        *[F.col(f"_top.{e}").alias(e) for e in extra], "nb_sites_near",
+        *[F.col(f"_top.{e}").alias(e) for e in extra],
+        *(["nb_sites_near"] if near_m is not None else []),
     )

@@ -156,6 +156,20 @@ def require_landing(gate: DataFrame) -> DataFrame:
     return gate
 
 
+def require_coverage(failures: DataFrame) -> None:
+    """``failures`` has a row for every share that is too small."""
+    found = failures.head()
+    if found is not None:
+        raise QualityError(f"coverage too small: {found.asDict()}")
+
+
+def require_fresh(found: DataFrame) -> None:
+    """Refuses what ``freshness`` calls an error; a warning passes."""
+    row = found.head()
+    if row is None or row.status == "error":
+        raise QualityError(f"data too old: {row.age_jours if row else None} days")
+
+
 def require_rows(df: DataFrame, name: str) -> DataFrame:
     if df.isEmpty():
         raise QualityError(f"empty source: {name}")

@@ -18,13 +18,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_DOUBLING = 64
+BUCKETS_PER_DOUBLING = 1024
+_SMALLEST = 1075  # doublings below one that a double can hold
 Spec = tuple[Column, float]
 
 
 def value_bucket(v: Column) -> Column:
-    """Non-decreasing in ``v``; about 1 % wide, so some thousands of buckets cover any money."""
-    return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1.0) * BUCKETS_PER_DOUBLING)).cast("int")
+    """Non-decreasing in ``v``; 0.07 % of the value wide at any magnitude, on either side of zero."""
+    size = F.abs(v)
+    inside = (F.floor(F.log2(size) * BUCKETS_PER_DOUBLING) + _SMALLEST * BUCKETS_PER_DOUBLING + 1)
+    last = 2 * _SMALLEST * BUCKETS_PER_DOUBLING
+    return F.when(v == 0, 0).when(size == float("inf"), F.signum(v) * last).otherwise(
+        F.signum(v) * inside).cast("int")
 
 
 def _values(specs: dict[str, Spec]) -> dict[str, Column]:
@@ -38,13 +43,16 @@ def _measure_of(specs: dict[str, Spec]) -> dict[str, int]:
 
 
 def value_counts(df: DataFrame, keys: list[str], specs: dict[str, Spec]) -> DataFrame:
-    """Long (keys, _m, _v, _n): how often each value of each measure occurs in each group."""
+    """Long (keys, _m, _v, _n): how often each value of each measure occurs in each group.
+
+    Missing values and NaN don't count.
+    """
     tagged = [
         F.struct(F.lit(i).alias("_m"), value.cast("double").alias("_v"))
         for i, value in enumerate(_values(specs).values())
     ]
     long = df.select(*keys, F.explode(F.array(*tagged)).alias("_t")).select(
-        *keys, "_t._m", "_t._v").filter(F.col("_v").isNotNull())
+        *keys, "_t._m", "_t._v").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     return long.groupBy(*keys, "_m", "_v").agg(F.count("*").alias("_n"))
 
 

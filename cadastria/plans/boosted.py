@@ -16,10 +16,12 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadastria.functions import columns as C
 from cadastria.plans import model as M
 
 BASE = [*M.CATEGORIES, *M.NUMBERS]
 ENRICHED = [*BASE, *M.ENRICHMENT]
+TREES, DEPTH = 60, 6
 
 
 def _sql(expressions: list[str]) -> SQLTransformer:
@@ -48,7 +50,7 @@ def _stages(features: list[str]) -> tuple[list, list[str]]:
 
 
 def fit_boosted(train: DataFrame, features: list[str], valid: DataFrame | None = None,
-                trees: int = 60, depth: int = 6, step: float = 0.05,
+                trees: int = TREES, depth: int = DEPTH, step: float = 0.05,
                 seed: int = 42) -> PipelineModel:
     """Encoders are fitted on the training rows only; ``valid`` only stops the boosting."""
     stages, _ = _stages(features)
@@ -68,6 +70,11 @@ def predict_prices(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("pred", F.exp("prediction"))
 
 
+def retained_trees(model: PipelineModel) -> int:
+    """Trees that are left after early stopping."""
+    return model.stages[-1].getNumTrees
+
+
 def importance(model: PipelineModel, features: list[str]) -> DataFrame:
     """Share of the total gain per variable; a missing-value flag counts with its variable."""
     _, columns = _stages(features)
@@ -77,15 +84,16 @@ def importance(model: PipelineModel, features: list[str]) -> DataFrame:
     per = df.groupBy("variable").agg(F.sum("gain").alias("gain"))
     total = df.select(F.sum("gain")).scalar()
     return per.withColumn("_t", total).select(
-        "variable", F.round(F.col("gain") / F.nullif(F.col("_t"), F.lit(0.0)) * 100, 1)
-        .alias("part_pct")).orderBy(F.col("part_pct").desc(), "variable")
+        "variable", C.round_half_even(
+            F.col("gain") / F.nullif(F.col("_t"), F.lit(0.0)) * 100, 1).alias("part_pct")).orderBy(F.col("part_pct").desc(), "variable")
 
 
-def evaluate_models(sales: DataFrame, trees: int, depth: int) -> tuple[DataFrame, PipelineModel]:
+def evaluate_models(sales: DataFrame, trees: int = TREES, depth: int = DEPTH,
+                    fitted: PipelineModel | None = None) -> tuple[DataFrame, PipelineModel]:
     """Boosted trees with and without enrichment and the median baseline, on the two last years."""
     split = M.temporal_split(sales)
     train, valid = split.filter("part = 'train'"), split.filter("part = 'valid'")
-    model = fit_boosted(train, ENRICHED, valid, trees, depth)
+    model = fitted or fit_boosted(train, ENRICHED, valid, trees, depth)
     plain = fit_boosted(train, BASE, valid, trees, depth)
     held = split.filter("part != 'train'")
     predicted = {
@@ -103,9 +111,18 @@ def evaluate_models(sales: DataFrame, trees: int, depth: int) -> tuple[DataFrame
     return report, model
 
 
-def out_of_sample(sales: DataFrame, trees: int, depth: int) -> DataFrame:
-    """Every sale predicted by a model that has not seen its year, with the gap to it."""
+def out_of_sample(sales: DataFrame, trees: int = TREES, depth: int = DEPTH) -> DataFrame:
+    """Every sale predicted by a model that has not seen its year, with the gap to it.
+
+    ``trees`` is what early stopping has left: a year's model has no year of its own to stop on.
+    """
     fit: Callable[[DataFrame], PipelineModel] = lambda df: fit_boosted(
         df, ENRICHED, None, trees, depth)
     return M.scored(M.leave_one_group_out(sales, fit)).select(
         "transaction_id", "annee", "prix_m2", "prix_m2_predit", "ecart_pct")
+
+
+def out_of_sample_metrics(scored: DataFrame) -> DataFrame:
+    """Error measures of the out-of-sample predictions over all years together."""
+    rows = scored.withColumn("part", F.lit("toutes_annees"))
+    return M.regression_metrics(rows, "prix_m2", "prix_m2_predit", ["part"])

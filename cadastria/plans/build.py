@@ -28,13 +28,14 @@ class Settings:
     output: str
     city_department: str = K.CITY_DEPARTMENT
     minimum_rows: int = K.MIN_RAW_ROWS
+    minimum_coverage: float = K.MIN_COVERAGE
     as_of: Column | None = None
     trees: int = 60
     depth: int = 6
     run_id: str = "manual"
     logical_date: str = ""
     checked: list[str] = field(default_factory=lambda: [
-        "lines", "sales", "proximity", "fact", "places", "calendar", "segments"])
+        "departments", "lines", "sales", "proximity", "fact", "places", "calendar", "segments"])
 
 
 def build(spark: SparkSession, s: Settings) -> Warehouse:
@@ -43,6 +44,8 @@ def build(spark: SparkSession, s: Settings) -> Warehouse:
     landing.overwrite(landing.land_sales(spark, s.sales), raw_path)
     raw = spark.read.parquet(raw_path)
     Q.require_landing(Q.landing_gate(raw, s.departments, s.minimum_rows))
+    Q.require_fresh(Q.freshness(raw, "_loaded_at", F.current_timestamp(),
+                                K.FRESHNESS_WARN_DAYS, K.FRESHNESS_ERROR_DAYS))
     inputs = Inputs(
         lines=lambda: raw, stations=lambda: s.stations, planned=lambda: s.planned,
         income=lambda: s.income, energy=lambda: s.energy, departments=lambda: s.departments,
@@ -50,10 +53,15 @@ def build(spark: SparkSession, s: Settings) -> Warehouse:
     w = Warehouse(spark, f"{s.output}#{s.run_id}", inputs)
     for name in s.checked:
         Q.enforce(checks.check_table(w, name))
+    Q.require_coverage(checks.coverage_failures(w, s.minimum_coverage))
     predictions = publish_model(w, s)
     w.use_predictions(predictions)
-    Q.enforce(checks.check_table(w, "gaps"))
-    landing.overwrite(w.band_evolution(), f"{s.output}/mart_proximite")
+    for name in ("predictions", "gaps", "band_evolution"):
+        Q.enforce(checks.check_table(w, name))
+    for name, table in (("fact", w.fact()), ("dim_temps", w.calendar()), ("dim_geo", w.places()),
+                        ("dim_bien", w.segments()), ("mart_ecarts", w.gaps()),
+                        ("mart_proximite", w.band_evolution())):
+        landing.overwrite(table, f"{s.output}/{name}")
     extract.export({
         "prix_communes": extract.place_prices(w.fact(), w.places()),
         "prix_gares": extract.band_prices(w.fact(), w.places()),
@@ -80,8 +88,12 @@ def publish_model(w: Warehouse, s: Settings) -> DataFrame:
         station_effect.station_effect_report(
             station_effect.station_sales(w.fact(), w.places())),
         f"{s.output}/report_effet_gare")
-    scored = boosted.out_of_sample(sales, s.trees, s.depth)
+    scored = boosted.out_of_sample(sales, boosted.retained_trees(fitted), s.depth)
     path = f"{s.output}/predictions"
+    landing.overwrite(scored, f"{s.output}/out_of_sample")
+    scored = w.store.spark.read.parquet(f"{s.output}/out_of_sample")
+    landing.overwrite(boosted.out_of_sample_metrics(scored),
+                      f"{s.output}/report_hors_echantillon")
     landing.overwrite(scored.select("transaction_id", "prix_m2_predit", "ecart_pct"), path)
     return w.store.spark.read.parquet(path)
 

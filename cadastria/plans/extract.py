@@ -9,7 +9,7 @@ from cadastria.functions import columns as C
 from cadastria.functions import constants as K
 from cadastria.operators.quantiles import approx_quantiles, exact_quantiles
 from cadastria.plans.marts import located_fact
-from cadastria.session import broadcast_if_small, join_on
+from cadastria.session import join_on
 
 _PLACE = ["code_commune", "nom_commune", "code_departement", "nom_departement", "zone",
           "latitude", "longitude"]
@@ -45,7 +45,7 @@ def place_prices(fact: DataFrame, places: DataFrame, minimum: int = K.MIN_GROUP_
     }, minimum, approx, {"prix_m2_q1": True, "prix_m2_median": True, "prix_m2_q3": True,
                          "surface_mediane": False})
     # geo_key decides the other place columns, so they are joined after the aggregation
-    return found.join(broadcast_if_small(places.select("geo_key", *_PLACE)), "geo_key").select(
+    return found.join(places.select("geo_key", *_PLACE), "geo_key").select(
         *_PLACE, "type_bien", "annee", "nb_ventes", "prix_m2_q1", "prix_m2_median", "prix_m2_q3",
         "surface_mediane")
 
@@ -70,15 +70,15 @@ def place_gaps(gaps: DataFrame, places: DataFrame, minimum: int = K.MIN_GROUP_SA
         part_sous_marche_pct=C.share_pct(F.count_if(gap <= -20), F.count("*")),
         part_au_dessus_pct=C.share_pct(F.count_if(gap >= 20), F.count("*")))
     names = ["code_commune", "nom_commune", "code_departement", "zone"]
-    return found.join(broadcast_if_small(places.select("geo_key", *names)), "geo_key").select(
+    return found.join(places.select("geo_key", *names), "geo_key").select(
         *names, "type_bien", "nb_ventes", "ecart_absolu_median_pct", "part_sous_marche_pct",
         "part_au_dessus_pct")
 
 
 def export(frames: dict[str, DataFrame], folder: str) -> None:
-    """One Parquet file per extract; extracts are aggregates, so one file is small."""
+    """One Parquet file per extract; the shuffle keeps the aggregation before it spread."""
     for name, df in frames.items():
-        df.coalesce(1).write.mode("overwrite").parquet(f"{folder}/{name}")
+        df.repartition(1).write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
 # ---- the explorer ------------------------------------------------------------------------

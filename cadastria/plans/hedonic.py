@@ -9,7 +9,6 @@ from cadastria.functions import columns as C
 from cadastria.functions import constants as K
 from cadastria.operators.hedonic import Levels, fixed_effect_ols
 from cadastria.plans.marts import located_fact
-from cadastria.session import broadcast_if_small
 
 _SEGMENT = ["zone", "type_bien"]
 
@@ -48,7 +47,7 @@ def station_effect(sales: DataFrame, segment: tuple[str, ...] = tuple(_SEGMENT))
     levels, numeric = design(years)
     comparable = comparable_segments(sales).select(*_SEGMENT)
     kept = sales.filter(F.col("type_bien").isin(K.DWELLINGS)).join(
-        broadcast_if_small(comparable), _SEGMENT, "left_semi")
+        comparable, _SEGMENT, "left_semi")
     return fixed_effect_ols(kept, list(segment), "geo_key", levels, numeric, F.log("prix_m2"))
 
 

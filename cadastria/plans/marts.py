@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cadastria.functions import columns as C
 from cadastria.functions import constants as K
 from cadastria.operators.quantiles import approx_quantiles, exact_quantiles
-from cadastria.session import broadcast_if_small, join_on
+from cadastria.session import join_on
 
 GAP_COLUMNS = [
     "transaction_id", "date_key", "geo_key", "bien_key", "date_mutation", "type_bien",
@@ -26,7 +26,7 @@ def located_fact(fact: DataFrame, places: DataFrame, columns: list[str]) -> Data
     """Inner star join that adds place columns; the fact's own department gives way."""
     own = [c for c in fact.columns if c not in columns]
     return fact.select(*own).join(
-        broadcast_if_small(places.select("geo_key", *columns)), "geo_key")
+        places.select("geo_key", *columns), "geo_key")
 
 
 def planned_band_evolution(fact: DataFrame, places: DataFrame,

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from cadastria.functions import columns as C
 from cadastria.functions import constants as K
 from cadastria.operators.grouping import dense_rank
-from cadastria.operators.quantiles import exact_quantiles
-from cadastria.session import broadcast_if_small, join_on
+from cadastria.operators.quantiles import exact_quantiles, from_counts, value_counts
+from cadastria.session import join_on
 
 ALL = "_all"
 _CALENDAR = ["date", "annee", "trimestre", "annee_trimestre", "mois", "annee_mois", "nom_mois",
@@ -82,7 +82,7 @@ def secure(star: Star, role: str | None) -> Star:
     if role not in K.ZONES:
         raise ValueError(f"unknown role {role!r}")
     seen = star.places.filter(F.col("zone") == role)
-    keys = broadcast_if_small(seen.select("geo_key"))
+    keys = seen.select("geo_key")
     return replace(
         star, places=seen, fact=star.fact.join(keys, "geo_key", "left_semi"),
         gaps=None if star.gaps is None else star.gaps.join(keys, "geo_key", "left_semi"),
@@ -110,7 +110,7 @@ def context_rows(star: Star, table: str, ctx: Context, need: tuple[str, ...] = (
             conds = ctx.predicate(columns)
             dim = getattr(star, name).select(key, *columns).filter(_all(conds))
             rows = rows.drop(*columns).join(
-                broadcast_if_small(dim), key, "inner" if conds or moved else "left")
+                dim, key, "inner" if conds or moved else "left")
     own = [c for c in wanted if not any(c in owned for _, _, owned in _DIMENSIONS)]
     return rows.filter(_all(ctx.predicate(own))).withColumn(ALL, F.lit(1))
 
@@ -224,10 +224,13 @@ def _rolling(star: Star, ctx: Context) -> DataFrame:
     windows = days.groupBy(*on).agg(F.max("date").alias("_end")).select(
         *on, F.explode(F.sequence(F.date_add(F.add_months("_end", -12), 1), F.col("_end")))
         .alias("date_mutation"))
-    rows = context_rows(star, "fact", ctx.without_time()).drop(ALL)
-    seen = rows.filter(_reliable()).join(broadcast_if_small(windows), "date_mutation")
-    return exact_quantiles(seen, [ALL, *ctx.by],
-                           {"prix_m2_median_12m": (F.col("prix_m2"), 0.5)}, bounded=True)
+    rows = context_rows(star, "fact", ctx.without_time()).drop(ALL).filter(_reliable())
+    spec = {"prix_m2_median_12m": (F.col("prix_m2"), 0.5)}
+    # values are counted per day first; only the counts are copied into the windows of their day
+    daily = value_counts(rows, [*ctx.other_axes, "date_mutation"], spec)
+    seen = daily.join(windows, "date_mutation").groupBy(ALL, *ctx.by, "_m", "_v").agg(
+        F.sum("_n").alias("_n"))
+    return from_counts(seen, [ALL, *ctx.by], spec, bounded=True)
 
 
 def _last_year_change(star: Star, ctx: Context) -> DataFrame:
@@ -235,16 +238,19 @@ def _last_year_change(star: Star, ctx: Context) -> DataFrame:
     keys, others = [ALL, *ctx.by], [ALL, *ctx.other_axes]
     ends = context_rows(star, "fact", ctx).groupBy(*keys).agg(
         F.max("date_mutation").alias("_end"))
-    rows = context_rows(star, "fact", ctx.without_time()).filter(_reliable()).select(
-        *others, "date_mutation", "prix_m2")
+    rows = context_rows(star, "fact", ctx.without_time()).filter(_reliable())
+    spec = {"_value": (F.col("prix_m2"), 0.5)}
+    daily = value_counts(rows, [*others, "date_mutation"], spec)
+    # every day of either twelve months: a period meets the counts of its days, not all counts
     mid = F.add_months("_end", -12)
-    day = F.col("date_mutation")
-    seen = join_on(rows, broadcast_if_small(ends), others).filter(
-        (day <= F.col("_end")) & (day > F.add_months(mid, -12)))
-    found = exact_quantiles(seen, keys, {
-        "_cur": (F.when(day > mid, F.col("prix_m2")), 0.5),
-        "_prev": (F.when(day <= mid, F.col("prix_m2")), 0.5),
-    }, bounded=True)
+    days = F.explode(F.sequence(F.date_add(F.add_months(mid, -12), 1), F.col("_end")))
+    windows = ends.select(*keys, (days).alias("date_mutation"), mid.alias("_mid")).withColumn(
+        "_side", (F.col("date_mutation") <= F.col("_mid")).cast("int"))
+    sides = join_on(daily, windows, [*others, "date_mutation"]).groupBy(
+        *keys, F.col("_side").alias("_m"), "_v").agg(F.sum("_n").alias("_n"))
+    # measure 0 is the current side, measure 1 the one before
+    found = from_counts(sides, keys, {"_cur": (F.lit("current"), 0.5), "_prev": (F.lit("before"), 0.5)},
+                        bounded=True)
     return found.select(*keys, C.blank_change(F.col("_cur"), F.col("_prev"))
                         .alias("evolution_prix_m2_12m"))
 
@@ -256,7 +262,7 @@ def _since_first_year(star: Star, ctx: Context) -> DataFrame:
     everything = context_rows(star, "fact", ctx.without_time(), need=("zone",))
     first = everything.groupBy(*others).agg(F.year(F.min("date_mutation")).alias("_first"))
     base = exact_quantiles(
-        join_on(everything.filter(_reliable() & outside), broadcast_if_small(first), others)
+        join_on(everything.filter(_reliable() & outside), first, others)
         .filter(F.year("date_mutation") == F.col("_first")),
         others, {"_base": (F.col("prix_m2"), 0.5)}, bounded=True)
     current = exact_quantiles(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cadastria.functions import columns as C
 from cadastria.operators.quantiles import exact_quantiles
-from cadastria.session import broadcast_if_small, join_on
+from cadastria.session import join_on
 
 # Model columns and the origin of the continuous time variable.
 CATEGORIES = ["code_departement", "code_commune", "type_bien"]
@@ -29,7 +29,7 @@ def training_set(fact: DataFrame, places: DataFrame) -> DataFrame:
         "geo_key", F.col("latitude").alias("commune_lat"), F.col("longitude").alias("commune_lon"),
         "revenu_median_uc", "rapport_d9_d1", "part_dpe_fg_pct")
     day = F.col("date_mutation")
-    return fact.filter("est_prix_m2_fiable").join(broadcast_if_small(context), "geo_key").select(
+    return fact.filter("est_prix_m2_fiable").join(context, "geo_key").select(
         "transaction_id", "date_mutation", F.year(day).alias("annee"), F.month(day).alias("mois"),
         "code_departement", F.col("geo_key").alias("code_commune"), "type_bien",
         "surface_habitable", "nb_pieces",
@@ -59,7 +59,7 @@ def baseline(train: DataFrame, other: DataFrame, target: str = "prix_m2") -> Dat
 
     def medians(keys: list[str], name: str) -> DataFrame:
         found = exact_quantiles(train, keys, price, bounded=True)
-        return broadcast_if_small(found.withColumnRenamed("_m", name))
+        return found.withColumnRenamed("_m", name)
 
     by_place, by_dep = ["code_commune", "type_bien"], ["code_departement", "type_bien"]
     everything = exact_quantiles(train.withColumn("_all", F.lit(1)), ["_all"], price, bounded=True)
@@ -144,7 +144,7 @@ def leave_one_group_out_mean(df: DataFrame, by: list[str], target: Column,
     rest = join_on(per_group, total, by).select(
         *by, group,
         C.ratio(F.col("_ts") - F.col("_s"), F.col("_tn") - F.col("_n")).alias("prediction"))
-    return join_on(df, broadcast_if_small(rest), [*by, group], "left")
+    return join_on(df, rest, [*by, group], "left")
 
 
 def scored(df: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from cadastria.functions import columns as C
 from cadastria.functions import constants as K
 from cadastria.operators.grouping import majority_value
 from cadastria.operators.proximity import nearest_site, within_radius
-from cadastria.session import broadcast_if_small
 
 _POINT = ["lat_k", "lon_k"]  # ten-thousandths of a degree, about 10 m
 
@@ -44,7 +43,7 @@ def places(sales: DataFrame, departments: DataFrame, income: DataFrame,
     )
     return (
         named.join(located, "code_commune")
-        .join(broadcast_if_small(departments), "code_departement", "left")
+        .join(departments, "code_departement", "left")
         .join(income, "code_commune", "left")
         .join(energy, "code_commune", "left")
         .select(
@@ -112,10 +111,9 @@ def point_proximity(points: DataFrame, stations: DataFrame, planned: DataFrame)
     """
     near = nearest_site(station_pairs(points, stations), _POINT, "gare_proche",
                         ["mode_gare_proche"], K.NEAR_STATION_M)
-    plan = nearest_site(planned_pairs(points, planned), _POINT, "gare_gpe_proche", [],
-                        K.NEAR_STATION_M)
+    plan = nearest_site(planned_pairs(points, planned), _POINT, "gare_gpe_proche", [])
     near = near.withColumnsRenamed({"distance_m": "d_gare", "nb_sites_near": "n_near"})
-    plan = plan.withColumnRenamed("distance_m", "d_gpe").drop("nb_sites_near")
+    plan = plan.withColumnRenamed("distance_m", "d_gpe")
     return points.join(near, _POINT, "left").join(plan, _POINT, "left").select(
         *_POINT,
         C.round_half_away(F.coalesce("d_gare", F.lit(float(K.STATION_RADIUS_M)))).alias(

@@ -8,8 +8,6 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
 
 def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the bench; clusters bring their own."""
@@ -48,11 +46,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a row count; beyond it Spark picks a shuffled join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join where NULL keys match each other; the left spelling of the keys is kept."""
     renamed = right.select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,12 @@ def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+def source_file() -> Column:
+    """Name of the file a row was read from; the path is percent-encoded, and a plus is a plus."""
+    name = F.substring_index(F.col("_metadata.file_path"), "/", -1)
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, header): the first line of every file, found in parallel."""
     rows = spark.read.text(paths).select(
@@ -49,12 +56,12 @@ def read_csv_by_name(spark: SparkSession, paths: str | list[str], keep: list[str
         labels = [n if n not in names[:i] else f"_dup{i}" for i, n in enumerate(names)]
         part = (
             spark.read.schema(text_schema(labels)).option("header", True).option("sep", sep)
-            .option("encoding", "UTF-8").csv(g.paths)
+            .option("encoding", "UTF-8").csv([unquote(p) for p in g.paths])
         )
         present = [n for n in keep if n in labels]
         # an empty cell is a missing value, quoted or not
         parts.append(part.select(*[C.blank_to_null(n).alias(n) for n in present],
-                                 F.col("_metadata.file_name").alias("_source_file")))
+                                 source_file().alias("_source_file")))
     if not parts:
         parts = [spark.createDataFrame([], text_schema([*keep, "_source_file"]))]
     out = parts[0]
@@ -71,7 +78,7 @@ def stamped(df: DataFrame) -> DataFrame:
 
 
 def land_sales(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All sale files as text with provenance; blank cells stay as read."""
+    """All sale files as text with provenance; blank cells are NULL."""
     return stamped(read_csv_by_name(spark, paths, K.RAW_COLUMNS))
 
 
@@ -196,6 +203,14 @@ def read_income(spark: SparkSession, path: str, departments: list[str],
     return found.withColumns({"millesime": C.vintage(url), "source_url": url})
 
 
+def require_resource(resources: DataFrame) -> str:
+    """The URL of the most recent CSV; a list without one is an error."""
+    found = latest_csv_resource(resources).head()
+    if found is None or found.url is None:
+        raise ValueError("no CSV among the resources")
+    return found.url
+
+
 def latest_csv_resource(resources: DataFrame, by: list[str] | None = None) -> DataFrame:
     """URL of the most recent CSV of a resource list; a missing date sorts lowest."""
     csv = resources.filter(F.lower(F.coalesce("format", F.lit(""))) == "csv")

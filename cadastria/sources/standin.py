@@ -112,20 +112,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out the rows of an input that has fewer files than the session has cores.
-
-    A file with a single row group is one task however long the work after it; an input of many
-    files is already spread and gets no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
-
-
 def run(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:
     used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in template}
-    if "lineitem" in used:
-        used["lineitem"] = spread(used["lineitem"], "l_orderkey", "l_partkey", "l_linenumber")
     return spark.sql(template, **used)
 
 

@@ -1,39 +1,84 @@
-"""Incremental landing: a file stream that picks up files not yet seen and then stops."""
+"""Incremental landing: a file stream that picks up files not yet seen and then stops, and a refresh
+that reloads what the source has republished."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from hashlib import md5
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.session import shared_folder
-from cadastria.sources.landing import PROVENANCE, stamped, text_schema
+from cadastria.functions import columns as C
+from cadastria.session import checkpointed, shared_folder
+from cadastria.sources import landing
+from cadastria.sources.landing import PROVENANCE, stamped
+
+
+def _cells(line: Column, most: int) -> Column:
+    """The first ``most`` cells of a CSV line, quotes undone."""
+    row = F.from_csv(line, ", ".join(f"c{i} string" for i in range(most)))
+    return F.array(*[row[f"c{i}"] for i in range(most)])
 
 
 def incoming_files(spark: SparkSession, folder: str, columns: list[str],
                    files_per_batch: int = 1000) -> DataFrame:
-    """Stream of text rows with provenance; the files of one folder share one header."""
-    rows = (
-        spark.readStream.schema(text_schema(columns)).option("header", True)
-        .option("maxFilesPerTrigger", files_per_batch).csv(folder)
-    )
-    return stamped(rows.withColumn("_source_file", F.col("_metadata.file_name")))
+    """Stream of text rows with provenance, bound by name: each file has a header of its own.
+
+    The headers are read before the stream starts. A file that comes later, or one without any of the
+    columns, fails the stream before its batch is committed; the next run lands it. Records are lines.
+    """
+    path = F.col("_metadata.file_path")
+    # one row per file, computed before the stream
+    heads = checkpointed(landing.file_headers(spark, folder)).select(
+        "path", "header", F.regexp_replace("header", "^﻿", "").alias("_names"))
+    # no header has more cells than commas and one
+    most = heads.agg(F.max(F.size(F.split("header", ",")))).head()[0] or 1
+    names = F.transform(_cells(F.col("_names"), most), lambda c: F.trim(c))
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder).select(
+        "value", path.alias("path"), landing.source_file().alias("_source_file"))
+    met = lines.join(heads.withColumn("_names", names), "path", "left").withColumn(
+        "_names", F.when(F.arrays_overlap("_names", F.lit(columns)), F.col("_names")).otherwise(
+            F.raise_error(F.concat(F.lit("no known header in "), F.col("path")))))
+    cells = met.filter((F.col("value") != F.col("header")) & (F.col("value") != "")).withColumn(
+        "_cells", _cells(F.col("value"), most))
 
+    def bound(name: str) -> Column:
+        at = F.array_position("_names", F.lit(name))
+        return C.blank_to_null(F.when(at > 0, F.get("_cells", (at - 1).cast("int")))).alias(name)
 
-def land_new_files(spark: SparkSession, folder: str, columns: list[str], target: str,
-                   name: str = "landing") -> None:
-    """Append the rows of unseen files to ``target``; progress is kept in the shared folder.
+    return stamped(cells.select(*[bound(c) for c in columns], "_source_file"))
+
+
+def land_new_files(spark: SparkSession, folder: str, columns: list[str], target: str) -> None:
+    """Append the rows of unseen files to ``target``; progress belongs to the folder and the target.
 
     The Parquet sink commits each batch once, so a retried batch does not repeat rows.
     """
     stream = incoming_files(spark, folder, columns)
+    progress = md5(f"{folder}\n{target}".encode()).hexdigest()
     (
         stream.select(*columns, *PROVENANCE).writeStream.format("parquet")
         .option("path", target)
-        .option("checkpointLocation", f"{shared_folder(spark)}/streams/{name}")
+        .option("checkpointLocation", f"{shared_folder(spark)}/streams/{progress}")
         .trigger(availableNow=True).start().awaitTermination()
     )
 
 
+def refresh_changed(spark: SparkSession, folder: str, columns: list[str], target: str,
+                    stored: DataFrame) -> DataFrame:
+    """Reload the files that are new or republished since ``stored``; returns the manifest to store.
+
+    Rows are partitioned by file, and only the partitions of reloaded files are overwritten.
+    """
+    remote = landing.manifest(spark, folder)
+    # names of changed files only
+    paths = [r["file"] for r in landing.changed_files(stored, remote).collect()]
+    if paths:
+        rows = landing.read_csv_by_name(spark, paths, columns)
+        refresh_partitions(spark, stamped(rows), target)
+    return remote
+
+
 def replace_files(landed: DataFrame, republished: DataFrame) -> DataFrame:
     """Rows of a republished file replace the rows landed from its earlier version."""
     names = republished.select("_source_file").distinct()

@@ -28,11 +28,14 @@ from (select *, case when est_vente_simple
     then {rnd('(valeur_fonciere / surface_habitable)', 2)} end as prix_m2 from sales)
 where prix_m2 between 1000 and 30000 group by 1, 2""")
 add("safe_typing", "select * from v_lines")
-add("distinct_units", "select * from locaux")
-add("unit_totals", "select * from locaux_agg")
-add("land_two_level", "select * from terrain")
+add("distinct_units", """select id_mutation, id_parcelle, type_local, surface_reelle_bati,
+  nombre_pieces from units""")
+add("unit_totals", """select id_mutation, n_flat as nb_appartements, n_house as nb_maisons,
+  n_outbuilding as nb_dependances, n_business as nb_locaux_activite,
+  dwelling_m2 as surface_habitable, rooms as nb_pieces from unit_counts""")
+add("land_two_level", "select id_mutation, land_m2 as surface_terrain from land")
 add("majority_value", """select id_mutation, code_commune, nom_commune, code_postal
-from maj_commune join maj_nom using (id_mutation) join maj_postal using (id_mutation)""")
+from maj_commune a join maj_nom b using (id_mutation) join maj_postal c using (id_mutation)""")
 add("sale_grain", rounded(
     "id_mutation, date_mutation, valeur_fonciere~, code_departement, code_commune, nom_commune, "
     "code_postal, nb_parcelles, nombre_lots, longitude~, latitude~, nb_lignes_source, "
@@ -434,7 +437,7 @@ add("pivot_year_place", "select annee, " + ", ".join(
 add("pivot_band_zone", "select tranche_dist_gare, " + ", ".join(
     f"""{rnd(f"({mean(f'''case when zone = '{z}' then prix_m2_median end''')})")} as "{z}" """
     for z in ("Paris", "Petite couronne", "Grande couronne")
-) + " from band_prices where type_bien = 'Appartement' group by 1")
+) + " from band_prices where type_bien = 'Appartement' and annee = 1999 group by 1")
 
 # ---- data quality ------------------------------------------------------------------------
 
@@ -559,6 +562,17 @@ add("profile_suspects", """select
   count(*) filter (try_cast(valeur_fonciere as double) > 20000000) as valeur_gt_20m
 from v_raw""")
 
+add("evolution_prix_m2_12m_monthly", f"""select annee_mois, zone,
+  {rnd('((coalesce(cur, 0) - coalesce(prev, 0)) / nullif(prev, 0))')} as evolution_prix_m2_12m
+from (select e.annee_mois, e.zone,
+    median(f.prix_m2) filter (f.date_mutation > e.mid) as cur,
+    median(f.prix_m2) filter (f.date_mutation <= e.mid) as prev
+  from (select annee_mois, zone, max(date_mutation) as fin,
+      cast(max(date_mutation) - interval 12 month as date) as mid from fx group by 1, 2) e
+    join fx f on f.zone is not distinct from e.zone and f.date_mutation <= e.fin
+      and f.date_mutation > cast(e.mid - interval 12 month as date)
+  where f.est_prix_m2_fiable group by 1, 2)
+where cur is not null or prev is not null""")
 # ---- landing -----------------------------------------------------------------------------
 
 _CSV = ["id_mutation", "date_mutation", "nature_mutation", "valeur_fonciere", "code_postal",
@@ -570,7 +584,7 @@ add("csv_by_name_union", "select " + ", ".join(
     else f"nullif({c}, '') as {c}" for c in _CSV
 ) + """, cast(null as varchar) as adresse_numero, cast(null as varchar) as adresse_nom_voie,
   cast(null as varchar) as code_type_local from v_raw""")
-add("incremental_landing", "select event_id, user_id, event_type from events")
+add("incremental_landing", "select event_id, ts, user_id, event_type from events")
 add("file_manifest_diff", """select cast(annee as varchar) || '_' || code_departement as file,
   case when annee = 1996 and code_departement = '1' then 'absent'
     when annee >= 2001 then 'nouveau' when code_departement = '2' then 'mis à jour'

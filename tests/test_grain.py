@@ -1,6 +1,8 @@
+import datetime as dt
+
 import pytest
 
-from cadastria.operators.grain import SALE_COLUMNS, distinct_lines, sale_grain
+from cadastria.operators.grain import LINE_COLUMNS, SALE_COLUMNS, distinct_lines, sale_grain
 
 SCHEMA = ("id_mutation string, date_mutation date, valeur_fonciere double, code_postal string, "
           "code_commune string, nom_commune string, code_departement string, id_parcelle string, "
@@ -9,7 +11,7 @@ SCHEMA = ("id_mutation string, date_mutation date, valeur_fonciere double, code_
 
 
 def line(**over):
-    import datetime as dt
+
 
     base = dict(id_mutation="m", date_mutation=dt.date(2024, 5, 2), valeur_fonciere=300000.0,
                 code_postal="92100", code_commune="92012", nom_commune="Boulogne",
@@ -126,3 +128,14 @@ def test_hot_sale_plan_shuffles_on_more_than_the_sale(hot_lines):
     lines = plan.split("\n")
     for x in alone:
         assert "partial_" in lines[lines.index(x) + 1]
+
+
+def test_lines_without_an_id_are_one_sale(spark):
+    columns = [f"{c} {t}" for c, t in zip(LINE_COLUMNS, [
+        "string", "date", "double", "string", "string", "string", "string", "string", "bigint",
+        "string", "double", "bigint", "double", "double", "double"])]
+    line = (None, dt.date(2020, 1, 1), 100.0, "75001", "101", "A", "75", "p1", 1, "Maison", 50.0, 2, 9.0, 2.0, 48.0)
+    other = (*line[:7], "p2", *line[8:])
+    sales = sale_grain(spark.createDataFrame([line, other, ("m", *line[1:])], ", ".join(columns))).collect()
+    got = {r.id_mutation: (r.nb_parcelles, r.nb_maisons, r.valeur_fonciere, r.type_bien) for r in sales}
+    assert got == {None: (2, 2, 100.0, "Multi-logements"), "m": (1, 1, 100.0, "Maison")}

@@ -114,6 +114,9 @@ def test_latest_resource(spark):
     got = landing.latest_csv_resource(
         spark.createDataFrame(rows, "format string, url string, last_modified string"))
     assert got.head().url == "u2"
+    with pytest.raises(ValueError):
+        landing.require_resource(spark.createDataFrame(
+            [("xlsx", "u3", "2023")], "format string, url string, last_modified string"))
 
 
 def test_empty_source_is_refused(spark, tmp_path):
@@ -125,18 +128,53 @@ def test_empty_source_is_refused(spark, tmp_path):
         Q.require_rows(df.limit(0), "t")
 
 
-def test_stream_lands_each_file_once(spark, tmp_path):
+def test_stream_lands_each_file_once_and_by_name(spark, tmp_path):
     inbox, target = tmp_path / "in", tmp_path / "out"
     inbox.mkdir()
-    name = f"test-{tmp_path.name}-{dt.datetime.now().timestamp()}"
-    (inbox / "a.csv").write_text("id,v\n1,x\n2,y\n")
-    incremental.land_new_files(spark, str(inbox), ["id", "v"], str(target), name)
-    (inbox / "b.csv").write_text("id,v\n3,z\n")
+    (inbox / "a.csv").write_text('id,v\n1,x\n2,"y, z"\n')
+    incremental.land_new_files(spark, str(inbox), ["id", "v"], str(target))
+    (inbox / "b c é.csv").write_text("v,w,id\nz,0,3\n,0,4\n")
     for _ in range(2):
-        incremental.land_new_files(spark, str(inbox), ["id", "v"], str(target), name)
+        incremental.land_new_files(spark, str(inbox), ["id", "v"], str(target))
     got = spark.read.parquet(str(target))
-    assert sorted((r.id, r._source_file) for r in got.collect()) == [
-        ("1", "a.csv"), ("2", "a.csv"), ("3", "b.csv")]
+    assert sorted((r.id, r.v or "", r._source_file) for r in got.collect()) == [
+        ("1", "x", "a.csv"), ("2", "y, z", "a.csv"), ("3", "z", "b c é.csv"), ("4", "", "b c é.csv")]
+    # the same folder into another target starts anew
+    incremental.land_new_files(spark, str(inbox), ["id"], str(tmp_path / "other"))
+    assert spark.read.parquet(str(tmp_path / "other")).count() == 4
+
+
+def test_stream_refuses_an_unknown_header(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("x,y\n1,2\n")
+    with pytest.raises(Exception, match="no known header"):
+        incremental.land_new_files(spark, str(inbox), ["id", "v"], str(tmp_path / "out"))
+
+
+def test_paths_with_spaces_and_accents_land(spark, tmp_path):
+    folder = tmp_path / "a b"
+    folder.mkdir()
+    write_gz(folder / "x é+1%.csv.gz", "valeur_fonciere,id_mutation", ["5,m4"])
+    rows = landing.land_sales(spark, str(folder)).collect()
+    assert [(r.id_mutation, r._source_file) for r in rows] == [("m4", "x é+1%.csv.gz")]
+
+
+def test_only_changed_files_are_reloaded(spark, tmp_path):
+    inbox, target = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("id,v\n1,x\n")
+    (inbox / "b.csv").write_text("v,id\ny,2\n")
+    none = spark.createDataFrame([], landing.manifest(spark, str(inbox)).schema)
+    stored = incremental.refresh_changed(spark, str(inbox), ["id", "v"], target, none).collect()
+    (inbox / "a.csv").write_text("id,v\n1,changed\n7,new\n")
+    kept = spark.createDataFrame(stored, none.schema)
+    status = {r.file.rsplit("/", 1)[1]: r.status for r in landing.manifest_diff(
+        kept, landing.manifest(spark, str(inbox))).collect()}
+    assert status == {"a.csv": K.FILE_UPDATED, "b.csv": K.FILE_CACHED}
+    incremental.refresh_changed(spark, str(inbox), ["id", "v"], target, kept)
+    got = spark.read.parquet(target).collect()
+    assert sorted((r.id, r.v) for r in got) == [("1", "changed"), ("2", "y"), ("7", "new")]
 
 
 def test_republished_file_replaces_its_rows(spark, tmp_path):

@@ -66,3 +66,19 @@ def test_proximity_caps_far_sales_and_skips_unlocated_ones(spark):
                               "id_mutation string, dist_gare_m double, dist_gpe_m double")
     ).filter(F.col("id_mutation") != "near2").collect()}
     assert banded == {"near": "1. Moins de 500 m", "far": "4. Plus de 2 km"}
+
+
+@pytest.mark.parametrize("lat,lon", [(12.0, 180.0), (-89.97, 40.0), (89.9, 180.0), (89.995, 0.0), (-60.0, -180.0)])
+def test_grid_wraps_and_holds_at_the_poles(spark, lat, lon):
+    rng = np.random.default_rng(7)
+    def spots(n):
+        la = np.clip(lat + rng.uniform(-.2, .2, n), -90, 90)
+        lo = (rng.uniform(0, 360, n) if abs(lat) > 89 else lon + rng.uniform(-.3, .3, n)) + 180
+        return la, lo % 360 - 180
+    (a, b), (c, d) = spots(300), spots(80)
+    p = spark.createDataFrame(pd.DataFrame({"id": range(300), "lat": a, "lon": b}))
+    s = spark.createDataFrame(pd.DataFrame({"name": [f"s{i}" for i in range(80)], "s_lat": c, "s_lon": d}))
+    got = within_radius(p, s, 10000.0, ("lat", "lon"), ("s_lat", "s_lon")).toPandas()
+    near = haversine(a[:, None], b[:, None], c, d) <= 10000.0
+    want = {(i, f"s{j}") for i, j in zip(*np.where(near))}
+    assert set(zip(got.id, got.name)) == want and len(got) == len(want) > 0

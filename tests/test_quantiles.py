@@ -10,7 +10,7 @@ from cadastria.operators.grouping import (
     majority_value,
     quantile_class,
 )
-from cadastria.operators.quantiles import approx_quantiles, exact_quantiles
+from cadastria.operators.quantiles import approx_quantiles, exact_quantiles, value_bucket
 from cadastria.operators.rolling import rolling_quantile
 
 
@@ -116,3 +116,22 @@ def test_rolling_quantile_matches_brute_force(spark):
         part = pdf[(pdf.g == r.g) & (pdf.month <= end) & (pdf.month > end - 12)]
         assert r.m == pytest.approx(part["v"].median())
     assert got.count() == pdf.groupby(["g", "month"]).ngroups
+
+
+def test_no_bucket_holds_much_of_small_values(spark):
+    v = spark.range(1_000_000).select((F.rand(5) * 0.3).alias("v"))
+    largest = v.groupBy(value_bucket(F.col("v"))).count().agg(F.max("count")).head()[0]
+    assert largest <= 1000
+
+
+def test_buckets_keep_the_order_of_any_doubles(spark):
+    values = [float("-inf"), -1e300, -5.0, -1e-300, -5e-324, 0.0, 5e-324, 1e-300, 0.1, 0.2, 1.0, 1e300, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", value_bucket(F.col("v")).alias("b"))
+    buckets = [r.b for r in df.orderBy("v").collect()]
+    assert buckets == sorted(buckets) and len(set(buckets)) == len(values)
+
+
+def test_nan_does_not_count(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", float("nan")), ("a", None), ("b", float("nan"))], "k string, v double")
+    got = exact_quantiles(df, ["k"], {"m": (F.col("v"), 0.5)}).collect()
+    assert [(r.k, r.m) for r in got] == [("a", 2.0)]
