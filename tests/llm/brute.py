@@ -26,6 +26,16 @@ def rule_counts(text: str | None) -> dict:
             "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(repeated), "base_failed": failed}
 
 
+def kept_by_rules(text: str | None, rules, stop_words) -> bool:
+    counts = rule_counts(text)
+    words = WORD.findall(text or "")
+    counts["n_stop_words"] = sum(w.lower().rstrip(".,") in stop_words for w in words)
+    counts["n_lines"] = sum(bool(WORD.search(x)) for x in (text or "").split("\n"))
+    shares = [(100 * counts[r.part], counts[r.whole], r) for r in rules]
+    return not counts["base_failed"] and all(
+        (r.least is None or a >= r.least * b) and (r.most is None or a <= r.most * b) for a, b, r in shares)
+
+
 def shingles(text: str | None) -> frozenset:
     words = WORD.findall((text or "").translate(ASCII_LOWER))
     if len(words) < 5:
