@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: The template's control strings.
-START, END, CONTROL = "<|im_start|>", "<|im_end|>", "<|"
+START, END = "<|im_start|>", "<|im_end|>"
 LEARNED_ROLE = "assistant"
 
 
@@ -48,20 +48,34 @@ def unescape_role(role: str) -> str:
 
 
 class Reader:
-    """Reads turns back from written text, which may come in chunks cut anywhere."""
+    """Reads turns back from written text, which may come in chunks cut anywhere.
 
-    TURN = re.compile(re.escape(START) + r"([^\n]*)\n(.*?)" + re.escape(END) + "\n", re.DOTALL)
+    A control string inside a role or a text is not part of the grammar: reading stops before it.
+    """
 
     def __init__(self) -> None:
         self.rest = ""
 
+    def turn_at(self, at: int) -> tuple[int, int, int] | None:
+        """Where the text of the turn begins and ends, and where the turn does."""
+        s = self.rest
+        line = s.find("\n", at)
+        end = s.find(END, line + 1)
+        after = end + len(END) + 1
+        if not s.startswith(START, at) or line < 0 or end < 0 or s[after - 1:after] != "\n":
+            return None
+        if s.find(START, at + 1, end) >= 0 or s.find(END, at, line) >= 0:
+            return None
+        return line + 1, end, after
+
     def feed(self, chunk: str) -> Iterator[tuple[str, str, tuple[int, int]]]:
         """Role, text and the span of the written text in what was left, for each turn that ends."""
         self.rest += chunk
         at = 0
-        while found := self.TURN.match(self.rest, at):
-            yield unescape_role(found[1]), unescape(found[2]), found.span(2)
-            at = found.end()
+        while found := self.turn_at(at):
+            begin, end, after = found
+            yield unescape_role(self.rest[at + len(START):begin - 1]), unescape(self.rest[begin:end]), (begin, end)
+            at = after
         self.rest = self.rest[at:]
 
 
@@ -80,7 +94,7 @@ def write_turn(role: str, text: str) -> str:
         turns = read_back(written)
         if turns == [(role, text)]:
             return written
-        if as_text == text and (CONTROL in text or unescape(text) != text):
+        if as_text == text and (START in text or END in text or unescape(text) != text):
             as_text = escape(text)
         elif as_role == role:
             as_role = escape_role(role)
@@ -111,12 +125,13 @@ class Digest:
 
     def add(self, written: str) -> None:
         self.formatted_chars += len(written)
+        unread = self.reader.rest + written
         for role, text, (start, end) in self.reader.feed(written):
             self.n_turns += 1
             self.turns.update(f"{role}\n{text}\n".encode())
             if role == LEARNED_ROLE:
                 # the loss mask covers the written text of the turn
-                learned = unescape(written[start:end])
+                learned = unescape(unread[start:end])
                 self.loss_chars += len(learned)
                 self.loss.update(learned.encode())
 
