@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 import checks
 from cadastria.llm.queries import QUERIES
+from cadastria.llm.sql import ORACLE
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
@@ -38,11 +39,12 @@ def test_query(spark, name):
         assert len(got) == len(set(got))
 
 
-def test_rules_equal_their_sql(spark):
+@pytest.mark.parametrize("name", list(ORACLE))
+def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
     for t in checks.TABLES:
         con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
-    assert checks.compare(spark, con, "op9_rules", SF).startswith("op9_rules: ok")
+    assert checks.compare(spark, con, name, SF).startswith(f"{name}: ok")
 
 
 def test_pipeline_runs(spark):
