@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.session import shared_folder
+from cadastria.session import delete_at_end, shared_folder
 
 #: The characters that separate words.
 WHITE = r"[\x20\x09-\x0D]"
@@ -33,10 +33,14 @@ def words_of(text: Column) -> Column:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: computed once, readable after lost executors."""
+    """``df`` as a table in the shared folder: computed once, readable after lost executors.
+
+    The application removes it when it ends.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    delete_at_end(spark, path)
     return spark.read.parquet(path)
 
 
