@@ -17,7 +17,7 @@ from cadastria.plans import boosted, checks, extract, marts, measures, model, re
 from cadastria.plans import hedonic as station_effect
 from cadastria.plans.measures import Context, Star, evaluate
 from cadastria.plans.warehouse import Warehouse, standin_warehouse
-from cadastria.session import shared_folder
+from cadastria.session import delete_at_end, shared_folder
 from cadastria.sources import landing, standin
 from cadastria.streaming import incremental
 
@@ -485,7 +485,12 @@ for _p in ["volumetrie", "taux_nuls", "multi_lots", "types", "suspects"]:
 # ---- landing -----------------------------------------------------------------------------
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/scratch/{name}-{uuid.uuid4().hex}"
+    """A folder of its own in the shared folder, gone when the application ends."""
+    path = f"{shared_folder(spark)}/scratch/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+    delete_at_end(spark, path)
+    return path
 
 
 @query("csv_by_name_union")
@@ -515,7 +520,7 @@ def csv_by_name_union(w: Warehouse) -> DataFrame:
 def incremental_landing(spark: SparkSession, sf: str) -> DataFrame:
     """Events dropped as files in two deliveries under two headers; each run of the stream lands the
     unseen files."""
-    folder, target = _scratch(spark, "inbox"), _scratch(spark, "landed")
+    folder, target = (f"{_scratch(spark, name)}/files" for name in ("inbox", "landed"))
     columns = ["event_id", "ts", "user_id", "event_type"]
     events = standin.table(spark, sf, "events").select(*columns)
     texts = events.withColumn("ts", F.col("ts").cast("string"))
@@ -615,7 +620,7 @@ def keyword_columns(spark: SparkSession, sf: str) -> DataFrame:
 @query("run_log")
 def run_log(w: Warehouse) -> DataFrame:
     row = landing.run_log_row("run-1", "2001-12-31", w.raw_lines(), w.fact(), w.gaps())
-    path = _scratch(w.store.spark, "run_log")
+    path = _scratch(w.store.spark, "run_log") + "/log"
     landing.append_run_log(row, path)
     return w.store.spark.read.parquet(path).drop("finished_at")
 

@@ -37,9 +37,16 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     own = tempfile.mkdtemp(prefix="cadastria-", dir=os.environ.get("TMPDIR"))
     spark.sparkContext.setCheckpointDir(own)
+    delete_at_end(spark, own)
     return own
 
 
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Let the application remove ``path``, which exists, when its driver ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: cuts the lineage and survives lost executors."""
     shared_folder(df.sparkSession)

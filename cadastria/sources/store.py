@@ -11,7 +11,7 @@ from hashlib import md5
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadastria.session import shared_folder
+from cadastria.session import delete_at_end, shared_folder
 
 
 class TableStore:
@@ -31,5 +31,6 @@ class TableStore:
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(self.path(name))
+            delete_at_end(self.spark, self.path(name))
             self._written.add(name)
         return self.spark.read.parquet(self.path(name))
