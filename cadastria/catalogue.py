@@ -742,16 +742,24 @@ def importance(w: Warehouse) -> DataFrame:
     return boosted.importance(_split_model(w), boosted.ENRICHED)
 
 
+def _out_of_sample(w: Warehouse) -> DataFrame:
+    return w.store.table("out_of_sample", lambda: boosted.out_of_sample(
+        _training(w), boosted.retained_trees(_split_model(w))))
+
+
 @query("out_of_sample_metrics")
 def out_of_sample_metrics(w: Warehouse) -> DataFrame:
     """Errors over all years, each predicted by a model that has not seen it."""
-    scored = w.store.table("out_of_sample", lambda: boosted.out_of_sample(
-        _training(w), boosted.retained_trees(_split_model(w))))
-    return boosted.out_of_sample_metrics(scored)
+    return boosted.out_of_sample_metrics(_out_of_sample(w))
+
+
+@query("prediction_checks")
+def prediction_checks(w: Warehouse) -> DataFrame:
+    return boosted.prediction_checks(
+        _training(w), _out_of_sample(w), boosted.importance(_split_model(w), boosted.ENRICHED))
 
 
 @query("gbt_model")
 def gbt_model(w: Warehouse) -> DataFrame:
     """Out-of-sample predictions of the boosted trees, one year left out at a time."""
-    return w.store.table("out_of_sample", lambda: boosted.out_of_sample(
-        _training(w), boosted.retained_trees(_split_model(w))))
+    return _out_of_sample(w)

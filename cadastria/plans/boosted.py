@@ -126,3 +126,27 @@ def out_of_sample_metrics(scored: DataFrame) -> DataFrame:
     """Error measures of the out-of-sample predictions over all years together."""
     rows = scored.withColumn("part", F.lit("toutes_annees"))
     return M.regression_metrics(rows, "prix_m2", "prix_m2_predit", ["part"])
+
+
+def prediction_checks(sales: DataFrame, scored: DataFrame, gains: DataFrame) -> DataFrame:
+    """What holds exactly whatever the trees are, as (controle, valeur)."""
+    again = C.gap_pct("prix_m2", "prix_m2_predit")
+    count = F.count("*").alias("valeur")
+    whole = F.col("prix_m2_predit") == C.round_half_even("prix_m2_predit", 0)
+    parts = {
+        "ventes_predites": scored.agg(count),
+        "ventes_en_double": scored.groupBy("transaction_id").agg(count).filter("valeur > 1").agg(count),
+        "ventes_sans_prediction": sales.join(scored, "transaction_id", "left_anti").agg(count),
+        "annees_predites": scored.select("annee").distinct().agg(count),
+        "ecarts_faux": scored.filter(~again.eqNullSafe(F.col("ecart_pct"))).agg(count),
+        "predictions_non_entieres": scored.filter(~whole).agg(count),
+        "variables": gains.agg(count),
+        # shares are rounded to a tenth each
+        "importances_hors_total": gains.agg(
+            (F.abs(F.sum("part_pct") - 100.0) > 0.05 * F.count("*")).cast("bigint").alias("valeur")),
+    }
+    rows = [df.select(F.lit(name).alias("controle"), F.col("valeur").cast("bigint")) for name, df in parts.items()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out

@@ -573,6 +573,12 @@ from (select e.annee_mois, e.zone,
       and f.date_mutation > cast(e.mid - interval 12 month as date)
   where f.est_prix_m2_fiable group by 1, 2)
 where cur is not null or prev is not null""")
+# what holds of the boosted model whatever its trees are
+add("prediction_checks", """select unnest(['ventes_predites', 'ventes_en_double',
+    'ventes_sans_prediction', 'annees_predites', 'ecarts_faux', 'predictions_non_entieres',
+    'variables', 'importances_hors_total']) as controle,
+  unnest([(select count(*) from training), 0, 0, (select count(distinct annee) from training), 0, 0,
+    19, 0]) as valeur""")
 # ---- landing -----------------------------------------------------------------------------
 
 _CSV = ["id_mutation", "date_mutation", "nature_mutation", "valeur_fonciere", "code_postal",
