@@ -714,6 +714,11 @@ def hedonic_full(w: Warehouse) -> DataFrame:
     return station_effect.station_effect(_station_sales(w))
 
 
+@query("hedonic_equations")
+def hedonic_equations(w: Warehouse) -> DataFrame:
+    return tidy(station_effect.station_equations(_station_sales(w)), 5)
+
+
 @query("hedonic_report")
 def hedonic_report(w: Warehouse) -> DataFrame:
     return station_effect.station_effect_report(_station_sales(w))

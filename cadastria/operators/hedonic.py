@@ -121,6 +121,20 @@ def _array_totals(products: DataFrame, segment: list[str], column: str,
     return per.groupBy(*segment).agg(ordered["_v"].alias(column))
 
 
+def normal_equations(df: DataFrame, segment: list[str], group: str, levels: list[Levels],
+                     numeric: dict[str, Column], y: Column) -> DataFrame:
+    """(segment, a, b, product): sums of products of the variables centred by group; b is ``y`` too."""
+    names = [n for lv in levels for n in lv.names()] + list(numeric)
+    products = group_products(df, segment, group, levels, numeric, y)
+    at = lambda i: F.get(F.lit(names), i)
+    long = products.select(*segment, F.explode(F.concat(
+        F.transform("_xx", lambda v, i: F.struct(
+            at((i / len(names)).cast("int")).alias("a"), at(i % len(names)).alias("b"), v.alias("v"))),
+        F.transform("_xy", lambda v, i: F.struct(at(i).alias("a"), F.lit("y").alias("b"), v.alias("v"))),
+    )).alias("p"))
+    return long.groupBy(*segment, "p.a", "p.b").agg(F.sum("p.v").alias("product"))
+
+
 def fit_segments(products: DataFrame, segment: list[str], levels: list[Levels],
                  names: list[str]) -> list[Fit]:
     """Solve the normal equations of every segment; one small system each, on the driver."""

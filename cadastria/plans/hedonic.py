@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cadastria.functions import columns as C
 from cadastria.functions import constants as K
-from cadastria.operators.hedonic import Levels, fixed_effect_ols
+from cadastria.operators.hedonic import Levels, fixed_effect_ols, normal_equations
 from cadastria.plans.marts import located_fact
 
 _SEGMENT = ["zone", "type_bien"]
@@ -41,16 +41,39 @@ def design(years: list[int]) -> tuple[list[Levels], dict[str, Column]]:
     }
 
 
-def station_effect(sales: DataFrame, segment: tuple[str, ...] = tuple(_SEGMENT)) -> DataFrame:
-    """All regressors per zone and type; the farthest band present is the reference."""
+def _compared(sales: DataFrame) -> tuple[DataFrame, list[Levels], dict[str, Column]]:
+    """Dwellings of comparable segments and the design for all their years."""
     years = [r[0] for r in sales.select("annee").distinct().orderBy("annee").collect()]
-    levels, numeric = design(years)
     comparable = comparable_segments(sales).select(*_SEGMENT)
     kept = sales.filter(F.col("type_bien").isin(K.DWELLINGS)).join(
         comparable, _SEGMENT, "left_semi")
+    return kept, *design(years)
+
+
+def station_effect(sales: DataFrame, segment: tuple[str, ...] = tuple(_SEGMENT)) -> DataFrame:
+    """All regressors per zone and type; the farthest band present is the reference."""
+    kept, levels, numeric = _compared(sales)
     return fixed_effect_ols(kept, list(segment), "geo_key", levels, numeric, F.log("prix_m2"))
 
 
+def station_equations(sales: DataFrame) -> DataFrame:
+    """The normal equations of ``station_effect``, and by how much its coefficients miss them.
+
+    ``reste`` is X'y - X'X b on the rows of the variables in use, NULL elsewhere.
+    """
+    kept, levels, numeric = _compared(sales)
+    products = normal_equations(kept, _SEGMENT, "geo_key", levels, numeric, F.log("prix_m2"))
+    effects = fixed_effect_ols(kept, _SEGMENT, "geo_key", levels, numeric, F.log("prix_m2")).select(
+        *_SEGMENT, F.col("variable").alias("b"), "coefficient")
+    fitted = products.join(effects, [*_SEGMENT, "b"]).groupBy(*_SEGMENT, "a").agg(
+        F.sum(F.col("product") * F.col("coefficient")).alias("fitted"))
+    used = effects.select(*_SEGMENT, F.col("b").alias("a"), F.lit("y").alias("b"))
+    missed = used.join(fitted, [*_SEGMENT, "a"])
+    return products.join(missed, [*_SEGMENT, "a", "b"], "left").select(
+        *_SEGMENT, F.col("a").alias("terme_a"), F.col("b").alias("terme_b"),
+        F.col("product").alias("produit"), (F.col("product") - F.col("fitted")).alias("reste"))
+
+
 def station_effect_report(sales: DataFrame) -> DataFrame:
     """The published part: band effects in percent with their intervals, rounded."""
     effects = station_effect(sales)

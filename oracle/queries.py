@@ -573,6 +573,13 @@ from (select e.annee_mois, e.zone,
       and f.date_mutation > cast(e.mid - interval 12 month as date)
   where f.est_prix_m2_fiable group by 1, 2)
 where cur is not null or prev is not null""")
+add("hedonic_equations", f"""select zone, type_bien, terme_a, terme_b, {rnd('p', 5)} as produit,
+  case when terme_b = 'y' and n > 0 then 0e0 end as reste
+from (select a.zone, a.type_bien, a.terme as terme_a, b.terme as terme_b, sum(a.c * b.c) as p,
+    any_value(u.n) as n
+  from hedonic_centred a join hedonic_centred b using (rid)
+    left join hedonic_used u on u.zone = a.zone and u.type_bien = a.type_bien and u.terme = a.terme
+  where a.terme <> 'y' group by 1, 2, 3, 4)""")
 # what holds of the boosted model whatever its trees are
 add("prediction_checks", """select unnest(['ventes_predites', 'ventes_en_double',
     'ventes_sans_prediction', 'annees_predites', 'ecarts_faux', 'predictions_non_entieres',
