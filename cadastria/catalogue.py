@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadastria.functions import columns as C
@@ -172,6 +172,13 @@ def dim_calendar(w: Warehouse) -> DataFrame:
     return star.calendar(w.lines(), w.inputs.as_of)
 
 
+@query("month_order")
+def month_order(w: Warehouse) -> DataFrame:
+    """Month names by their number, as reports sort them."""
+    months = w.calendar().select("mois", "nom_mois").distinct()  # twelve rows
+    return months.withColumn("rang", F.dense_rank().over(Window.orderBy("mois"))).orderBy("mois")
+
+
 @query("dim_place")
 def dim_place(w: Warehouse) -> DataFrame:
     return tidy(star.places(w.sales(), w.departments(), w.income(), w.energy()).drop("centroide"))

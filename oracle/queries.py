@@ -68,6 +68,8 @@ add("distance_bands", """select transaction_id as id_mutation, tranche_dist_gare
 
 # ---- star and marts ----------------------------------------------------------------------
 
+add("month_order", """select mois, nom_mois, cast(dense_rank() over (order by mois) as integer) as rang
+from (select distinct mois, nom_mois from calendar)""")
 add("dim_calendar", "select * from calendar")
 add("dim_place", rounded(
     "geo_key, code_commune, nom_commune, code_postal_principal, code_departement, "
