@@ -25,7 +25,7 @@ def settings(spark, tmp_path_factory):
         departments=standin.run(spark, SF, standin.SEED), output=f"{folder}/out",
         city_department=standin.CITY_DEPARTMENT, minimum_rows=1000,
         as_of=F.lit(standin.AS_OF).cast("date"), trees=2, depth=2, run_id="r1",
-        logical_date="2002-01-01")
+        logical_date="2002-01-01", minimum_coverage=0.5)
 
 
 def test_build_publishes_everything(spark, settings):
@@ -36,12 +36,20 @@ def test_build_publishes_everything(spark, settings):
     log = spark.read.parquet(f"{settings.output}/runs").head()
     assert (log.run_id, log.ventes, log.ventes_scorees, log.departements) == (
         "r1", 12539, scored, 5)
-    for name in ("report_performance", "report_importance", "report_erreur_type_bien",
+    for name in ("fact", "dim_temps", "dim_geo", "dim_bien", "mart_ecarts", "report_hors_echantillon",
+                 "report_performance", "report_importance", "report_erreur_type_bien",
                  "report_effet_gare", "extract/prix_communes", "extract/prix_gares",
                  "extract/ecarts_communes", "mart_proximite"):
         assert spark.read.parquet(f"{settings.output}/{name}").count() > 0
 
 
+def test_thin_coverage_blocks(spark, settings):
+    from dataclasses import replace
+
+    with pytest.raises(QualityError, match="coverage"):
+        build(spark, replace(settings, minimum_coverage=1.01, output=settings.output + "3"))
+
+
 def test_gate_blocks_a_short_landing(spark, settings):
     from dataclasses import replace
 
