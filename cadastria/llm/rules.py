@@ -102,15 +102,11 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     ))
     of_lines = let(lines, lambda x: F.struct(
         F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in COUNTS]
-    out = docs.select(
-        *kept, of_words.alias("__words"), of_lines.alias("__lines"),
-        F.regexp_count(body, F.lit(f"[{SYMBOLS}]")).alias("n_symbols"),
-    )
-    place = {c: "" for c in COUNTS} | dict.fromkeys(("n_words", "word_chars", "n_stop_words", "n_repeat_words"), "__words.") \
-        | dict.fromkeys(("n_lines", "n_dup_lines"), "__lines.")
-    names = [c for c in docs.columns if c not in COUNTS]
-    return out.select(*[F.col(f"`{c}`") for c in names], *[F.col(place[c] + c).cast("long").alias(c) for c in COUNTS])
+    names = [F.col(f"`{c}`") for c in docs.columns if c not in COUNTS]
+    out = docs.select(*names, of_words.alias("__words"), of_lines.alias("__lines"),
+                      F.regexp_count(body, F.lit(f"[{SYMBOLS}]")).alias("n_symbols"))
+    place = {"n_symbols": "n_symbols", "n_lines": "__lines.n_lines", "n_dup_lines": "__lines.n_dup_lines"}
+    return out.select(*names, *[F.col(place.get(c, f"__words.{c}")).cast("long").alias(c) for c in COUNTS])
 
 
 def with_verdict(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
