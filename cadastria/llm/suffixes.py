@@ -5,7 +5,9 @@ begin, whose head hashes smallest (the first such). Equal strings have their anc
 offset with equal heads, so only suffixes that start at an anchor are indexed, about one byte in fifty.
 The starts that share an anchor are neighbours; the bytes they cover are the anchor's region.
 
-Suffixes are dealt to partitions by the hash of their head. In a partition they are an index family:
+Regions that repeat within a batch of texts are settled there, and one of them goes on for all, so
+what is common is thinned out before the shuffle. The suffixes left are dealt to partitions by the
+hash of their head. In a partition they are an index family:
 each incoming batch gets a suffix array of its own (fingerprints in sorted order), is scanned against
 the arrays of all levels for equal suffixes, and becomes a level; levels of like size merge, so there
 are logarithmically many and each suffix is merged logarithmically often.
@@ -40,7 +42,9 @@ LENGTH = 200
 HEAD = 100
 #: Starts of a text that are indexed at once.
 STRETCH = 1 << 20
-SETTLED, OPEN, PARTNER = 0, 1, 2
+#: A suffix whose region is known to repeat, one with a shared head, what it is compared with; one to
+#: be judged, and one to be judged for others only, as its region repeats within its batch.
+SETTLED, OPEN, PARTNER, FRESH, KNOWN = range(5)
 
 
 class IndexFamily:
@@ -118,7 +122,7 @@ def first_in_task(batch: pa.RecordBatch, met: set[int]) -> list[tuple[int, bytes
 
 
 def suffixes(rows: DataFrame) -> DataFrame:
-    """The anchored suffixes of all texts."""
+    """The anchored suffixes of all texts, thinned out by batch."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
         for batch in slices(batches, "text"):
@@ -130,17 +134,22 @@ def suffixes(rows: DataFrame) -> DataFrame:
                     parts.append((head, region, np.full(len(head), text_id), first + low, end + low))
             if parts:
                 head, region, text_id, first, end = map(np.concatenate, zip(*parts))
+                _, one, which, times = np.unique(region, return_index=True, return_inverse=True, return_counts=True)
+                again = np.flatnonzero(times[which] > 1)
+                chosen = np.concatenate([one, again])
+                kind = np.concatenate([np.where(times > 1, KNOWN, FRESH), np.full(len(again), SETTLED)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(head.astype(np.int64)), pa.array(region.astype(np.int64)), pa.array(text_id),
-                     pa.array(first.astype(np.int32)), pa.array(end.astype(np.int32))],
-                    ["head", "region", "text_id", "first", "end"])
+                    [pa.array(kind), pa.array(head[chosen].astype(np.int64)), pa.array(region[chosen].astype(np.int64)),
+                     pa.array(text_id[chosen]), pa.array(first[chosen].astype(np.int32)), pa.array(end[chosen].astype(np.int32))],
+                    ["kind", "head", "region", "text_id", "first", "end"])
 
-    return rows.select("text_id", "text").mapInArrow(read, "head long, region long, text_id long, first int, end int")
+    return written(rows.select("text_id", "text").mapInArrow(
+        read, "kind int, head long, region long, text_id long, first int, end int"), "suffixes")
 
 
 def judged(found: DataFrame) -> DataFrame:
     """Suffixes whose region repeats (SETTLED), whose head does (OPEN), and what the latter are compared with (PARTNER)."""
-    names = ["head", "region", "text_id", "first", "end"]
+    names = ["head", "region", "text_id", "first", "end", "kind"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads, regions, held = IndexFamily(), IndexFamily(), []
@@ -151,18 +160,22 @@ def judged(found: DataFrame) -> DataFrame:
             held.append(columns)
         if not held:
             return
-        head, region, text_id, first, end = map(np.concatenate, zip(*held))
-        by_head, whole = heads.found(), regions.found()
+        head, region, text_id, first, end, kind = map(np.concatenate, zip(*held))
+        known = kind == KNOWN
+        by_head, whole = heads.found(), regions.found() | known
         open_ = by_head & ~whole
         beside = np.flatnonzero(whole & np.isin(head, head[open_]))
         # regions are equal with their heads: one of them will do
         partner = beside[np.unique(region[beside], return_index=True)[1]]
-        rows = np.concatenate([np.flatnonzero(whole), np.flatnonzero(open_), partner])
-        kind = np.repeat([SETTLED, OPEN, PARTNER], [whole.sum(), open_.sum(), len(partner)]).astype(np.int32)
+        settled = np.flatnonzero(whole & ~known)
+        rows = np.concatenate([settled, np.flatnonzero(open_), partner])
+        kind = np.repeat([SETTLED, OPEN, PARTNER], [len(settled), open_.sum(), len(partner)]).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(kind), *[pa.array(x[rows]) for x in (head, text_id, first, end)]],
                                          ["kind", "head", "text_id", "first", "end"])
 
-    return written(found.repartition("head").mapInArrow(judge, "kind int, head long, text_id long, first int, end int"), "judged")
+    fresh = found.filter(F.col("kind") != SETTLED).select(*names)
+    late = written(fresh.repartition("head").mapInArrow(judge, "kind int, head long, text_id long, first int, end int"), "judged")
+    return late.unionByName(found.filter(F.col("kind") == SETTLED).drop("region"))
 
 
 def packed(rows: DataFrame) -> DataFrame:
