@@ -144,11 +144,12 @@ def test_every_measure_and_report_runs(small):
 
 
 def test_hot_group_median_plan_counts_values_first(small):
-    """Rows are hashed on group and value before anything is hashed on the group."""
+    """Rows are hashed on group and value before anything is hashed on the group; a dimension too large
+    to broadcast is met by its own key below that."""
     plan = evaluate(small, ["prix_m2_median"], Context(("zone",)))
     text = plan._jdf.queryExecution().executedPlan().toString()
-    first = [x for x in text.split("\n") if "Exchange hashpartitioning(" in x][-1]
-    assert "_v#" in first and "zone#" in first
+    first = [x for x in text.split("\n") if "Exchange hashpartitioning(" in x and "zone#" in x][-1]
+    assert "_v#" in first
 
 
 def test_calendar_days(spark):
