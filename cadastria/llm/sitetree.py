@@ -6,12 +6,18 @@ class). A node gathers over its pages how its children are laid out (presentatio
 the base: 0 where all pages show the same, 1 where no two agree. Nodes of low importance are the
 site's template; their branches are removed from each page, and so are branches that their tag, role or
 class names as navigation, adverts, notices, forms, comments or the like. A node stays as long as a
-node below it does. A branch that the page marks as its main content is never judged by importance,
-since copies of a page on one host would make it look like template. Nodes seen on few pages count as
-important.
+node below it does. Nodes seen on few pages count as important.
 
-The tree is merged as counts per (host, path, layout, content), which combine before the shuffle, so a
-host with a third of all pages is no single task's work; pages meet their host's template on a salted key.
+What the page marks as its main content is judged too, with a prior that raises its importance. Since
+paragraphs there share a path, each is also judged by what it says: its importance is the self-information
+of that text among the pages that have such a node, with their number as the base. A label (heading,
+table cell, term) goes only if what it labels goes. A page whose whole main content would go keeps it.
+Copies of a page on one host would make it look like template, so each distinct page of a host counts
+once, and inside main content each distinct main content.
+
+Distinct pages are told by digest, one row of digests a page. The tree is merged as counts per (host,
+path, layout, content), which combine before the shuffle, so a host with a third of all pages is no single
+task's work; pages meet their host's template on a salted key.
 
 Null html is empty and gives an empty text. A page without a host in its url belongs to the host ''.
 Repeated rows give repeated rows. Columns other than page_id, url and html are left out.
@@ -26,16 +32,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastria.llm.common import slices
 
+#: What a node is counted by.
+LAYOUT, CONTENT, TEXT = range(3)
 #: Below this a branch is template; so many pages are needed to say so.
 LEAST_IMPORTANCE = 0.2
 LEAST_PAGES = 5
 #: Weight of content against presentation.
 CONTENT_WEIGHT = 0.7
+#: Importance of marked main content before anything is known of it.
+MAIN_PRIOR = 0.1
 SALTS = 32
 
 TOKEN = re.compile(
@@ -60,6 +70,8 @@ ASIDE_NAMES = set(
     "consent gdpr notice popup modal newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb "
     "breadcrumbs footer header masthead comment comments disqus replies share sharing social related widget".split())
 MAIN_TAGS = {"article", "main"}
+#: Elements that say what the one behind them is.
+LABEL_TAGS = set("h1 h2 h3 h4 h5 h6 td th dt".split())
 #: Elements that don't show and so don't end a word either.
 UNSEEN = {"script", "style", "template", "noscript", "title"}
 
@@ -164,6 +176,7 @@ def without(node: Node, template: frozenset[str] = frozenset()) -> None:
     """Takes asides out of the tree, then branches in ``template`` that hold nothing but template."""
     todo = [(node, "", False)]
     judged = []
+    by_text = {entry.partition(" ")[0] for entry in template if " " in entry}
     while todo:
         x, path, in_main = todo.pop()
         left = []
@@ -178,13 +191,22 @@ def without(node: Node, template: frozenset[str] = frozenset()) -> None:
             if child.children:
                 below, main = f"{path}/{child.label()}", in_main or child.is_main()
                 todo.append((child, below, main))
-                if not main and below in template:
-                    judged.append((x, child))
+                if (in_main or not main) and (below in template or below in by_text):
+                    judged.append((x, child, below, in_main))
         x.children = left
-    # children come after their parents
-    for parent, child in reversed(judged):
-        if all(isinstance(c, str) or c.tag in INLINE or c.tag in VOID for c in child.children):
-            parent.children = [" " if c is child else c for c in parent.children]
+    gone: set[int] = set()
+    behind = {id(child): then for x in {id(x): x for x, *_ in judged}.values()
+              for elements in [[c for c in x.children if not isinstance(c, str)]] for child, then in zip(elements, elements[1:])}
+    # children come after their parents, and the ones behind after the ones before
+    for parent, child, path, in_main in reversed(judged):
+        if not all(isinstance(c, str) or c.tag in INLINE or c.tag in VOID for c in child.children):
+            continue
+        if path not in template and f"{path} {said(own_text(child))}" not in template:
+            continue
+        if in_main and child.tag in LABEL_TAGS and id(child) in behind and id(behind[id(child)]) not in gone:
+            continue
+        gone.add(id(child))
+        parent.children = [" " if c is child else c for c in parent.children]
 
 
 def mains(node: Node) -> list[Node]:
@@ -201,18 +223,31 @@ def mains(node: Node) -> list[Node]:
     return out
 
 
+def text_of(root: Node) -> str:
+    return " ".join(b for part in mains(root) or [root] for b in blocks(part))
+
+
 def main_text(source: str, template: frozenset[str] = frozenset()) -> str:
     root = parse(source)
     without(root, template)
-    return " ".join(b for part in mains(root) or [root] for b in blocks(part))
+    text = text_of(root)
+    if not text and template and mains(root):
+        root = parse(source)
+        without(root)
+        text = text_of(root)
+    return text
 
 
 def digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
 
 
+def said(words: list[str]) -> int:
+    return digest(" ".join(words))
+
+
 def own_text(node: Node) -> list[str]:
-    """What a branch says outside main content and outside block elements with a node of their own."""
+    """What a branch says outside block elements with a node of their own."""
     out, todo = [], list(reversed(node.children))
     while todo:
         x = todo.pop()
@@ -223,22 +258,33 @@ def own_text(node: Node) -> list[str]:
     return out
 
 
-def styles(source: str) -> list[tuple[str, int, int]]:
-    """Path, layout and content of the branches outside the main content; equal paths of a page are one node."""
+def styles(source: str) -> list[tuple[bool, tuple[int, list[tuple[str, int, int]]]]]:
+    """The page's nodes outside and inside main content, each part with a digest that equal parts share.
+
+    A node gives its path with its layout (LAYOUT) and content (CONTENT); equal paths of a page are one node.
+    Inside main content it also gives the distinct texts of its elements (TEXT).
+    """
     root = parse(source)
-    nodes: dict[str, tuple[list[str], list[str]]] = {}
-    todo = [(root, "")]
+    without(root)
+    parts: list[dict] = [{}, {}]
+    todo = [(root, "", False)]
     while todo:
-        x, path = todo.pop()
-        for child in reversed(x.children):
-            if isinstance(child, str) or child.tag in INLINE or child.tag in VOID or child.is_main():
+        x, path, in_main = todo.pop()
+        for child in x.children:
+            if isinstance(child, str) or child.tag in INLINE or child.tag in VOID:
                 continue
-            below = f"{path}/{child.label()}"
-            layout, content = nodes.setdefault(below, ([], []))
+            below, main = f"{path}/{child.label()}", in_main or child.is_main()
+            layout, content, texts = parts[main].setdefault(below, ([], [], set()))
             layout += [c.label() for c in child.children if not isinstance(c, str)]
-            content += own_text(child)
-            todo.append((child, below))
-    return [(path, digest(" ".join(dict.fromkeys(layout))), digest(" ".join(content))) for path, (layout, content) in nodes.items()]
+            own = own_text(child)
+            content += own
+            if in_main and own:
+                texts.add(said(own))
+            todo.append((child, below, main))
+    keys = [digest(source), digest("\n".join(b for part in mains(root) for b in blocks(part)))]
+    return [(main, (key, [row for path, (layout, content, texts) in nodes.items() for row in (
+        (path, LAYOUT, digest(" ".join(dict.fromkeys(layout)))), (path, CONTENT, said(content)), *((path, TEXT, t) for t in texts))]))
+        for main, key, nodes in zip((False, True), keys, parts) if nodes]
 
 
 def rows_of(pages: DataFrame) -> DataFrame:
@@ -247,36 +293,62 @@ def rows_of(pages: DataFrame) -> DataFrame:
                         F.coalesce("html", F.lit("")).alias("html"))
 
 
-def site_trees(pages: DataFrame) -> DataFrame:
-    """host, path, n_pages, presentation, content and importance of every node of the merged trees."""
+def node_counts(pages: DataFrame) -> DataFrame:
+    """host, path, main, kind, value and n: on how many distinct pages of the host the node has the value."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "html"):
-            rows = [(host, *style) for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())
-                    for style in styles(source)]
-            host, path, layout, content = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(host, pa.string()), pa.array(path, pa.string()), pa.array(layout, pa.int64()),
-                 pa.array(content, pa.int64())], ["host", "path", "layout", "content"])
-
-    seen = rows_of(pages).select("host", "html").mapInArrow(read, "host string, path string, layout long, content long")
-    counts = (seen.select("host", "path", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("layout").alias("value")),
-        F.struct(F.lit(1).alias("kind"), F.col("content").alias("value")))).alias("x"))
-        .groupBy("host", "path", "x.kind", "x.value").agg(F.count("*").alias("n")))
+            rows = [(host, main, key, *map(list, zip(*nodes)))
+                    for host, source in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist())
+                    for main, (key, nodes) in styles(source)]
+            columns = list(zip(*rows)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (
+                pa.string(), pa.bool_(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int64())))],
+                ["host", "main", "key", "path", "kind", "value"])
+
+    seen = rows_of(pages).select("host", "html").mapInArrow(
+        read, "host string, main boolean, key long, path array<string>, kind array<int>, value array<long>")
+    return (seen.dropDuplicates(["host", "main", "key"])
+            .select("host", "main", F.explode(F.arrays_zip("path", "kind", "value")).alias("x"))
+            .groupBy("host", "x.path", "main", "x.kind", "x.value").agg(F.count("*").alias("n")))
+
+
+def merged_trees(counts: DataFrame) -> DataFrame:
     is_kind = lambda k, c: F.when(F.col("kind") == k, c)
-    sums = counts.groupBy("host", "path").agg(
-        F.sum(is_kind(0, F.col("n"))).alias("n_pages"),
-        *[F.sum(is_kind(k, F.col("n") * F.log("n"))).alias(f"s{k}") for k in (0, 1)])
+    n = F.col("n")
+    sums = counts.groupBy("host", "path", "main").agg(
+        F.sum(is_kind(LAYOUT, n)).alias("n_pages"),
+        *[F.sum(is_kind(k, n * F.log("n"))).alias(f"s{k}") for k in (LAYOUT, CONTENT)],
+        # only texts on several pages can be template
+        F.collect_list(is_kind(TEXT, F.when(n >= LEAST_PAGES, F.struct("value", "n")))).alias("texts"))
     m = F.col("n_pages")
     entropy = lambda k: F.when(m == 1, 1.0).otherwise((F.log(m) - F.col(f"s{k}") / m) / F.log(m))
-    return sums.select("host", "path", "n_pages", entropy(0).alias("presentation"), entropy(1).alias("content")).withColumn(
-        "importance", (1 - CONTENT_WEIGHT) * F.col("presentation") + CONTENT_WEIGHT * F.col("content"))
+    return sums.select("host", "path", "main", "n_pages", entropy(LAYOUT).alias("presentation"),
+                       entropy(CONTENT).alias("content"), "texts").withColumn(
+        "importance", with_prior((1 - CONTENT_WEIGHT) * F.col("presentation") + CONTENT_WEIGHT * F.col("content")))
+
+
+def with_prior(importance: Column) -> Column:
+    return F.when(F.col("main"), MAIN_PRIOR + (1 - MAIN_PRIOR) * importance).otherwise(importance)
+
+
+def site_trees(pages: DataFrame) -> DataFrame:
+    """host, path, main, n_pages, presentation, content and importance of every node of the merged trees."""
+    return merged_trees(node_counts(pages)).drop("texts")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """host and path of the nodes of low importance, or path and digest where one text of a node is of low importance."""
+    trees = merged_trees(node_counts(pages)).filter(F.col("n_pages") >= LEAST_PAGES)
+    m = F.col("n_pages")
+    is_low = lambda t: with_prior(F.log(m / t["n"]) / F.log(m)) < LEAST_IMPORTANCE
+    texts = F.transform(F.filter("texts", is_low), lambda t: F.concat_ws(" ", "path", t["value"].cast("string")))
+    whole = F.when(F.col("importance") < LEAST_IMPORTANCE, F.array("path")).otherwise(texts)
+    return trees.select("host", F.explode(whole).alias("path"))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url and ``text``, the main text of every page."""
-    template = (site_trees(pages).filter((F.col("n_pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
-                .groupBy("host").agg(F.collect_list("path").alias("template"))
+    template = (templates(pages).groupBy("host").agg(F.collect_list("path").alias("template"))
                 .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
     salted = rows_of(pages).withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
     met = salted.join(template, ["host", "salt"], "left").select("page_id", "url", "html", "template")

@@ -51,3 +51,23 @@ def test_a_node_stays_while_one_below_it_does():
     template = frozenset(["/html", "/html/body", "/html/body/div"])
     assert sitetree.main_text("<html><body><div>gone</div><p>here</p></body></html>", template) == "here"
     assert sitetree.main_text("<html><body><div>with <p>here</p></div></body></html>", template) == "with here"
+
+
+def test_template_inside_marked_content(spark):
+    def marked(i: int) -> str:
+        return (f"<body><nav>n</nav><article><h1>Title {i}</h1><h2>Story</h2><p>text {i}</p>{'<p>more</p>' * (i % 3)}<p>own {i * 7}</p>"
+                f"<table><tr><td>Price</td><td>{i} EUR</td></tr></table><h2>Follow</h2><p>Same <b>on</b> all.</p></article></body>")
+
+    rows = [(i, "http://h.example/x", marked(i)) for i in range(40)]
+    # copies that differ outside their main content only
+    rows += [(100 + i, "http://copies.example/", f"<div>{i}</div><article><p>all the same</p></article>") for i in range(9)]
+    # copies of a page without marked content
+    rows += [(200 + i, "http://plain.example/", "<div><p>all the same</p></div>") for i in range(9)]
+    # main content made of repeated texts only
+    rows += [(300 + i, "http://whole.example/", "<article>" + "".join(f"<p>part {k}</p>" for k in range(9) if k != i) + "</article>")
+             for i in range(9)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r["page_id"]: r["text"] for r in sitetree.extracted(df).collect()}
+    assert got[4] == "Title 4 Story text 4 more own 28 Price 4 EUR"
+    assert got[105] == got[205] == "all the same"
+    assert got[300] == " ".join(f"part {k}" for k in range(1, 9))
