@@ -5,8 +5,9 @@ class). A node gathers over its pages how its children are laid out (presentatio
 (content). The importance of a node is the entropy of either distribution, with the number of pages as
 the base: 0 where all pages show the same, 1 where no two agree. Nodes of low importance are the
 site's template; their branches are removed from each page, and so are branches that their tag, role or
-class names as navigation, adverts, notices, forms, comments or the like. A node stays as long as a
-node below it does. Nodes seen on few pages count as important.
+class names as navigation, adverts, notices, forms, comments or the like; inside main content only
+a whole class or id does that, and never an id made from a heading. A node stays as long as a node below
+it does. Nodes seen on few pages count as important.
 
 What the page marks as its main content is judged too, with a prior that raises its importance. Since
 paragraphs there share a path, each is also judged by what it says: its importance is the self-information
@@ -69,9 +70,14 @@ ASIDE_NAMES = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice popup modal newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb "
     "breadcrumbs footer header masthead comment comments disqus replies share sharing social related widget".split())
+COMMENT_NAMES = set("comment comments disqus replies".split())
+#: What a class may add to such a name and still say nothing else.
+FRAME_NAMES = set("top bottom left right inner outer box block area bar body list item items link links button buttons icons "
+                  "form signup container wrapper wrap section unit slot sticky inline x js".split())
 MAIN_TAGS = {"article", "main"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Elements that say what the one behind them is.
-LABEL_TAGS = set("h1 h2 h3 h4 h5 h6 td th dt".split())
+LABEL_TAGS = HEADINGS | {"td", "th", "dt"}
 #: Elements that don't show and so don't end a word either.
 UNSEEN = {"script", "style", "template", "noscript", "title"}
 
@@ -93,9 +99,26 @@ class Node:
 
     def is_aside(self, in_main: bool) -> bool:
         if self.is_main():
-            return False
-        return (self.tag in ASIDE_TAGS or self.attributes.get("role") in ASIDE_ROLES
-                or self.tag == "header" and not in_main or not ASIDE_NAMES.isdisjoint(self.names()))
+            # one inside another, or a reader's comment, may be an aside all the same
+            return self.tag == "article" and self.attributes.get("role") != "main" and self.is_named(ASIDE_NAMES if in_main else COMMENT_NAMES)
+        return (self.tag in ASIDE_TAGS or self.attributes.get("role") in ASIDE_ROLES or self.tag == "header" and not in_main
+                or (self.is_named(ASIDE_NAMES) if in_main else not ASIDE_NAMES.isdisjoint(self.names())))
+
+    def is_named(self, names: set[str]) -> bool:
+        """Whether a whole class, or an id that isn't made from a heading, is one of ``names`` or its frame."""
+        def is_one(token: str) -> bool:
+            parts = set(re.findall(r"[a-z]+", token.lower()))
+            return not names.isdisjoint(parts) and parts <= names | FRAME_NAMES
+
+        if any(map(is_one, self.attributes.get("class", "").split())):
+            return True
+        own = self.attributes.get("id", "")
+        return self.tag not in HEADINGS and is_one(own) and re.findall(r"\w+", own.lower()) != self.heading_words()
+
+    def heading_words(self) -> list[str]:
+        """The words of the heading that the element begins with."""
+        first = next((c for c in self.children if not isinstance(c, str) or c.strip()), "")
+        return re.findall(r"\w+", " ".join(blocks(first)).lower()) if isinstance(first, Node) and first.tag in HEADINGS else []
 
 
 def parse(source: str) -> Node:

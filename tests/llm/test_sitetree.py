@@ -71,3 +71,11 @@ def test_template_inside_marked_content(spark):
     assert got[4] == "Title 4 Story text 4 more own 28 Price 4 EUR"
     assert got[105] == got[205] == "all the same"
     assert got[300] == " ".join(f"part {k}" for k in range(1, 9))
+
+
+def test_names_inside_main_content():
+    body = ('<section id="related-work"><p>a</p></section><h2 id="social-policy">b</h2><div class="social-policy">c</div><h2 id="comments">d</h2>'
+            '<section id="Notice"><h3>Notice</h3>e</section><div class="share-buttons x">no</div><div id="related">no</div>')
+    assert sitetree.main_text(f"<article>{body}</article>") == "a b c d Notice e"
+    assert sitetree.main_text('<article>a<article class="comment">no</article></article><article class="comment-body">no</article>'
+                              '<article class="comments-open">b</article><article class="post">c</article>') == "a b c"
