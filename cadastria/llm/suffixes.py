@@ -17,6 +17,10 @@ are logarithmically many and each suffix is merged logarithmically often.
 * The rest share a head but not the region. Their bytes are fetched, and a second family of the arrays
   of all their ``LENGTH``-byte strings tells which of them repeat.
 
+A head that very many places share, as at the edges of a passage between differing neighbours, is no
+single task's work: a sample finds such heads, their suffixes are dealt by region, and their regions are cut
+into strings, thinned out by batch and dealt by the string.
+
 Strings are compared by 64-bit fingerprints. Texts that occur more than once go as a whole if they are
 long enough; a task indexes such a text once. Texts of any length are indexed in overlapping stretches.
 
@@ -42,6 +46,10 @@ LENGTH = 200
 HEAD = 100
 #: Starts of a text that are indexed at once.
 STRETCH = 1 << 20
+#: A head is hot if so many of its suffixes are in a sample of one in ``SAMPLED``.
+SAMPLED, HOT = 64, 16
+#: Bytes of regions with hot heads that are cut into strings at once.
+CUT_BYTES = 1 << 18
 #: A suffix whose region is known to repeat, one with a shared head, what it is compared with; one to
 #: be judged, and one to be judged for others only, as its region repeats within its batch.
 SETTLED, OPEN, PARTNER, FRESH, KNOWN = range(5)
@@ -149,33 +157,42 @@ def suffixes(rows: DataFrame) -> DataFrame:
 
 def judged(found: DataFrame) -> DataFrame:
     """Suffixes whose region repeats (SETTLED), whose head does (OPEN), and what the latter are compared with (PARTNER)."""
-    names = ["head", "region", "text_id", "first", "end", "kind"]
+    names = ["head", "region", "text_id", "first", "end", "kind", "hot"]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         heads, regions, held = IndexFamily(), IndexFamily(), []
         for batch in batches:
-            columns = [batch.column(c).to_numpy() for c in names]
+            columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
             heads.add(columns[0])
             regions.add(columns[1])
             held.append(columns)
         if not held:
             return
-        head, region, text_id, first, end, kind = map(np.concatenate, zip(*held))
+        head, region, text_id, first, end, kind, hot = map(np.concatenate, zip(*held))
         known = kind == KNOWN
-        by_head, whole = heads.found(), regions.found() | known
+        # a hot head is shared, if not here
+        by_head, whole = heads.found() | hot, regions.found() | known
         open_ = by_head & ~whole
-        beside = np.flatnonzero(whole & np.isin(head, head[open_]))
+        beside = np.flatnonzero(whole & (hot | np.isin(head, head[open_])))
         # regions are equal with their heads: one of them will do
         partner = beside[np.unique(region[beside], return_index=True)[1]]
         settled = np.flatnonzero(whole & ~known)
         rows = np.concatenate([settled, np.flatnonzero(open_), partner])
         kind = np.repeat([SETTLED, OPEN, PARTNER], [len(settled), open_.sum(), len(partner)]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(kind), *[pa.array(x[rows]) for x in (head, text_id, first, end)]],
-                                         ["kind", "head", "text_id", "first", "end"])
+        yield pa.RecordBatch.from_arrays([pa.array(kind), *[pa.array(x[rows]) for x in (head, text_id, first, end, hot)]],
+                                         ["kind", "head", "text_id", "first", "end", "hot"])
+
+    fresh = found.filter(F.col("kind") != SETTLED)
+    dealt = (fresh.join(hot_heads(fresh), "head", "left").withColumn("hot", F.coalesce("hot", F.lit(False))).select(*names)
+             .repartition(F.when(F.col("hot"), F.col("region")).otherwise(F.col("head"))))
+    late = written(dealt.mapInArrow(judge, "kind int, head long, text_id long, first int, end int, hot boolean"), "judged")
+    return late.unionByName(found.filter(F.col("kind") == SETTLED).drop("region").withColumn("hot", F.lit(False)))
 
-    fresh = found.filter(F.col("kind") != SETTLED).select(*names)
-    late = written(fresh.repartition("head").mapInArrow(judge, "kind int, head long, text_id long, first int, end int"), "judged")
-    return late.unionByName(found.filter(F.col("kind") == SETTLED).drop("region"))
+
+def hot_heads(fresh: DataFrame) -> DataFrame:
+    """The heads of very many suffixes. Which ones they are decides where rows meet, not what is found."""
+    sample = fresh.filter(F.pmod(F.xxhash64("text_id", "first"), F.lit(SAMPLED)) == 0)
+    return written(sample.groupBy("head").count().filter(F.col("count") >= HOT).select("head", F.lit(True).alias("hot")), "heads")
 
 
 def packed(rows: DataFrame) -> DataFrame:
@@ -190,59 +207,111 @@ def packed(rows: DataFrame) -> DataFrame:
     return rows.select("text_id", "text").mapInArrow(read, "text_id long, data binary")
 
 
-def repeated_strings(texts: DataFrame, sorted_out: DataFrame) -> DataFrame:
-    """text_id, first and end of repeated bytes in the regions that are not settled."""
+def strings_of(regions: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Region, offset and fingerprint of all strings of ``regions``."""
+    parts = [np.frombuffer(x, np.uint8) for x in regions]
+    lengths = np.array([len(x) for x in parts])
+    prefix = prefix_hashes(np.concatenate(parts))
+    begin = np.cumsum(lengths) - lengths
+    n = lengths - LENGTH + 1
+    row = np.repeat(np.arange(len(parts)), n)
+    shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at = begin[row] + shift
+    return row, shift, span_hashes(prefix, at, at + LENGTH)
+
+
+def runs_of(text_id: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """text_id, first and end of the runs of neighbouring starts."""
+    order = np.lexsort((first, text_id))
+    text_id, first = text_id[order], first[order]
+    new = np.flatnonzero(np.r_[True, (text_id[1:] != text_id[:-1]) | (first[1:] != first[:-1] + 1)])
+    last = np.r_[new[1:] - 1, len(first) - 1]
+    return [text_id[new], first[new].astype(np.int32), (first[last] + LENGTH).astype(np.int32)]
+
+
+def to_compare(texts: DataFrame, sorted_out: DataFrame) -> DataFrame:
+    """What is compared, by ``key``: regions (OPEN, by head), strings (FRESH, or KNOWN to repeat, by fingerprint) and runs that do (SETTLED)."""
     places = (sorted_out.filter(F.col("kind") != SETTLED).groupBy("text_id")
-              .agg(F.collect_list(F.struct("head", "first", "end", F.col("kind") == OPEN)).alias("places")))
+              .agg(F.collect_list(F.struct("head", "first", "end", "hot")).alias("places")))
+    types = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    names = ["kind", "key", "text_id", "first", "end", "bytes"]
+
+    def rows_of(kind: int | np.ndarray, columns: list) -> pa.RecordBatch:
+        columns = [np.broadcast_to(np.int32(kind), len(columns[0])), *columns]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
+
+    def cut(regions: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+        text_id, first, data = zip(*regions)
+        row, shift, string = strings_of(list(data))
+        text_id, first = np.array(text_id, np.int64)[row], np.array(first, np.int64)[row] + shift
+        _, one, which, times = np.unique(string, return_index=True, return_inverse=True, return_counts=True)
+        yield rows_of(np.where(times > 1, KNOWN, FRESH), [string[one].astype(np.int64), text_id[one], first[one], first[one] + LENGTH, [None] * len(one)])
+        again = times[which] > 1
+        if again.any():
+            text_id, first, end = runs_of(text_id[again], first[again])
+            yield rows_of(SETTLED, [text_id, text_id, first, end, [None] * len(first)])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data"):
-            rows = [(p["head"], text_id, p["first"], text[p["first"]:p["end"]])
-                    for text_id, data, places in zip(*(batch.column(c).to_pylist() for c in ("text_id", "data", "places")))
-                    for text in [zlib.decompress(data)] for p in places]
-            columns = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
-                ["head", "text_id", "first", "bytes"])
+            few, hot, size = [], [], 0
+            for text_id, data, places in zip(*(batch.column(c).to_pylist() for c in ("text_id", "data", "places"))):
+                text = zlib.decompress(data)
+                for p in places:
+                    region = text[p["first"]:p["end"]]
+                    if not p["hot"]:
+                        few.append((p["head"], text_id, p["first"], p["end"], region))
+                        continue
+                    hot.append((text_id, p["first"], region))
+                    size += len(region)
+                    if size > CUT_BYTES:
+                        yield from cut(hot)
+                        hot, size = [], 0
+            if hot:
+                yield from cut(hot)
+            if few:
+                yield rows_of(OPEN, list(zip(*few)))
+
+    return texts.join(places, "text_id").mapInArrow(fetch, "kind int, key long, text_id long, first int, end int, bytes binary")
+
+
+def repeated_strings(texts: DataFrame, sorted_out: DataFrame) -> DataFrame:
+    """text_id, first and end of repeated bytes in the regions that are not settled."""
+    names = ["text_id", "first", "end"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         strings, held = IndexFamily(), []
         for batch in slices(batches, "bytes", 1 << 20):
-            parts = [np.frombuffer(x, np.uint8) for x in batch.column("bytes").to_pylist()]
-            lengths = np.array([len(x) for x in parts])
-            prefix = prefix_hashes(np.concatenate(parts))
-            begin = np.cumsum(lengths) - lengths
-            n = lengths - LENGTH + 1
-            row = np.repeat(np.arange(len(parts)), n)
-            shift = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = begin[row] + shift
-            strings.add(span_hashes(prefix, at, at + LENGTH))
-            held.append((batch.column("text_id").to_numpy()[row], batch.column("first").to_numpy()[row] + shift))
+            kind = batch.column("kind").to_numpy()
+            text_id, first = (batch.column(c).to_numpy() for c in ("text_id", "first"))
+            settled, regions, cut = (np.flatnonzero(np.isin(kind, k)) for k in (SETTLED, OPEN, (FRESH, KNOWN)))
+            if len(settled):
+                yield batch.select(names).take(pa.array(settled))
+            if len(regions):
+                row, shift, string = strings_of(batch.column("bytes").take(pa.array(regions)).to_pylist())
+                strings.add(string)
+                held.append((text_id[regions][row], first[regions][row] + shift, np.zeros(len(row), bool)))
+            if len(cut):
+                strings.add(batch.column("key").to_numpy()[cut].astype(np.uint64))
+                held.append((text_id[cut], first[cut], kind[cut] == KNOWN))
         if not held:
             return
-        text_id, first = map(np.concatenate, zip(*held))
-        again = strings.found()
-        text_id, first = text_id[again], first[again]
-        if len(first):
-            # neighbouring starts are one run
-            new = np.flatnonzero(np.r_[True, (text_id[1:] != text_id[:-1]) | (first[1:] != first[:-1] + 1)])
-            last = np.r_[new[1:] - 1, len(first) - 1]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(text_id[new]), pa.array(first[new].astype(np.int32)), pa.array((first[last] + LENGTH).astype(np.int32))],
-                ["text_id", "first", "end"])
-
-    fetched = texts.join(places, "text_id").mapInArrow(fetch, "head long, text_id long, first int, bytes binary")
-    return fetched.repartition("head").mapInArrow(compare, "text_id long, first int, end int")
-
-
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for first, end in sorted(spans):
-        if out and first <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([first, end])
-    return [tuple(x) for x in out]
+        text_id, first, known = map(np.concatenate, zip(*held))
+        # what is known is in a run already
+        again = strings.found() & ~known
+        if again.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in runs_of(text_id[again], first[again])], names)
+
+    return to_compare(texts, sorted_out).repartition("key").mapInArrow(compare, "text_id long, first int, end int")
+
+
+def merged(spans: pa.ListScalar) -> list[tuple[int, int]]:
+    """The spans of a text in order, with those that meet as one."""
+    first, end = (spans.values.field(c).to_numpy() for c in ("first", "end"))
+    order = np.argsort(first, kind="stable")
+    first, reach = first[order], np.maximum.accumulate(end[order])
+    new = np.flatnonzero(np.r_[True, first[1:] > reach[:-1]])
+    last = np.r_[new[1:] - 1, len(first) - 1]
+    return list(zip(first[new].tolist(), reach[last].tolist()))
 
 
 def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -274,8 +343,8 @@ def removed(docs: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data"):
             rows = []
-            for text_id, data, spans in zip(*(batch.column(c).to_pylist() for c in ("text_id", "data", "spans"))):
-                runs = merged([(s["first"], s["end"]) for s in spans])
+            for text_id, data, spans in zip(*(batch.column(c).to_pylist() for c in ("text_id", "data")), batch.column("spans")):
+                runs = merged(spans)
                 rest = kept(zlib.decompress(data), runs)
                 rows.append((text_id, sum(b - a for a, b in runs), len(runs), hashlib.sha256(rest).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
@@ -327,11 +396,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             columns = dict(zip(names, batch.column("row").flatten()))
             texts = columns["text"].to_pylist()
             sizes = columns["n_chars"].to_pylist() if "n_chars" in columns else None
-            for i, (text, n, spans) in enumerate(zip(texts, batch.column("copies").to_pylist(), batch.column("spans").to_pylist())):
+            for i, (text, n, spans) in enumerate(zip(texts, batch.column("copies").to_pylist(), batch.column("spans"))):
                 data = text.encode() if n and text else b""
                 if len(data) < LENGTH:
                     continue
-                runs = [(0, len(data))] if n > 1 else merged([(s["first"], s["end"]) for s in spans])
+                runs = [(0, len(data))] if n > 1 else merged(spans)
                 texts[i] = kept(data, whole_characters(data, runs)).decode()
                 if sizes:
                     sizes[i] = len(texts[i])

@@ -75,3 +75,22 @@ def test_characters_stay_whole(spark, clashing):
     rows = [(1, "é" + shared + "ä", None, None, 1), (2, "ã" + shared + "å", None, None, 1)]
     got = {r["doc_id"]: r["text"] for r in suffixes.without_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {1: "éä", 2: "ãå"}
+
+
+def test_hot_heads_are_dealt_by_string(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "SAMPLED", 1)
+    monkeypatch.setattr(suffixes, "HOT", 6)
+    monkeypatch.setattr(suffixes, "CUT_BYTES", 4000)
+    passage = prose(60, 90)
+    # neighbours of the passage that differ, and that are the same in part
+    rows = [(i, prose(1000 + i, 30) + passage[i % 3:] + prose(2000 + i // 2, 30), None, None, None) for i in range(60)]
+    rows += [(100 + i, *r[1:]) for i, r in enumerate(random_texts(3))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    compare(df, rows)
+    texts = suffixes.with_ids(df)
+    sorted_out = suffixes.judged(suffixes.suffixes(texts))
+    most = lambda frame, key: max(r["count"] for r in frame.groupBy(key).count().collect())
+    assert most(sorted_out.filter(sorted_out["kind"] == suffixes.OPEN), "head") > 20
+    met = suffixes.to_compare(suffixes.packed(texts), sorted_out)
+    assert most(met.filter(met["kind"] == suffixes.OPEN), "key") < 6 * 2
+    assert most(met.filter(met["kind"] == suffixes.FRESH), "key") <= met.filter(met["kind"] == suffixes.FRESH).count() // 50
