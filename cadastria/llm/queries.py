@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.llm import chat, factorisation, overlap, packing, pieces, pii, rules, sitetree, sketch, suffixes
+from cadastria.llm import chat, factorisation, overlap, packing, pieces, pii, rules, scatter, sitetree, sketch, suffixes
 from cadastria.llm.common import table
 
 
@@ -66,5 +66,13 @@ def op10_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.joined(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = scatter.restored(scatter.transformed(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.encode(c, "UTF-8"), 256).alias(name) for c, name in (("output", "output_sha256"), ("text", "restored_sha256"))]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_factorisation, op2_iblt, op3_packing, op4_weak_pii, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap)}
+    f.__name__: f for f in (
+        op1_factorisation, op2_iblt, op3_packing, op4_weak_pii, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap,
+        op11_fill_in_middle)}

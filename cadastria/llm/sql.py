@@ -108,9 +108,31 @@ select w.doc_id, coalesce(any_value(z.n), 0)::bigint as n_shingles, least(w.doc_
 from words w left join sizes z using (rid) left join reached r on r.x = w.rid left join words v on v.rid = r.y
 group by w.rid, w.doc_id"""
 
+FILL_IN_MIDDLE = """
+with docs as (
+  select doc_id, coalesce(text, '') as t, sha256('7:' || coalesce(doc_id::varchar, '')) as h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') as lines from documents),
+drawn as (
+  select *, len(lines) as n, ('0x' || substr(h, 1, 8))::bigint % (len(lines) + 1) as a,
+    ('0x' || substr(h, 9, 8))::bigint % (len(lines) + 1) as b,
+    t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') as plain,
+    ('0x' || substr(h, 25, 8))::bigint % 100 < 50 as spm from docs),
+parts as (
+  select *, array_to_string(lines[1:least(a, b)], '') as p,
+    array_to_string(lines[least(a, b) + 1:greatest(a, b)], '') as m,
+    array_to_string(lines[greatest(a, b) + 1:n], '') as s from drawn)
+select doc_id, n::bigint as n, case when plain then 'plain' when spm then 'spm' else 'psm' end as form,
+  case when not plain then length(p) end::bigint as prefix_chars,
+  case when not plain then length(m) end::bigint as middle_chars,
+  sha256(case when plain then t when spm then '<S>' || s || '<P>' || p || '<M>' || m
+    else '<P>' || p || '<S>' || s || '<M>' || m end) as output_sha256,
+  sha256(t) as restored_sha256
+from parts"""
+
 ORACLE: dict[str, str] = {
     "op7_chat": CHAT,
     "op8_suffixes": REPEATS,
     "op9_rules": f"with {rules_ctes()} select doc_id, {', '.join(rules.COUNTS)}, base_failed, kept from judged",
     "op10_overlap": LINKS,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
 }
