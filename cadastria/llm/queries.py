@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.llm import chat, factorisation, overlap, packing, pieces, pii, rules, scatter, sitetree, sketch, suffixes
+from cadastria.llm import chat, factorisation, overlap, packing, pieces, pii, rules, scatter, sitetree, sketch, suffixes, trigrams
 from cadastria.llm.common import table
 
 
@@ -72,7 +72,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op12_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = trigrams.with_secrets(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{rule.kind}")
+              for k, rule in enumerate(trigrams.BASE)]
+    base = trigrams.as_text(F.filter(spans, lambda s: s["kind"] < len(trigrams.BASE)))
+    return found.select("doc_id", *counts, F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"), trigrams.as_text(spans).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_factorisation, op2_iblt, op3_packing, op4_weak_pii, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap,
-        op11_fill_in_middle)}
+        op11_fill_in_middle, op12_trigram_secrets)}

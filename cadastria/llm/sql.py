@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cadastria.llm import chat, overlap, rules, suffixes
+from cadastria.llm import chat, overlap, rules, suffixes, trigrams
 
 #: DuckDB: words of a text, and ratios with the same bounds as the threshold table.
 SPLIT = r"[\x20\x09-\x0D]+"
@@ -129,10 +129,49 @@ select doc_id, n::bigint as n, case when plain then 'plain' when spm then 'spm'
   sha256(t) as restored_sha256
 from parts"""
 
+
+
+def any_case(pattern: str) -> str:
+    """``pattern`` with the letters outside its classes in either ASCII case."""
+    out, inside = [], False
+    for i, c in enumerate(pattern):
+        inside = c == "[" or inside and c != "]"
+        escaped = i > 0 and pattern[i - 1] == "\\" or pattern[i - 3:i - 1] == "\\x" or pattern[i - 2:i] == "\\x"
+        out.append(f"[{c.upper()}{c.lower()}]" if c.isalpha() and not inside and not escaped else c)
+    return "".join(out)
+
+
+def secrets_sql() -> str:
+    """Spans from the matches of each rule and the text between them."""
+    found = []
+    for k, rule in enumerate(trigrams.RULES):
+        p = (any_case(rule.pattern) if rule.any_case else rule.pattern).replace("'", "''")
+        found.append(f"select rid, {k} as k, '{rule.kind}' as kind, regexp_extract_all(t, '{p}') as m, "
+                     f"regexp_extract_all(t, '{p}', {rule.group}) as v, string_split_regex(t, '{p}') as g, {rule.least} as least from docs")
+    counts = ", ".join(f"coalesce(count(*) filter (k = {k}), 0)::bigint as n_{r.kind}" for k, r in enumerate(trigrams.BASE))
+    return f"""
+with docs as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+found as ({' union all '.join(found)}),
+each as (select *, unnest(range(1, len(m) + 1)) as i from found where len(m) > 0),
+placed as (
+  select *, (list_sum(list_transform(g[1:i], lambda x: length(x)))
+    + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::bigint as a
+  from each where length(v[i]) >= least),
+spans as (select rid, k, a, kind || ':' || a || ':' || (a + length(m[i])) as s from placed),
+per_doc as (
+  select rid, {counts}, string_agg(s, ',' order by a, k) as spans,
+    string_agg(s, ',' order by a, k) filter (k < {len(trigrams.BASE)}) as base
+  from spans group by rid)
+select doc_id, {', '.join(f'coalesce(n_{r.kind}, 0)::bigint as n_{r.kind}' for r in trigrams.BASE)},
+  sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join per_doc using (rid)"""
+
+
 ORACLE: dict[str, str] = {
     "op7_chat": CHAT,
     "op8_suffixes": REPEATS,
     "op9_rules": f"with {rules_ctes()} select doc_id, {', '.join(rules.COUNTS)}, base_failed, kept from judged",
     "op10_overlap": LINKS,
     "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op12_trigram_secrets": secrets_sql(),
 }

@@ -24,6 +24,7 @@ COLUMNS = {
     "op9": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10": "doc_id n_shingles component_id",
     "op11": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
+    "op12": "doc_id n_assign n_access n_hex base_sha256 spans",
 }
 
 
