@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.llm import chat, factorisation, overlap, packing, pieces, pii, rules, scatter, sitetree, sketch, suffixes, trigrams
+from cadastria.llm import chat, factorisation, overlap, packing, pieces, pii, prefixtrie, rules, scatter, sitetree, sketch, suffixes, trigrams
 from cadastria.llm.common import table
 
 
@@ -81,7 +81,11 @@ def op12_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"), trigrams.as_text(spans).alias("spans"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.nodes(prefixtrie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_factorisation, op2_iblt, op3_packing, op4_weak_pii, op5_pieces, op6_sitetree, op7_chat, op8_suffixes, op9_rules, op10_overlap,
-        op11_fill_in_middle, op12_trigram_secrets)}
+        op11_fill_in_middle, op12_trigram_secrets, op13_prefix_trie)}

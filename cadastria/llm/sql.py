@@ -167,6 +167,43 @@ select doc_id, {', '.join(f'coalesce(n_{r.kind}, 0)::bigint as n_{r.kind}' for r
 from docs left join per_doc using (rid)"""
 
 
+#: CRC-32 of the decimal digits of ``conv_id``, bit by bit.
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint,
+    list_transform(string_split(conv_id::varchar, ''), lambda c: unicode(c)::bigint)), lambda a, b: list_reduce(
+      list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+      lambda s, z: case when (s & 1) = 1 then xor(s >> 1, 3988292384) else s >> 1 end)))"""
+
+TRIE = f"""
+with turns as (
+  select conv_id, turn, length(coalesce(text, ''))::bigint as n,
+    substr(sha256(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) as h
+  from conversations where conv_id is not null),
+own as (
+  select conv_id, list(h order by turn nulls first, h, n) as hs, list(n order by turn nulls first, h, n) as ns
+  from turns group by conv_id),
+drawn as (
+  select o.conv_id, o.hs, o.ns, coalesce(b.hs, []) as bh, coalesce(b.ns, []) as bn, ({CRC32.replace('conv_id', 'o.conv_id')} % 6)::bigint as k
+  from own o left join own b on b.conv_id = o.conv_id - ((o.conv_id % 100) + 100) % 100),
+rebuilt as (
+  select conv_id, list_concat(bh[1:k], hs[k + 1:len(hs)]) as hs, list_concat(bn[1:k], ns[k + 1:len(ns)]) as ns from drawn),
+prefixes as (
+  select conv_id, d, len(hs) as size, array_to_string(hs[1:d], '') as key, coalesce(ns[d], 0) as n
+  from (select *, unnest(range(0, len(hs) + 1)) as d from rebuilt)),
+nodes as (
+  select key, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(n) as n,
+    string_agg(conv_id::varchar, ',' order by conv_id) filter (size = d) as ends
+  from prefixes group by key, d),
+kids as (select substr(key, 1, 32 * (d - 1)) as key, d - 1 as d, count(*) as n_children from nodes where d > 0 group by 1, 2),
+counted as (select n.*, coalesce(n_children, 0)::bigint as n_children from nodes n left join kids using (key, d)),
+lines as (select *, unnest(range(0, d + 1)) as up from counted),
+below as (
+  select substr(key, 1, 32 * up) as key, up as d, (count(*) filter (n_children = 0))::bigint as n_leaves,
+    sum((n_convs - 1) * n)::bigint as saved_tokens from lines group by 1, 2)
+select c.conv_id, c.d::bigint as depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens,
+  sha256(coalesce(c.ends, '')) as ends_sha256
+from counted c join below b on b.key = c.key and b.d = c.d
+left join nodes p on p.d = c.d - 1 and p.key = substr(c.key, 1, 32 * (c.d - 1))"""
+
 ORACLE: dict[str, str] = {
     "op7_chat": CHAT,
     "op8_suffixes": REPEATS,
@@ -174,4 +211,5 @@ ORACLE: dict[str, str] = {
     "op10_overlap": LINKS,
     "op11_fill_in_middle": FILL_IN_MIDDLE,
     "op12_trigram_secrets": secrets_sql(),
+    "op13_prefix_trie": TRIE,
 }

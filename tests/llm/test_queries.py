@@ -25,6 +25,7 @@ COLUMNS = {
     "op10": "doc_id n_shingles component_id",
     "op11": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
     "op12": "doc_id n_assign n_access n_hex base_sha256 spans",
+    "op13": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
 }
 
 
@@ -36,7 +37,11 @@ def test_query(spark, name):
     tables = {"page_id": "pages", "conv_id": "conversations"}
     want = {r[0] for r in spark.read.parquet(f"{SF}/{tables.get(key, 'documents')}.parquet").select(key).collect()}
     got = [r[0] for r in rows.select(key).collect()]
-    assert set(got) == want | ({-1} if key == "conv_id" else set())
+    if name.startswith("op13"):
+        # a node's row carries its smallest member, and not every conversation is one
+        assert set(got) <= want
+        return
+    assert set(got) == want | ({-1} if name.startswith("op7") else set())
     if not name.startswith("op3"):
         assert len(got) == len(set(got))
 
