@@ -5,13 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastria.llm import chat, factorisation, overlap, packing, pieces, pii, prefixtrie, rules, scatter, sitetree, sketch, suffixes, trigrams
 from cadastria.llm.common import table
 
 
+def of_kind(spans: str, kind: int) -> Column:
+    """How many spans are of a kind. A second parameter of the lambda would be the place in the array."""
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def op1_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return factorisation.scored(docs, factorisation.trained(docs, table(spark, sf_dir, "labels")))
@@ -27,8 +32,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-              for k, name in enumerate(pii.BASE_KINDS)]
+    counts = [of_kind("base", k).alias(f"n_{name}") for k, name in enumerate(pii.BASE_KINDS)]
     return found.select("doc_id", *counts, F.sha2(F.encode(pii.as_text(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
                         pii.as_text(F.col("all")).alias("spans"))
 
@@ -75,8 +79,7 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = trigrams.with_secrets(table(spark, sf_dir, "documents"))
     spans = F.col("spans")
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{rule.kind}")
-              for k, rule in enumerate(trigrams.BASE)]
+    counts = [of_kind("spans", k).alias(f"n_{rule.kind}") for k, rule in enumerate(trigrams.BASE)]
     base = trigrams.as_text(F.filter(spans, lambda s: s["kind"] < len(trigrams.BASE)))
     return found.select("doc_id", *counts, F.sha2(F.encode(base, "UTF-8"), 256).alias("base_sha256"), trigrams.as_text(spans).alias("spans"))
 

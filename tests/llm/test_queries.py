@@ -1,5 +1,6 @@
 """Every query over the smallest tables: whole results, and SQL where there is some."""
 
+import hashlib
 import os
 
 import duckdb
@@ -10,6 +11,8 @@ import checks
 from cadastria.llm.queries import QUERIES
 from cadastria.llm.sql import ORACLE
 
+from . import brute
+
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 COLUMNS = {
@@ -57,3 +60,19 @@ def test_query_equals_its_sql(spark, name):
 def test_pipeline_runs(spark):
     rows = entry.queries()["pipeline"](spark, SF)
     assert rows.columns[:3] == ["doc_id", "start", "length"] and rows.count() > 0
+
+
+@pytest.mark.parametrize("sf", [SF, "/root/testdata/sf0.01"])
+def test_personal_data_counts_equal_a_plain_search(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in QUERIES["op4_weak_pii"](spark, sf).collect():
+        spans = brute.base_spans(texts[r.doc_id])
+        assert [r[f"n_{kind}"] for kind in brute.BASE] == [sum(s[3] == kind for s in spans) for kind in brute.BASE]
+        listed = ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in spans)
+        assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
+def test_secret_counts_follow_from_the_spans(spark):
+    for r in QUERIES["op12_trigram_secrets"](spark, "/root/testdata/sf0.01").collect():
+        kinds = [s.split(":")[0] for s in r.spans.split(",")]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(kinds.count(k) for k in ("assign", "access", "hex"))
