@@ -1,7 +1,9 @@
-"""Vectorised 64-bit hashes of words and byte strings in Arrow string columns.
+"""Vectorised hashes of words and byte strings in Arrow string columns.
 
-A string's hash is a polynomial over a random value for each byte, modulo 2^64, so that of any
-substring follows from prefix sums; a final mix spreads its bits. All values are fixed by ``SEED``.
+A string's hash is a polynomial over a random value for each byte, so that of any substring follows from
+prefix sums; a final mix spreads its bits. It is taken modulo two primes near 2^31, 62 bits together: no two strings are alike for
+every base, as there are such modulo a power of two. ``quick_hashes`` are modulo 2^64; equal strings have equal ones, no more is
+promised. All values are fixed by ``SEED``.
 """
 
 from __future__ import annotations
@@ -14,9 +16,13 @@ SEED = 20_011
 BLOCK = 1 << 20
 
 _random = np.random.Generator(np.random.PCG64(SEED))
-BYTE_VALUE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BASE = int(_random.integers(1 << 40, 1 << 62)) * 8 + 5
-BASE_INVERSE = pow(BASE, -1, 1 << 64)
+#: Primes that products of two remainders fit 64 bits for.
+PRIMES = (2_147_483_647, 2_147_483_629)
+#: By prime: a value for each byte, and the base.
+VALUES = [_random.integers(1, p, 256) for p in PRIMES]
+BASES = [int(_random.integers(1 << 20, p)) for p in PRIMES]
+QUICK_VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+QUICK_BASE = int(_random.integers(1 << 40, 1 << 61)) * 8 + 5
 STEPS = _random.integers(1 << 40, 1 << 62, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -31,29 +37,56 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Powers:
-    """Powers of BASE and of its inverse, as many as were asked for so far."""
+    """Powers of a base modulo a prime, as many as were asked for so far."""
 
-    def __init__(self) -> None:
-        self.up = self.down = np.ones(1, np.uint64)
+    def __init__(self, base: int, prime: int) -> None:
+        self.prime, self.known, self.next = prime, np.ones(1, np.int64), base
 
-    def need(self, n: int) -> None:
-        if len(self.up) < n:
-            self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, np.uint64)]) for b in (BASE, BASE_INVERSE))
+    def __call__(self, n: int) -> np.ndarray:
+        while len(self.known) < n:
+            self.known = np.concatenate([self.known, self.known * self.next % self.prime])
+            self.next = self.next * self.next % self.prime
+        return self.known[:n]
 
 
-POWERS = Powers()
+UP = [Powers(b, p) for b, p in zip(BASES, PRIMES)]
+DOWN = [Powers(pow(b, -1, p), p) for b, p in zip(BASES, PRIMES)]
 
 
 def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """Prefix sums P, one longer than ``data``, for ``span_hashes``."""
-    POWERS.need(len(data) + 1)
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_VALUE[data] * POWERS.up[:len(data)], out=out[1:])
+    """By prime, prefix sums one longer than ``data``, for ``span_hashes``. They fit 64 bits for 2^32 bytes."""
+    out = np.zeros((len(PRIMES), len(data) + 1), np.int64)
+    for row, values, up, prime in zip(out, VALUES, UP, PRIMES):
+        np.cumsum(values[data] * up(len(data)) % prime, out=row[1:])
     return out
 
 
 def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return mix((prefix[end] - prefix[start]) * POWERS.down[start])
+    a, b = ((row[end] - row[start]) % p * down(prefix.shape[1])[start] % p for row, down, p in zip(prefix, DOWN, PRIMES))
+    return mix((a.astype(np.uint64) << np.uint64(31)) | b.astype(np.uint64))
+
+
+class QuickPowers:
+    """Powers of ``QUICK_BASE`` and of its inverse, as many as were asked for so far."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def need(self, n: int) -> None:
+        if len(self.up) < n:
+            self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, np.uint64)])
+                                  for b in (QUICK_BASE, pow(QUICK_BASE, -1, 1 << 64)))
+
+
+QUICK = QuickPowers()
+
+
+def quick_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all strings of ``width`` bytes."""
+    QUICK.need(len(data) + 1)
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(QUICK_VALUES[data] * QUICK.up[:len(data)], out=prefix[1:])
+    return mix((prefix[width:] - prefix[:-width]) * QUICK.down[:len(data) - width + 1])
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

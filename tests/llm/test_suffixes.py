@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 
 from cadastria.llm import suffixes
 
@@ -44,18 +45,42 @@ def test_long_texts_in_stretches(spark, monkeypatch):
 
 def test_index_family_at_any_batch_size():
     random_ = np.random.default_rng(3)
-    for _ in range(50):
-        keys = random_.integers(0, 60, random_.integers(0, 80)).astype(np.uint64)
-        family, at = suffixes.IndexFamily(), 0
-        while at < len(keys):
-            n = int(random_.integers(0, 9))
-            family.add(keys[at:at + n])
+    for _ in range(100):
+        values = np.array([b"%03d" % x for x in random_.integers(0, 60, random_.integers(1, 80))], "S200")
+        groups = np.sort(random_.integers(0, 4, len(values)))
+        # a string is of one group
+        values = np.array([v + b"%d" % g for v, g in zip(values, groups)], "S200")
+        family, at, found = suffixes.IndexFamily(), 0, []
+        while at < len(values):
+            n = int(random_.integers(1, 9))
+            found += family.add(values[at:at + n], groups[at:at + n], np.arange(at, min(at + n, len(values)))).tolist()
             at += n
-        values, counts = np.unique(keys, return_counts=True)
-        assert (family.found() == np.isin(keys, values[counts > 1])).all()
+        same, counts = np.unique(values, return_counts=True)
+        assert sorted(found) == np.flatnonzero(np.isin(values, same[counts > 1])).tolist()
         assert len(family.levels) <= 8
 
 
+def test_family_compares_bytes():
+    a, b = b"\x00" * 200, b"\x00" * 199 + b"a"
+    family = suffixes.IndexFamily()
+    for i, text in enumerate((a, b, b"a" + b"\x00" * 199, b)):
+        found = family.add(np.ndarray(1, "S200", np.frombuffer(text, np.uint8), strides=(1,)), np.zeros(1), np.array([i]))
+    assert sorted(found) == [1, 3]
+
+
+@pytest.mark.parametrize("rows", [1, 3, 50])
+def test_runs_over_many_batches(spark, monkeypatch, rows):
+    monkeypatch.setattr(suffixes, "RUN_ROWS", rows)
+    monkeypatch.setattr(suffixes, "ARRAY_BYTES", 300 * rows)
+    monkeypatch.setattr(suffixes, "SAMPLED", 1)
+    monkeypatch.setattr(suffixes, "HOT", 9)
+    monkeypatch.setattr(suffixes, "CUT_BYTES", 2000)
+    passage = prose(60, 90)
+    texts = [(i, prose(1000 + i, 30) + passage[i % 3:] + prose(2000 + i // 2, 30), None, None, None) for i in range(40)]
+    texts += [(100 + i, *r[1:]) for i, r in enumerate(random_texts(4)[:40])]
+    compare(spark.createDataFrame(texts, SCHEMA).repartition(6), texts)
+
+
 def test_empty_table(nothing):
     assert suffixes.removed(nothing).count() == 0
     assert suffixes.without_repeats(nothing).count() == 0
