@@ -437,21 +437,29 @@ def merged(spans: pa.ListScalar) -> list[tuple[int, int]]:
     return list(zip(first[new].tolist(), reach[last].tolist()))
 
 
-def repeats(docs: DataFrame, times: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """text_id and spans of texts with repeated bytes that occur once, and text_id and compressed bytes of all texts."""
+def repeats(docs: DataFrame, copied: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """text_id and spans of texts with repeated bytes that are not ``copied``, and text_id and compressed bytes of all texts."""
     rows = with_ids(docs)
     sorted_out = judged(suffixes(rows))
     texts = packed(rows)
     spans = (sorted_out.filter(F.col("kind") == SETTLED).select("text_id", "first", "end")
              .unionByName(repeated_strings(texts, sorted_out)))
     # copied texts go as a whole, and each task has spans for them
-    once = spans.join(times.filter("copies > 1"), "text_id", "left_anti")
+    once = spans.join(copied, "text_id", "left_anti")
     return once.groupBy("text_id").agg(F.collect_list(F.struct("first", "end")).alias("spans")), texts
 
 
-def copies(docs: DataFrame) -> DataFrame:
-    """text_id and the number of rows with each text."""
-    return written(with_ids(docs).groupBy("text_id").agg(F.count("*").alias("copies")), "copies")
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, the text's digest (whole) and its text_id, for every row."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
+                       F.sha2(F.encode(text, "UTF-8"), 256).alias("whole"))
+    return written(rows, "digests").withColumn("text_id", F.unhex(F.substring("whole", 1, 2 * ID)))
+
+
+def copied_texts(rows: DataFrame) -> DataFrame:
+    """text_id of the texts that are long enough and that more rows than one have."""
+    return written(rows.filter(F.col("n_bytes") >= LENGTH).groupBy("text_id").count().filter("count > 1").select("text_id"), "copied")
 
 
 def kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -464,32 +472,28 @@ def kept(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 def removed(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
-    times = copies(docs)
-    by_text, texts = repeats(docs, times)
+    rows = digests(docs)
+    copied = copied_texts(rows)
+    by_text, texts = repeats(docs, copied)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "data"):
-            rows = []
+            out = []
             for text_id, data, spans in zip(*(batch.column(c).to_pylist() for c in ("text_id", "data")), batch.column("spans")):
                 runs = merged(spans)
                 rest = kept(zlib.decompress(data), runs)
-                rows.append((text_id, sum(b - a for a, b in runs), len(runs), hashlib.sha256(rest).hexdigest()))
+                out.append((text_id, sum(b - a for a, b in runs), len(runs), hashlib.sha256(rest).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                zip(*rows), (pa.binary(), pa.int64(), pa.int64(), pa.string()))],
+                zip(*out), (pa.binary(), pa.int64(), pa.int64(), pa.string()))],
                 ["text_id", "n_removed", "n_spans", "kept_sha256"])
 
-    cuts = (texts.join(by_text, "text_id")
-            .mapInArrow(cut, "text_id binary, n_removed long, n_spans long, kept_sha256 string"))
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_id(text).alias("text_id"),
-                       F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(F.encode(text, "UTF-8"), 256).alias("whole"))
-    known = times.join(cuts, "text_id", "left")
-    n, gone = F.col("n_bytes"), (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
-    return rows.join(known, "text_id").select(
+    cuts = texts.join(by_text, "text_id").mapInArrow(cut, "text_id binary, n_removed long, n_spans long, kept_sha256 string")
+    gone = copied.select("text_id", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"),
+                         F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"))
+    return rows.join(cuts.unionByName(gone), "text_id", "left").select(
         "doc_id", "n_bytes",
-        F.when(gone, n).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(gone, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256"))
+        F.when(F.col("n_spans").isNull(), 0).otherwise(F.coalesce("n_removed", "n_bytes")).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
 
 
 def whole_characters(data: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -510,25 +514,26 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Characters that are repeated only in part stay. Texts left empty stay as empty texts.
     """
-    times = copies(docs)
-    by_text, _ = repeats(docs, times)
-    changed = (times.join(by_text, "text_id", "left").filter("copies > 1 or spans is not null")
-               .withColumnRenamed("text_id", "__text"))
+    copied = copied_texts(digests(docs))
+    by_text, _ = repeats(docs, copied)
+    gone = copied.select("text_id", F.array().cast(by_text.schema["spans"].dataType).alias("spans"))
+    changed = by_text.unionByName(gone).withColumnRenamed("text_id", "__text")
     names = docs.columns
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), text.alias("text"), text_id(text).alias("id"))
-    met = rows.join(changed, F.col("id") == F.col("__text"), "left").select("row", "text", "copies", "spans")
+    met = rows.join(changed, F.col("id") == F.col("__text"), "left").select("row", "text", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             columns = dict(zip(names, batch.column("row").flatten()))
             texts = columns["text"].to_pylist()
             sizes = columns["n_chars"].to_pylist() if "n_chars" in columns else None
-            for i, (text, n, spans) in enumerate(zip(texts, batch.column("copies").to_pylist(), batch.column("spans"))):
-                data = text.encode() if n and text else b""
-                if len(data) < LENGTH:
+            for i, (text, spans) in enumerate(zip(texts, batch.column("spans"))):
+                if not spans.is_valid:
                     continue
-                runs = [(0, len(data))] if n > 1 else merged(spans)
+                data = text.encode()
+                # a copied text has no spans: it goes as a whole
+                runs = merged(spans) if len(spans) else [(0, len(data))]
                 texts[i] = kept(data, whole_characters(data, runs)).decode()
                 if sizes:
                     sizes[i] = len(texts[i])
