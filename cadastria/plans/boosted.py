@@ -1,8 +1,9 @@
-"""Boosted-tree price model on MLlib: features, early stopping, ablation, importance."""
+"""Boosted-tree price model on MLlib: features, early stopping with patience, ablation, gain importance."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -12,16 +13,19 @@ from pyspark.ml.feature import (
     TargetEncoder,
     VectorAssembler,
 )
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastria.functions import columns as C
 from cadastria.plans import model as M
+from cadastria.session import delete_at_end, shared_folder
 
 BASE = [*M.CATEGORIES, *M.NUMBERS]
 ENRICHED = [*BASE, *M.ENRICHMENT]
-TREES, DEPTH = 60, 6
+# The most trees, rounds without a smaller error on the valid year that end the boosting, and the depth
+# at which a tree grown level by level has as many leaves as one of 127 grown leaf by leaf.
+TREES, PATIENCE, DEPTH = 3000, 100, 7
 
 
 def _sql(expressions: list[str]) -> SQLTransformer:
@@ -49,21 +53,63 @@ def _stages(features: list[str]) -> tuple[list, list[str]]:
     return [inputs, index, encode, numbers, impute, assemble], columns
 
 
+def kept_prefix(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """How many trees the smallest error so far needs when ``patience`` rounds without a smaller one end
+    the boosting, and whether they have ended it."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_trees(model: GBTRegressionModel, n: int) -> GBTRegressionModel:
+    """The model of the first ``n`` trees; boosting adds trees, so it is what ``n`` rounds would have given."""
+    jvm, gateway, java = SparkSession.active()._jvm, SparkSession.active().sparkContext._gateway, model._java_obj
+    regression = jvm.org.apache.spark.ml.regression
+    trees = gateway.new_array(regression.DecisionTreeRegressionModel, n)
+    weights = gateway.new_array(jvm.double, n)
+    for i, (tree, weight) in enumerate(zip(list(java.trees())[:n], list(java.treeWeights())[:n])):
+        trees[i], weights[i] = tree, weight
+    cut = GBTRegressionModel(regression.GBTRegressionModel(f"{java.uid()}_{n}", trees, weights))
+    return model._copyValues(cut)
+
+
 def fit_boosted(train: DataFrame, features: list[str], valid: DataFrame | None = None,
                 trees: int = TREES, depth: int = DEPTH, step: float = 0.05,
-                seed: int = 42) -> PipelineModel:
-    """Encoders are fitted on the training rows only; ``valid`` only stops the boosting."""
+                seed: int = 42, patience: int = PATIENCE) -> PipelineModel:
+    """Encoders are fitted on the training rows only; ``valid`` only stops the boosting.
+
+    A fit can't go on where another has ended, but a longer one begins with the trees of a shorter
+    one: each has a seed of its own. So the number of rounds is doubled until ``patience`` is used up or
+    ``trees`` is reached, which costs at most twice the last fit. One pass over ``valid`` gives the error
+    of every prefix of the trees; the best is kept.
+    """
+    shared_folder(train.sparkSession)  # a long boosting checkpoints its residuals there
     stages, _ = _stages(features)
     fitted = Pipeline(stages=stages).fit(train)
-    rows = fitted.transform(train).select("features", "y")
-    params = dict(featuresCol="features", labelCol="y", maxIter=trees, maxDepth=depth,
-                  stepSize=step, minInstancesPerNode=40, subsamplingRate=0.8,
-                  featureSubsetStrategy="0.8", seed=seed)
-    if valid is not None:
-        held = fitted.transform(valid).select("features", "y", F.lit(True).alias("_valid"))
-        rows = rows.withColumn("_valid", F.lit(False)).unionByName(held)
-        params["validationIndicatorCol"] = "_valid"
-    return PipelineModel(stages=[*fitted.stages, GBTRegressor(**params).fit(rows)])
+    rows = fitted.transform(train).select("features", "y").persist()
+    held = fitted.transform(valid).select("features", "y").persist() if valid is not None else None
+
+    def boosted(rounds: int) -> GBTRegressionModel:
+        return GBTRegressor(featuresCol="features", labelCol="y", maxIter=rounds, maxDepth=depth,
+                            stepSize=step, minInstancesPerNode=40, subsamplingRate=0.8,
+                            featureSubsetStrategy="0.8", checkpointInterval=25, seed=seed).fit(rows)
+
+    rounds = trees if held is None else min(trees, patience + max(1, patience // 4))
+    model = boosted(rounds)
+    if held is not None:
+        kept, over = kept_prefix(model.evaluateEachIteration(held, "squared"), patience)
+        while not over and rounds < trees:
+            rounds = min(trees, 2 * rounds)
+            model = boosted(rounds)
+            kept, over = kept_prefix(model.evaluateEachIteration(held, "squared"), patience)
+        model = first_trees(model, kept)
+        held.unpersist()
+    rows.unpersist()
+    return PipelineModel(stages=[*fitted.stages, model])
 
 
 def predict_prices(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -75,26 +121,42 @@ def retained_trees(model: PipelineModel) -> int:
     return model.stages[-1].getNumTrees
 
 
-def importance(model: PipelineModel, features: list[str]) -> DataFrame:
-    """Share of the total gain per variable; a missing-value flag counts with its variable."""
-    _, columns = _stages(features)
-    gains = model.stages[-1].featureImportances.toArray()
-    rows = [(c.rsplit("_", 1)[0], float(g)) for c, g in zip(columns, gains, strict=True)]
-    df = SparkSession.active().createDataFrame(rows, "variable string, gain double")
-    per = df.groupBy("variable").agg(F.sum("gain").alias("gain"))
-    total = df.select(F.sum("gain")).scalar()
-    return per.withColumn("_t", total).select(
-        "variable", C.round_half_even(
-            F.col("gain") / F.nullif(F.col("_t"), F.lit(0.0)) * 100, 1).alias("part_pct")).orderBy(F.col("part_pct").desc(), "variable")
+def splits(model: PipelineModel) -> DataFrame:
+    """The inner nodes of all trees: tree, node, the place of the split's variable, how many rows met
+    the split (n) and by how much it lowered their squared error in all (gain)."""
+    spark = SparkSession.active()
+    path = f"{shared_folder(spark)}/models/{uuid.uuid4().hex}"
+    model.stages[-1].save(path)
+    delete_at_end(spark, path)
+    node = F.col("nodeData")
+    n = F.get(node["impurityStats"], F.lit(0))
+    # a node's gain is per row
+    return spark.read.parquet(f"{path}/data").filter(node["leftChild"] >= 0).select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"), node["split"]["featureIndex"].alias("place"),
+        n.alias("n"), (node["gain"] * n).alias("gain"))
 
 
-def evaluate_models(sales: DataFrame, trees: int = TREES, depth: int = DEPTH,
+def importance(model: PipelineModel, features: list[str]) -> DataFrame:
+    """Share of the total gain of all splits per variable; a missing-value flag counts with its variable."""
+    _, columns = _stages(features)
+    places = SparkSession.active().createDataFrame(
+        [(i, c.rsplit("_", 1)[0]) for i, c in enumerate(columns)], "place int, variable string")
+    per = (places.join(splits(model), "place", "left").groupBy("variable")
+           .agg(F.coalesce(F.sum("gain"), F.lit(0.0)).alias("gain")))
+    total = F.col("_t")
+    # one row a variable
+    return per.join(per.agg(F.sum("gain").alias("_t")), how="cross").select(
+        "variable", C.round_half_even(F.col("gain") / F.nullif(total, F.lit(0.0)) * 100, 1).alias("part_pct")
+    ).orderBy(F.col("part_pct").desc(), "variable")
+
+
+def evaluate_models(sales: DataFrame, trees: int = TREES, depth: int = DEPTH, patience: int = PATIENCE,
                     fitted: PipelineModel | None = None) -> tuple[DataFrame, PipelineModel]:
     """Boosted trees with and without enrichment and the median baseline, on the two last years."""
     split = M.temporal_split(sales)
     train, valid = split.filter("part = 'train'"), split.filter("part = 'valid'")
-    model = fitted or fit_boosted(train, ENRICHED, valid, trees, depth)
-    plain = fit_boosted(train, BASE, valid, trees, depth)
+    model = fitted or fit_boosted(train, ENRICHED, valid, trees, depth, patience=patience)
+    plain = fit_boosted(train, BASE, valid, trees, depth, patience=patience)
     held = split.filter("part != 'train'")
     predicted = {
         "modele_enrichi": predict_prices(model, held).select("part", "prix_m2", "pred"),

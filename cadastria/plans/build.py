@@ -30,8 +30,9 @@ class Settings:
     minimum_rows: int = K.MIN_RAW_ROWS
     minimum_coverage: float = K.MIN_COVERAGE
     as_of: Column | None = None
-    trees: int = 60
-    depth: int = 6
+    trees: int = boosted.TREES
+    depth: int = boosted.DEPTH
+    patience: int = boosted.PATIENCE
     run_id: str = "manual"
     logical_date: str = ""
     checked: list[str] = field(default_factory=lambda: [
@@ -76,7 +77,7 @@ def build(spark: SparkSession, s: Settings) -> Warehouse:
 def publish_model(w: Warehouse, s: Settings) -> DataFrame:
     """Out-of-sample predictions and the evaluation, importance and station-effect reports."""
     sales = w.store.table("training", lambda: model.training_set(w.fact(), w.places()))
-    metrics, fitted = boosted.evaluate_models(sales, s.trees, s.depth)
+    metrics, fitted = boosted.evaluate_models(sales, s.trees, s.depth, s.patience)
     landing.overwrite(report("performance", "modele", metrics), f"{s.output}/report_performance")
     landing.overwrite(boosted.importance(fitted, boosted.ENRICHED),
                       f"{s.output}/report_importance")
