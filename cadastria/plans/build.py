@@ -13,6 +13,7 @@ from cadastria.plans import boosted, checks, extract, model
 from cadastria.plans import hedonic as station_effect
 from cadastria.plans.warehouse import Inputs, Warehouse
 from cadastria.sources import landing
+from cadastria.streaming import incremental
 
 
 @dataclass
@@ -42,10 +43,11 @@ class Settings:
 def build(spark: SparkSession, s: Settings) -> Warehouse:
     """Write every published table below ``output``; a failed check stops the build there."""
     raw_path = f"{s.output}/raw"
-    landing.overwrite(landing.land_sales(spark, s.sales), raw_path)
-    raw = spark.read.parquet(raw_path)
+    raw = incremental.refresh(spark, s.sales, K.RAW_COLUMNS, raw_path)
     Q.require_landing(Q.landing_gate(raw, s.departments, s.minimum_rows))
-    Q.require_fresh(Q.freshness(raw, "_loaded_at", F.current_timestamp(),
+    # files that are as they were keep the day they were loaded, the manifest has the day they were looked at
+    seen = spark.read.parquet(f"{raw_path}/manifest")
+    Q.require_fresh(Q.freshness(seen, "_loaded_at", F.current_timestamp(),
                                 K.FRESHNESS_WARN_DAYS, K.FRESHNESS_ERROR_DAYS))
     inputs = Inputs(
         lines=lambda: raw, stations=lambda: s.stations, planned=lambda: s.planned,

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from urllib.parse import unquote
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +27,28 @@ def source_file() -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-def file_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(path, header): the first line of every file, found in parallel."""
-    rows = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"))
-    # the first block of a file is read by one task, in order
-    return rows.filter("start = 0").groupBy("path").agg(F.min_by("value", "row").alias("header"))
+#: Files whose first lines one job finds, and jobs at a time.
+FILES_A_JOB, JOBS = 64, 4
+
+
+def file_paths(spark: SparkSession, paths: str | list[str]) -> list[str]:
+    """The files below ``paths``, from their listing."""
+    return sorted(r["path"] for r in spark.read.format("binaryFile").load(paths).select("path").collect())
+
+
+def file_headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """The first line of every file that has one.
+
+    A limit on the read of one file stops after its first buffer, packed or not; a read of many files has no limit a file.
+    So a job is the union of such reads, and the names of the files are all that the driver handles.
+    """
+    def first_lines(some: list[str]) -> list[tuple[str, str]]:
+        reads = [spark.read.text(f).limit(1).select(F.lit(f).alias("file"), F.col("value").alias("header")) for f in some]
+        return [tuple(r) for r in reduce(DataFrame.unionAll, reads).collect()]
+
+    jobs = [files[i:i + FILES_A_JOB] for i in range(0, len(files), FILES_A_JOB)]
+    with ThreadPool(JOBS) as pool:
+        return dict(pair for pairs in pool.map(first_lines, jobs) for pair in pairs)
 
 
 def _split_header(header: str, sep: str) -> list[str]:
@@ -41,22 +56,26 @@ def _split_header(header: str, sep: str) -> list[str]:
 
 
 def read_csv_by_name(spark: SparkSession, paths: str | list[str], keep: list[str],
-                     sep: str = ",") -> DataFrame:
+                     sep: str = ",", required: list[str] | None = None) -> DataFrame:
     """CSV files whose headers differ in order or content, bound by column name.
 
-    Spark binds CSV columns by position, so files are read once per distinct header; the driver
-    handles file names and headers only. Columns outside ``keep`` are dropped, absent ones are NULL.
+    Spark binds CSV columns by position, so there is one read per distinct header; the driver handles
+    file names and headers only, as it does for any read of files. Columns outside ``keep`` are dropped, absent ones
+    are NULL. With ``required``, a file that lacks one of those columns is an error.
     """
-    groups = file_headers(spark, paths).groupBy("header").agg(
-        F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    by_header: dict[str, list[str]] = {}
+    for file, header in file_headers(spark, file_paths(spark, paths)).items():
+        by_header.setdefault(header, []).append(file)
     parts = []
-    for g in groups:
-        names = _split_header(g.header, sep)
+    for header, files in by_header.items():
+        names = _split_header(header, sep)
+        if missing := [c for c in required or [] if c not in names]:
+            raise ValueError(f"no known header in {files[0]}: {missing} not among {names}")
         # a repeated name would be ambiguous: the first one wins
         labels = [n if n not in names[:i] else f"_dup{i}" for i, n in enumerate(names)]
         part = (
             spark.read.schema(text_schema(labels)).option("header", True).option("sep", sep)
-            .option("encoding", "UTF-8").csv([unquote(p) for p in g.paths])
+            .option("encoding", "UTF-8").csv(files)
         )
         present = [n for n in keep if n in labels]
         # an empty cell is a missing value, quoted or not

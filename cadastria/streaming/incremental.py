@@ -1,84 +1,94 @@
-"""Incremental landing: a file stream that picks up files not yet seen and then stops, and a refresh
-that reloads what the source has republished."""
+"""Incremental landing: a stream of unseen files, and a refresh that reloads what the source has republished.
+
+Both write a partition per file and overwrite the partitions of the files they load, so a repeated batch or a
+republished file replaces its rows. Files that were landed before aren't opened again.
+"""
 
 from __future__ import annotations
 
 from hashlib import md5
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastria.functions import columns as C
 from cadastria.session import checkpointed, shared_folder
 from cadastria.sources import landing
-from cadastria.sources.landing import PROVENANCE, stamped
+from cadastria.sources.landing import stamped
 
+# The columns of a listing of files; the content is never asked for.
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
-def _cells(line: Column, most: int) -> Column:
-    """The first ``most`` cells of a CSV line, quotes undone."""
-    row = F.from_csv(line, ", ".join(f"c{i} string" for i in range(most)))
-    return F.array(*[row[f"c{i}"] for i in range(most)])
 
+def land_files(spark: SparkSession, paths: list[str], columns: list[str], target: str, required: list[str]) -> None:
+    """Write the rows of ``paths`` to their partitions of ``target``, bound by each file's own header."""
+    if paths:
+        rows = landing.read_csv_by_name(spark, paths, columns, required=required)
+        refresh_partitions(spark, stamped(rows), target)
 
-def incoming_files(spark: SparkSession, folder: str, columns: list[str],
-                   files_per_batch: int = 1000) -> DataFrame:
-    """Stream of text rows with provenance, bound by name: each file has a header of its own.
 
-    The headers are read before the stream starts. A file that comes later, or one without any of the
-    columns, fails the stream before its batch is committed; the next run lands it. Records are lines.
-    """
-    path = F.col("_metadata.file_path")
-    # one row per file, computed before the stream
-    heads = checkpointed(landing.file_headers(spark, folder)).select(
-        "path", "header", F.regexp_replace("header", "^﻿", "").alias("_names"))
-    # no header has more cells than commas and one
-    most = heads.agg(F.max(F.size(F.split("header", ",")))).head()[0] or 1
-    names = F.transform(_cells(F.col("_names"), most), lambda c: F.trim(c))
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder).select(
-        "value", path.alias("path"), landing.source_file().alias("_source_file"))
-    met = lines.join(heads.withColumn("_names", names), "path", "left").withColumn(
-        "_names", F.when(F.arrays_overlap("_names", F.lit(columns)), F.col("_names")).otherwise(
-            F.raise_error(F.concat(F.lit("no known header in "), F.col("path")))))
-    cells = met.filter((F.col("value") != F.col("header")) & (F.col("value") != "")).withColumn(
-        "_cells", _cells(F.col("value"), most))
-
-    def bound(name: str) -> Column:
-        at = F.array_position("_names", F.lit(name))
-        return C.blank_to_null(F.when(at > 0, F.get("_cells", (at - 1).cast("int")))).alias(name)
-
-    return stamped(cells.select(*[bound(c) for c in columns], "_source_file"))
-
-
-def land_new_files(spark: SparkSession, folder: str, columns: list[str], target: str) -> None:
-    """Append the rows of unseen files to ``target``; progress belongs to the folder and the target.
-
-    The Parquet sink commits each batch once, so a retried batch does not repeat rows.
+def land_new_files(spark: SparkSession, folder: str, columns: list[str], target: str,
+                   required: list[str] | None = None, files_per_batch: int = 1000) -> None:
+    """Land the files of ``folder`` that no earlier run has; progress belongs to the folder and the target.
+
+    The stream is one of names, dates and sizes: a batch opens its own files only, first for their headers and then for
+    their rows. A file without the ``required`` columns (the first one, if none are named) fails its batch, and the next run
+    tries it again. A batch is written once however often it is tried.
     """
-    stream = incoming_files(spark, folder, columns)
+    required = columns[:1] if required is None else required
+
+    def land(batch: DataFrame, _: int) -> None:
+        # at most files_per_batch names
+        paths = [r["path"] for r in batch.select("path").collect()]
+        land_files(batch.sparkSession, paths, columns, target, required)
+
     progress = md5(f"{folder}\n{target}".encode()).hexdigest()
     (
-        stream.select(*columns, *PROVENANCE).writeStream.format("parquet")
-        .option("path", target)
+        spark.readStream.format("binaryFile").schema(LISTING).option("maxFilesPerTrigger", files_per_batch)
+        .load(folder).select("path").writeStream.foreachBatch(land)
         .option("checkpointLocation", f"{shared_folder(spark)}/streams/{progress}")
         .trigger(availableNow=True).start().awaitTermination()
     )
 
 
-def refresh_changed(spark: SparkSession, folder: str, columns: list[str], target: str,
-                    stored: DataFrame) -> DataFrame:
-    """Reload the files that are new or republished since ``stored``; returns the manifest to store.
-
-    Rows are partitioned by file, and only the partitions of reloaded files are overwritten.
-    """
-    remote = landing.manifest(spark, folder)
+def refresh_changed(spark: SparkSession, folder: str | list[str], columns: list[str], target: str,
+                    stored: DataFrame, required: list[str] | None = None) -> DataFrame:
+    """Reload the files that are new or republished since ``stored``; returns the manifest to store."""
+    remote = checkpointed(landing.manifest(spark, folder))
     # names of changed files only
     paths = [r["file"] for r in landing.changed_files(stored, remote).collect()]
-    if paths:
-        rows = landing.read_csv_by_name(spark, paths, columns)
-        refresh_partitions(spark, stamped(rows), target)
+    land_files(spark, paths, columns, target, required or [])
     return remote
 
 
+def refresh(spark: SparkSession, folder: str | list[str], columns: list[str], target: str,
+            required: list[str] | None = None) -> DataFrame:
+    """The rows of all files that the source has now; ``target`` keeps them and the manifest of the last run.
+
+    Files that are as they were aren't read from the source; files that are gone keep their partition and are left out. The manifest is
+    stored last: a run that was cut short is made up for by the next one.
+    """
+    rows, known = f"{target}/rows", f"{target}/manifest"
+    schema = "file string, last_modified string, content_length string, etag string, _loaded_at string"
+    stored = spark.read.schema(schema).parquet(known) if exists(spark, known) else spark.createDataFrame([], schema)
+    remote = refresh_changed(spark, folder, columns, rows, stored, required)
+    stamped(remote).write.mode("overwrite").parquet(known)
+    return landed(spark, columns, target)
+
+
+def landed(spark: SparkSession, columns: list[str], target: str) -> DataFrame:
+    """What ``refresh`` has landed of the files in its manifest."""
+    names = spark.read.parquet(f"{target}/manifest").select(F.substring_index("file", "/", -1).alias("_source_file"))
+    schema = ", ".join(f"`{c}` string" for c in [*columns, "_loaded_at", "_source_file"])
+    if not exists(spark, f"{target}/rows"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{target}/rows").join(names, "_source_file", "left_semi").select(*columns, *landing.PROVENANCE)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def replace_files(landed: DataFrame, republished: DataFrame) -> DataFrame:
     """Rows of a republished file replace the rows landed from its earlier version."""
     names = republished.select("_source_file").distinct()

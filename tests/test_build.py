@@ -5,9 +5,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from cadastria.functions import constants as K
 from cadastria.operators.quality import QualityError
 from cadastria.plans.build import Settings, build
-from cadastria.sources import standin
+from cadastria.sources import landing, standin
+from cadastria.streaming import incremental
 
 SF = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
@@ -43,6 +45,15 @@ def test_build_publishes_everything(spark, settings):
         assert spark.read.parquet(f"{settings.output}/{name}").count() > 0
 
 
+def test_files_that_are_as_they_were_are_not_read_again(spark, settings, monkeypatch):
+    raw = f"{settings.output}/raw"
+    before = spark.read.parquet(f"{raw}/manifest").select(*landing.META, "file")
+    assert landing.changed_files(before, landing.manifest(spark, settings.sales)).count() == 0
+    monkeypatch.setattr(landing, "read_csv_by_name", None)
+    again = incremental.refresh(spark, settings.sales, K.RAW_COLUMNS, raw)
+    assert again.count() == standin.raw_lines(spark, SF).count()
+
+
 def test_thin_coverage_blocks(spark, settings):
     from dataclasses import replace
 

@@ -152,6 +152,70 @@ def test_stream_refuses_an_unknown_header(spark, tmp_path):
         incremental.land_new_files(spark, str(inbox), ["id", "v"], str(tmp_path / "out"))
 
 
+def test_stream_opens_new_files_only_and_replaces_a_repeated_batch(spark, tmp_path, monkeypatch):
+    inbox, target = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    opened = []
+    plain = landing.read_csv_by_name
+    monkeypatch.setattr(landing, "read_csv_by_name", lambda s, paths, *a, **k: opened.append(
+        sorted(p.rsplit("/", 1)[1] for p in paths)) or plain(s, paths, *a, **k))
+    for i, name in enumerate("abc"):
+        (inbox / f"{name}.csv").write_text(f"id,v\n{i},id\nid,v\n")
+        incremental.land_new_files(spark, str(inbox), ["id", "v"], target, files_per_batch=1)
+    assert opened == [["a.csv"], ["b.csv"], ["c.csv"]]
+    # a row that looks like the header is a row
+    assert sorted((r.id, r.v) for r in spark.read.parquet(target).collect()) == [
+        ("0", "id"), ("1", "id"), ("2", "id"), ("id", "v"), ("id", "v"), ("id", "v")]
+    incremental.land_files(spark, [str(inbox / "b.csv")], ["id", "v"], target, ["id"])
+    assert spark.read.parquet(target).count() == 6
+
+
+def test_required_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,w\n1,2\n")
+    assert landing.read_csv_by_name(spark, str(tmp_path), ["id", "v"], required=["id"]).head().v is None
+    with pytest.raises(ValueError, match="no known header"):
+        landing.read_csv_by_name(spark, str(tmp_path), ["id", "v"], required=["v"])
+
+
+def input_bytes(spark):
+    executors = spark._jsc.sc().statusStore().executorList(False)
+    return sum(executors.apply(i).totalInputBytes() for i in range(executors.size()))
+
+
+def test_headers_are_found_without_reading_the_files(spark, tmp_path):
+    line = "1,2,3,4\n" * (1 << 20)
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text(f"a,b,c,{i}\n" + line)
+    write_gz(tmp_path / "packed.csv.gz", "z,y", ["0,0"])
+    (tmp_path / "empty.csv").write_text("")
+    spark.range(1).count()
+    before = input_bytes(spark)
+    files = landing.file_paths(spark, str(tmp_path))
+    got = {path.rsplit("/", 1)[1]: header for path, header in landing.file_headers(spark, files).items()}
+    assert got == {"0.csv": "a,b,c,0", "1.csv": "a,b,c,1", "2.csv": "a,b,c,2", "packed.csv.gz": "z,y"}
+    import time
+    time.sleep(1)
+    assert input_bytes(spark) - before < 1 << 20
+
+
+def test_refresh_follows_the_source(spark, tmp_path):
+    inbox, target = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    rows = lambda: sorted((r.id, r.v) for r in incremental.refresh(
+        spark, str(inbox), ["id", "v"], target).collect())
+    (inbox / "a é+%20 1.csv").write_text("id,v\n1,x\n")
+    (inbox / "b.csv").write_text("v,id\ny,2\n")
+    assert rows() == [("1", "x"), ("2", "y")]
+    loaded = {r._source_file: r._loaded_at for r in incremental.landed(spark, ["id", "v"], target).collect()}
+    (inbox / "a é+%20 1.csv").write_text("id,v\n1,changed\n3,z\n")
+    (inbox / "c.csv").write_text("id\n4\n")
+    assert rows() == [("1", "changed"), ("2", "y"), ("3", "z"), ("4", None)]
+    again = {r._source_file: r._loaded_at for r in incremental.landed(spark, ["id", "v"], target).collect()}
+    assert again["b.csv"] == loaded["b.csv"] and again["a é+%20 1.csv"] > loaded["a é+%20 1.csv"]
+    (inbox / "b.csv").unlink()
+    assert rows() == [("1", "changed"), ("3", "z"), ("4", None)]
+
+
 def test_paths_with_spaces_and_accents_land(spark, tmp_path):
     folder = tmp_path / "a b"
     folder.mkdir()
