@@ -18,6 +18,7 @@ from cadastria.functions import columns as C
 from cadastria.functions import constants as K
 from cadastria.operators.grouping import dense_rank
 from cadastria.operators.quantiles import exact_quantiles, from_counts, value_counts
+from cadastria.operators.rolling import windowed_quantile
 from cadastria.session import join_on
 
 ALL = "_all"
@@ -217,20 +218,30 @@ def _prior_year(star: Star, ctx: Context, names: list[str]) -> dict[str, DataFra
     return out
 
 
+def _day(date: Column | str) -> Column:
+    return F.unix_date(date)
+
+
+def _daily(star: Star, ctx: Context) -> DataFrame:
+    """Counts of reliable prices by group of the other axes and day, whatever the time in context."""
+    axes = [ALL, *ctx.other_axes]
+    rows = context_rows(star, "fact", ctx.without_time()).filter(_reliable())
+    return value_counts(rows, [*axes, "date_mutation"], {"prix": (F.col("prix_m2"), 0.5)}).select(
+        F.struct(*axes).alias("_g"), _day("date_mutation").alias("_at"), "_v", "_n")
+
+
 def _rolling(star: Star, ctx: Context) -> DataFrame:
     """Median over the twelve months that end with the last day of each period."""
-    on = [ALL, *ctx.time_axes]
     days = star.calendar.filter(_all(ctx.predicate(_CALENDAR))).withColumn(ALL, F.lit(1))
-    windows = days.groupBy(*on).agg(F.max("date").alias("_end")).select(
-        *on, F.explode(F.sequence(F.date_add(F.add_months("_end", -12), 1), F.col("_end")))
-        .alias("date_mutation"))
-    rows = context_rows(star, "fact", ctx.without_time()).drop(ALL).filter(_reliable())
-    spec = {"prix_m2_median_12m": (F.col("prix_m2"), 0.5)}
-    # values are counted per day first; only the counts are copied into the windows of their day
-    daily = value_counts(rows, [*ctx.other_axes, "date_mutation"], spec)
-    seen = daily.join(windows, "date_mutation").groupBy(ALL, *ctx.by, "_m", "_v").agg(
-        F.sum("_n").alias("_n"))
-    return from_counts(seen, [ALL, *ctx.by], spec, bounded=True)
+    daily = _daily(star, ctx)
+    periods = days.groupBy(ALL, *ctx.time_axes).agg(F.max("date").alias("_end")).select(
+        F.struct(ALL, *ctx.time_axes).alias("_w"), (_day(F.add_months("_end", -12)) + 1).alias("_from"), _day("_end").alias("_to"))
+    # every period for every member of the other axes
+    groups = daily.select("_g").distinct()
+    windows = groups.join(periods, F.col(f"_g.{ALL}") == F.col(f"_w.{ALL}"))
+    found = windowed_quantile(daily, windows, 0.5, "prix_m2_median_12m")
+    return found.select(F.col(f"_g.{ALL}").alias(ALL), *[
+        F.col(f"_w.{a}" if a in ctx.time_axes else f"_g.{a}").alias(a) for a in ctx.by], "prix_m2_median_12m")
 
 
 def _last_year_change(star: Star, ctx: Context) -> DataFrame:
@@ -238,21 +249,14 @@ def _last_year_change(star: Star, ctx: Context) -> DataFrame:
     keys, others = [ALL, *ctx.by], [ALL, *ctx.other_axes]
     ends = context_rows(star, "fact", ctx).groupBy(*keys).agg(
         F.max("date_mutation").alias("_end"))
-    rows = context_rows(star, "fact", ctx.without_time()).filter(_reliable())
-    spec = {"_value": (F.col("prix_m2"), 0.5)}
-    daily = value_counts(rows, [*others, "date_mutation"], spec)
-    # every day of either twelve months: a period meets the counts of its days, not all counts
-    mid = F.add_months("_end", -12)
-    days = F.explode(F.sequence(F.date_add(F.add_months(mid, -12), 1), F.col("_end")))
-    windows = ends.select(*keys, (days).alias("date_mutation"), mid.alias("_mid")).withColumn(
-        "_side", (F.col("date_mutation") <= F.col("_mid")).cast("int"))
-    sides = join_on(daily, windows, [*others, "date_mutation"]).groupBy(
-        *keys, F.col("_side").alias("_m"), "_v").agg(F.sum("_n").alias("_n"))
-    # measure 0 is the current side, measure 1 the one before
-    found = from_counts(sides, keys, {"_cur": (F.lit("current"), 0.5), "_prev": (F.lit("before"), 0.5)},
-                        bounded=True)
-    return found.select(*keys, C.blank_change(F.col("_cur"), F.col("_prev"))
-                        .alias("evolution_prix_m2_12m"))
+    middle, start = F.add_months("_end", -12), F.add_months(F.add_months("_end", -12), -12)
+    side = lambda name, first, last: F.struct(
+        F.lit(name).alias("side"), (_day(first) + 1).alias("_from"), _day(last).alias("_to"))
+    windows = ends.select(*keys, F.explode(F.array(side("cur", middle, F.col("_end")), side("prev", start, middle))).alias("_s")).select(
+        F.struct(*others).alias("_g"), F.struct(*keys, "_s.side").alias("_w"), "_s._from", "_s._to")
+    found = windowed_quantile(_daily(star, ctx), windows, 0.5, "_value").select("_w.*", "_value")
+    of = lambda name: F.max(F.when(F.col("side") == name, F.col("_value")))
+    return found.groupBy(*keys).agg(C.blank_change(of("cur"), of("prev")).alias("evolution_prix_m2_12m"))
 
 
 def _since_first_year(star: Star, ctx: Context) -> DataFrame:
@@ -338,8 +342,6 @@ def evaluate(star: Star, measures: list[str], ctx: Context = Context(),
 def with_totals(star: Star, ctx: Context, measure: str = "prix_m2_median") -> DataFrame:
     """Matrix of a median with row, column and grand totals; medians do not add up, so totals are
     taken over value counts, which are small next to the rows."""
-    from cadastria.operators.quantiles import from_counts, value_counts
-
     table, value, bounded = MEDIANS[measure]
     rows, columns = ctx.by
     spec = {measure: (value(), 0.5)}

@@ -11,7 +11,7 @@ from cadastria.operators.grouping import (
     quantile_class,
 )
 from cadastria.operators.quantiles import approx_quantiles, exact_quantiles, value_bucket
-from cadastria.operators.rolling import rolling_quantile
+from cadastria.operators.rolling import rolling_quantile, windowed_quantile
 
 
 def skewed(n=6000, seed=1):
@@ -135,3 +135,25 @@ def test_nan_does_not_count(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", float("nan")), ("a", None), ("b", float("nan"))], "k string, v double")
     got = exact_quantiles(df, ["k"], {"m": (F.col("v"), 0.5)}).collect()
     assert [(r.k, r.m) for r in got] == [("a", 2.0)]
+
+
+def test_windowed_quantile_of_any_window(spark):
+    """Ties, negative values, a group with most rows, windows without rows and ones that end between rows."""
+    rng = np.random.default_rng(9)
+    n = 4000
+    pdf = pd.DataFrame({"g": np.where(rng.random(n) < 0.6, 0, rng.integers(1, 6, n)), "t": rng.integers(0, 90, n),
+                        "v": np.where(rng.random(n) < 0.4, rng.integers(-3, 4, n), np.round(rng.normal(0, 900, n), 1))})
+    windows = pd.DataFrame([(g, i, a, a + w) for g in range(7) for i, (a, w) in enumerate(
+        zip(rng.integers(-20, 100, 12), rng.integers(0, 60, 12)))], columns=["g", "w", "a", "b"])
+    counts = spark.createDataFrame(pdf).groupBy("g", "t", "v").count().select(
+        F.struct("g").alias("_g"), F.col("t").cast("int").alias("_at"), F.col("v").alias("_v"), F.col("count").alias("_n"))
+    asked = spark.createDataFrame(windows).select(
+        F.struct("g").alias("_g"), F.struct("w").alias("_w"), F.col("a").cast("int").alias("_from"), F.col("b").cast("int").alias("_to"))
+    for prob in (0.5, 0.1, 0.99):
+        got = {(r._g.g, r._w.w): r.q for r in windowed_quantile(counts, asked, prob, "q").collect()}
+        want = {}
+        for r in windows.itertuples():
+            part = pdf[(pdf.g == r.g) & (pdf.t >= r.a) & (pdf.t <= r.b)]
+            if len(part):
+                want[(r.g, r.w)] = part.v.quantile(prob)
+        assert got == pytest.approx(want)
