@@ -214,6 +214,17 @@ def commune_quartiles_k5(w: Warehouse) -> DataFrame:
     return tidy(extract.place_prices(w.fact(), w.places()))
 
 
+@query("approximate_quartiles")
+def approximate_quartiles(w: Warehouse) -> DataFrame:
+    """Element quartiles by department, type and year from merged daily sketches: what they count, and whether
+    each is within one per cent of its rank among all prices."""
+    daily = w.store.table("price_sketches", lambda: extract.daily_sketches(w.fact()))
+    keys = ["code_departement", "type_bien", "annee"]
+    errors = extract.quartile_errors(w.fact(), extract.approximate_quartiles(daily, keys), keys)
+    return errors.select(*keys, "nb_ventes", *[
+        (F.col(f"{name}_erreur") <= 0.01).alias(f"{name}_proche") for name in extract.QUARTILES])
+
+
 @query("band_medians_k5")
 def band_medians_k5(w: Warehouse) -> DataFrame:
     return tidy(extract.band_prices(w.fact(), w.places()))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadastria.operators.quantiles import value_bucket, value_counts
+from cadastria.session import stored
 
 #: Narrow buckets in a wide one: 32 wide ones cover a doubling of the value.
 NARROW = 32
@@ -62,7 +63,8 @@ def windowed_quantile(counts: DataFrame, windows: DataFrame, prob: float, name:
     """(_g, _w, name): the interpolated quantile of every window that holds a value.
 
     ``counts`` has a group (_g), a time as a whole number (_at), a value (_v) and its count (_n); ``windows``
-    has the group, a name (_w) and the first and last time (_from, _to), both included.
+    has the group, a name (_w) and the first and last time (_from, _to), both included. Both are read by every
+    step, so they should be tables.
     """
     values = counts.withColumn("_b", value_bucket(F.col("_v")))
     narrow = values.groupBy("_g", "_b", "_at").agg(F.sum("_n").alias("_n")).withColumn(
@@ -84,8 +86,8 @@ def rolling_quantile(df: DataFrame, keys: list[str], date: str, value: Column, p
                      months: int, name: str) -> DataFrame:
     """Quantile of the last ``months`` months for every month that has rows; a row without a date is in none."""
     month = F.year(date) * 12 + F.month(date)
-    counts = value_counts(df.withColumn("_at", month).filter("_at is not null"), [*keys, "_at"], {name: (value, prob)}).select(
-        F.struct(*keys).alias("_g"), "_at", "_v", "_n")
+    counts = stored(value_counts(df.withColumn("_at", month).filter("_at is not null"), [*keys, "_at"], {name: (value, prob)}).select(
+        F.struct(*keys).alias("_g"), "_at", "_v", "_n"))
     windows = counts.select("_g", F.col("_at").alias("_w"), (F.col("_at") - (months - 1)).alias("_from"),
                             F.col("_at").alias("_to")).distinct()
     first = F.make_date(F.floor((F.col("_w") - 1) / 12).cast("int"), F.pmod(F.col("_w") - 1, F.lit(12)) + 1, F.lit(1))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cadastria.functions import columns as C
 from cadastria.functions import constants as K
+from cadastria.operators import sketches
 from cadastria.operators.quantiles import approx_quantiles, exact_quantiles
 from cadastria.plans.marts import located_fact
 from cadastria.session import join_on
@@ -75,6 +76,35 @@ def place_gaps(gaps: DataFrame, places: DataFrame, minimum: int = K.MIN_GROUP_SA
         "part_au_dessus_pct")
 
 
+# The quartiles that are published.
+QUARTILES = {"q1": 0.25, "mediane": 0.5, "q3": 0.75}
+
+
+def daily_sketches(fact: DataFrame) -> DataFrame:
+    """A sketch of the reliable prices per commune, type and day."""
+    return sketches.sketched(fact.filter("est_prix_m2_fiable"),
+                             ["code_departement", "geo_key", "type_bien", "date_mutation"], F.col("prix_m2"))
+
+
+def approximate_quartiles(daily: DataFrame, keys: list[str]) -> DataFrame:
+    """Element quartiles of any roll-up of the daily sketches; ``keys`` may use the year (annee)."""
+    found = sketches.merged(daily.withColumn("annee", F.year("date_mutation")), keys)
+    return found.select(*keys, sketches.count("sketch").alias("nb_ventes"),
+                        *[sketches.quantile("sketch", p).alias(name) for name, p in QUARTILES.items()])
+
+
+def quartile_errors(fact: DataFrame, approximate: DataFrame, keys: list[str]) -> DataFrame:
+    """Rank errors of approximate quartiles against all reliable prices."""
+    prices = fact.filter("est_prix_m2_fiable").withColumn("annee", F.year("date_mutation")).select(*keys, "prix_m2")
+    price, counts = F.col("prix_m2"), [F.count("*").alias("n")]
+    for name in QUARTILES:
+        counts += [F.count_if(price < F.col(name)).alias(f"{name}_less"), F.count_if(price <= F.col(name)).alias(f"{name}_upto")]
+    met = join_on(prices, approximate, keys).groupBy(*keys, "nb_ventes", *QUARTILES).agg(*counts)
+    return met.select(*keys, "nb_ventes", *[
+        sketches.rank_error(F.col(name), F.col(f"{name}_less"), F.col(f"{name}_upto"), F.col("n"), p).alias(f"{name}_erreur")
+        for name, p in QUARTILES.items()])
+
+
 def export(frames: dict[str, DataFrame], folder: str) -> None:
     """One Parquet file per extract; the shuffle keeps the aggregation before it spread."""
     for name, df in frames.items():

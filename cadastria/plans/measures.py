@@ -19,7 +19,7 @@ from cadastria.functions import constants as K
 from cadastria.operators.grouping import dense_rank
 from cadastria.operators.quantiles import exact_quantiles, from_counts, value_counts
 from cadastria.operators.rolling import windowed_quantile
-from cadastria.session import join_on
+from cadastria.session import join_on, stored
 
 ALL = "_all"
 _CALENDAR = ["date", "annee", "trimestre", "annee_trimestre", "mois", "annee_mois", "nom_mois",
@@ -37,6 +37,8 @@ class Star:
     places: DataFrame
     segments: DataFrame
     gaps: DataFrame | None = None
+    #: value counts of the fact that several measures of one evaluation read
+    cube: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -65,6 +67,13 @@ class Context:
                        drop=clear(self.drop),
                        present=tuple(p for p in self.present if p not in _CALENDAR))
 
+    def only_time(self) -> Context:
+        def chosen(d: dict) -> dict:
+            return {k: v for k, v in d.items() if k in _CALENDAR}
+
+        return replace(self, by=tuple(self.time_axes), keep=chosen(self.keep), drop=chosen(self.drop),
+                       present=tuple(p for p in self.present if p in _CALENDAR))
+
     def columns(self) -> list[str]:
         return list(dict.fromkeys([*self.by, *self.keep, *self.drop, *self.present]))
 
@@ -99,7 +108,7 @@ def context_rows(star: Star, table: str, ctx: Context, need: tuple[str, ...] = (
     ``months`` moves every sale forward in the calendar: a sale seen 12 months later is last
     year's value of the period it lands in; outside the calendar it is not seen at all.
     """
-    rows = star.fact if table == "fact" else star.gaps
+    rows = getattr(star, table)
     wanted = list(dict.fromkeys([*ctx.columns(), *need]))
     if months:
         rows = rows.withColumn("date_mutation", F.add_months("date_mutation", months))
@@ -197,21 +206,76 @@ def _medians(star: Star, ctx: Context, names: list[str], months: int = 0) -> dic
                       if n in MEDIANS and MEDIANS[n][0] == table and MEDIANS[n][2] == bounded]
             if not chosen:
                 continue
-            rows = context_rows(star, table, ctx, months=months)
-            found = exact_quantiles(rows, [ALL, *ctx.by],
-                                    {n: (MEDIANS[n][1](), 0.5) for n in chosen}, bounded)
+            keys, specs = [ALL, *ctx.by], {n: (MEDIANS[n][1](), 0.5) for n in chosen}
+            if table == "fact" and star.cube is not None:
+                cells = cube_rows(star, ctx, chosen, months).groupBy(*keys, "_m", "_v").agg(F.sum("_n").alias("_n"))
+                found = from_counts(cells, keys, specs, bounded)
+            else:
+                found = exact_quantiles(context_rows(star, table, ctx, months=months), keys, specs, bounded)
             scaled = {n: F.col(n) / 100.0 for n in chosen if n in _PERCENT}
             out[f"median_{table}_{bounded}"] = found.withColumns(scaled) if scaled else found
     return out
 
 
+# ---- the cube ----------------------------------------------------------------------------
+
+SALES = "ventes"  # the measure of the cube that counts every sale in context
+
+
+def _cube_measures() -> dict[str, Column]:
+    medians = {n: value() for n, (table, value, _) in MEDIANS.items() if table == "fact"}
+    return {SALES: F.lit(0.0), **medians}
+
+
+def with_cube(star: Star, ctx: Context, names: list[str]) -> Star:
+    """``star`` with value counts by the other axes and day, if more than one branch would scan the fact for values.
+
+    The counts hold for any time in context: periods, their prior years and windows are joined to the days.
+    """
+    medians = [n for n in names if n in MEDIANS and MEDIANS[n][0] == "fact"]
+    scans = [*{MEDIANS[n][2] for n in medians}, *[n for n in names if n in ("prix_m2_median_n1", *_BRANCHES)]]
+    if len(scans) < 2:
+        return star
+    needed = {SALES, *medians, "prix_m2_median"}
+    specs = {n: (value, 0.5) for n, value in _cube_measures().items() if n in needed}
+    axes = [ALL, *dict.fromkeys([*ctx.other_axes, "zone"])]
+    counts = value_counts(context_rows(star, "fact", ctx.without_time(), need=("zone",)), [*axes, "date_mutation"], specs)
+    ids = F.array(*[F.lit(n) for n in specs])
+    return replace(star, cube=stored(counts.withColumn("measure", F.element_at(ids, F.col("_m") + 1)).drop("_m")))
+
+
+def cube_rows(star: Star, ctx: Context, measures: list[str], months: int = 0) -> DataFrame:
+    """Counts of ``measures``, numbered in their order (_m), in the time of ``ctx``."""
+    cube = star.cube.filter(F.col("measure").isin(measures)).withColumn("date_key", C.date_key("date_mutation"))
+    number = F.array_position(F.array(*[F.lit(m) for m in measures]), F.col("measure")) - 1
+    rows = context_rows(replace(star, cube=cube), "cube", ctx.only_time(), months=months)
+    return rows.withColumn("_m", number.cast("int"))
+
+
+def _sale_days(star: Star, ctx: Context, need: tuple[str, ...] = ()) -> DataFrame:
+    """The days of all sales in context, with the axes."""
+    return context_rows(star, "fact", ctx, need) if star.cube is None else cube_rows(star, ctx, [SALES])
+
+
+def _reliable_counts(star: Star, ctx: Context, keys: list[str], need: tuple[str, ...] = ()) -> DataFrame:
+    """Counts (keys, _m, _v, _n) of reliable prices in context."""
+    if star.cube is not None:
+        return cube_rows(star, ctx, ["prix_m2_median"])
+    rows = context_rows(star, "fact", ctx, need).filter(_reliable())
+    return value_counts(rows, keys, {"prix": (F.col("prix_m2"), 0.5)})
+
+
 def _prior_year(star: Star, ctx: Context, names: list[str]) -> dict[str, DataFrame]:
     """Same period last year: every sale seen twelve months later."""
     out = {}
     if "nb_ventes_n1" in names:
-        rows = context_rows(star, "fact", ctx, months=12)
-        out["n1_count"] = rows.groupBy(ALL, *ctx.by).agg(
-            _counted().alias("nb_ventes_n1"))
+        if star.cube is not None:
+            count = F.sum("_n")
+            rows = cube_rows(star, ctx, [SALES], months=12)
+        else:
+            count = _counted()
+            rows = context_rows(star, "fact", ctx, months=12)
+        out["n1_count"] = rows.groupBy(ALL, *ctx.by).agg(count.alias("nb_ventes_n1"))
     if "prix_m2_median_n1" in names:
         found = _medians(star, ctx, ["prix_m2_median"], months=12)["median_fact_True"]
         out["n1_median"] = found.withColumnRenamed("prix_m2_median", "prix_m2_median_n1")
@@ -225,9 +289,9 @@ def _day(date: Column | str) -> Column:
 def _daily(star: Star, ctx: Context) -> DataFrame:
     """Counts of reliable prices by group of the other axes and day, whatever the time in context."""
     axes = [ALL, *ctx.other_axes]
-    rows = context_rows(star, "fact", ctx.without_time()).filter(_reliable())
-    return value_counts(rows, [*axes, "date_mutation"], {"prix": (F.col("prix_m2"), 0.5)}).select(
+    counts = _reliable_counts(star, ctx.without_time(), [*axes, "date_mutation"]).select(
         F.struct(*axes).alias("_g"), _day("date_mutation").alias("_at"), "_v", "_n")
+    return counts if star.cube is not None else stored(counts)
 
 
 def _rolling(star: Star, ctx: Context) -> DataFrame:
@@ -247,8 +311,7 @@ def _rolling(star: Star, ctx: Context) -> DataFrame:
 def _last_year_change(star: Star, ctx: Context) -> DataFrame:
     """Twelve months up to the last sale in context against the twelve months before."""
     keys, others = [ALL, *ctx.by], [ALL, *ctx.other_axes]
-    ends = context_rows(star, "fact", ctx).groupBy(*keys).agg(
-        F.max("date_mutation").alias("_end"))
+    ends = _sale_days(star, ctx).groupBy(*keys).agg(F.max("date_mutation").alias("_end"))
     middle, start = F.add_months("_end", -12), F.add_months(F.add_months("_end", -12), -12)
     side = lambda name, first, last: F.struct(
         F.lit(name).alias("side"), (_day(first) + 1).alias("_from"), _day(last).alias("_to"))
@@ -263,15 +326,18 @@ def _since_first_year(star: Star, ctx: Context) -> DataFrame:
     """Change since the first year with sales, outside the city; blank without a current value."""
     keys, others = [ALL, *ctx.by], [ALL, *ctx.other_axes]
     outside = F.coalesce(F.col("zone") != K.ZONE_CITY, F.lit(True))
-    everything = context_rows(star, "fact", ctx.without_time(), need=("zone",))
-    first = everything.groupBy(*others).agg(F.year(F.min("date_mutation")).alias("_first"))
-    base = exact_quantiles(
-        join_on(everything.filter(_reliable() & outside), first, others)
-        .filter(F.year("date_mutation") == F.col("_first")),
-        others, {"_base": (F.col("prix_m2"), 0.5)}, bounded=True)
-    current = exact_quantiles(
-        context_rows(star, "fact", ctx, need=("zone",)).filter(_reliable() & outside),
-        keys, {"_cur": (F.col("prix_m2"), 0.5)}, bounded=True)
+    whole = ctx.without_time()
+    first = _sale_days(star, whole, ("zone",)).groupBy(*others).agg(F.year(F.min("date_mutation")).alias("_first"))
+
+    def median(counts: DataFrame, keys: list[str], name: str) -> DataFrame:
+        cells = counts.groupBy(*keys, "_m", "_v").agg(F.sum("_n").alias("_n"))
+        return from_counts(cells, keys, {name: (F.col("prix_m2"), 0.5)}, bounded=True)
+
+    zoned = list(dict.fromkeys([*others, "zone"]))
+    early = _reliable_counts(star, whole, [*zoned, "date_mutation"], ("zone",)).filter(outside)
+    base = median(join_on(early, first, others).filter(F.year("date_mutation") == F.col("_first")), others, "_base")
+    now = _reliable_counts(star, ctx, list(dict.fromkeys([*keys, "zone"])), ("zone",)).filter(outside)
+    current = median(now, keys, "_cur")
     return join_on(current, base, others, "left").select(
         *keys, F.try_divide(F.col("_cur") - F.col("_base"), F.col("_base"))
         .alias("evolution_depuis_1re_annee"))
@@ -317,6 +383,7 @@ def evaluate(star: Star, measures: list[str], ctx: Context = Context(),
         names += _CHANGES.get(m, ())
         names += ["prix_m2_median"] if m == RANK else []
     names = list(dict.fromkeys(names))
+    star = with_cube(star, ctx, names)
     branches = [
         *_plain(star, ctx, names).values(),
         *_medians(star, ctx, names).values(),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +54,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, for what several branches of a query read."""
+    path = f"{shared_folder(df.sparkSession)}/stored/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    delete_at_end(df.sparkSession, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join where NULL keys match each other; the left spelling of the keys is kept."""
     renamed = right.select(

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastria.functions import constants as K
-from cadastria.plans import reports, star
+from cadastria.plans import measures, reports, star
 from cadastria.plans.measures import MEASURES, Context, Star, evaluate, secure, with_totals
 
 FACT = ("transaction_id string, date_mutation date, geo_key string, bien_key string, "
@@ -164,3 +164,16 @@ def test_calendar_days(spark):
     assert star.calendar(lines, F.lit("2021-02-01").cast("date")).count() == 731
     assert star.calendar(lines, F.lit("2021-02-01").cast("date"), "2020-01-01",
                          "2020-01-31").count() == 31
+
+
+def test_measures_of_a_page_share_their_scans(spark, monkeypatch):
+    """All values of a page come from one cube; plain aggregates are a second scan."""
+    from cadastria.catalogue import star_of
+    from cadastria.plans.warehouse import standin_warehouse
+
+    star = star_of(standin_warehouse(spark, "/root/testdata/sf0.001"))
+    scans = []
+    rows = measures.context_rows
+    monkeypatch.setattr(measures, "context_rows", lambda s, table, *a, **k: scans.append(table) or rows(s, table, *a, **k))
+    reports.run_report(star, "r5_communes").collect()
+    assert scans.count("fact") == 2

@@ -11,6 +11,7 @@ from cadastria.operators.grouping import (
     quantile_class,
 )
 from cadastria.operators.quantiles import approx_quantiles, exact_quantiles, value_bucket
+from cadastria.operators import sketches
 from cadastria.operators.rolling import rolling_quantile, windowed_quantile
 
 
@@ -157,3 +158,33 @@ def test_windowed_quantile_of_any_window(spark):
             if len(part):
                 want[(r.g, r.w)] = part.v.quantile(prob)
         assert got == pytest.approx(want)
+
+
+def test_sketches_merge_within_their_bound(spark):
+    """Many small sketches merged over two levels are as good as one over all rows; one group has most."""
+    rng = np.random.default_rng(12)
+    n = 60_000
+    pdf = pd.DataFrame({"g": np.where(rng.random(n) < 0.7, "hot", "cold"), "day": rng.integers(0, 300, n),
+                        "v": np.where(rng.random(n) < 0.2, 7.0, rng.lognormal(3, 2, n))})
+    df = spark.createDataFrame(pdf)
+    daily = sketches.sketched(df.unionByName(df.limit(3).withColumn("v", F.lit(None).cast("double"))), ["g", "day"], F.col("v"))
+    weekly = sketches.merged(daily.withColumn("week", F.floor(F.col("day") / 7)), ["g", "week"])
+    got = sketches.merged(weekly, ["g"]).select(
+        "g", sketches.count("sketch").alias("n"), *[sketches.quantile("sketch", p).alias(f"q{i}") for i, p in enumerate((0.01, 0.5, 0.9))])
+    for r in got.collect():
+        part = pdf[pdf.g == r.g].v
+        assert r.n == len(part)
+        for value, p in ((r.q0, 0.01), (r.q1, 0.5), (r.q2, 0.9)):
+            assert value in part.values
+            assert (part < value).mean() - 0.01 <= p <= (part <= value).mean() + 0.01
+
+
+def test_sketches_of_nothing(spark):
+    empty = spark.createDataFrame([], "g string, v double")
+    assert sketches.merged(sketches.sketched(empty, ["g"], F.col("v")), ["g"]).count() == 0
+
+
+def test_rank_error(spark):
+    row = spark.range(1).select(*[sketches.rank_error(F.lit(0), F.lit(a), F.lit(b), F.lit(10), 0.5).alias(f"e{i}")
+                                  for i, (a, b) in enumerate([(4, 6), (6, 7), (2, 4)])]).head()
+    assert (row.e0, row.e1, row.e2) == (0.0, pytest.approx(0.1), pytest.approx(0.1))
