@@ -11,14 +11,16 @@ it does. Nodes seen on few pages count as important.
 
 What the page marks as its main content is judged too, with a prior that raises its importance. Since
 paragraphs there share a path, each is also judged by what it says: its importance is the self-information
-of that text among the pages that have such a node, with their number as the base. A label (heading,
-table cell, term) goes only if what it labels goes. A page whose whole main content would go keeps it.
+of that text among the pages that have such a node, with their number as the base. What is repeated between
+parts of the article's own is the article's, a list item or a cell as much as a paragraph: only a run of template at the very
+beginning or end of the main content goes, and only if it says ``LEAST_WORDS`` words or has a heading of its own that is template too. A
+label (heading, table cell, term) goes only if what it labels goes. A page whose whole main content would go keeps it.
 Copies of a page on one host would make it look like template, so each distinct page of a host counts
 once, and inside main content each distinct main content.
 
 Distinct pages are told by digest, one row of digests a page. The tree is merged as counts per (host,
 path, layout, content), which combine before the shuffle, so a host with a third of all pages is no single
-task's work; pages meet their host's template on a salted key.
+task's work. Pages meet their host's template in parts of about ``PART_PAGES``, and the template is sent once a part, ahead of its pages.
 
 Null html is empty and gives an empty text. A page without a host in its url belongs to the host ''.
 Repeated rows give repeated rows. Columns other than page_id, url and html are left out.
@@ -47,7 +49,11 @@ LEAST_PAGES = 5
 CONTENT_WEIGHT = 0.7
 #: Importance of marked main content before anything is known of it.
 MAIN_PRIOR = 0.1
-SALTS = 32
+#: A template run at an edge of main content, without a heading, says so many words at least.
+LEAST_WORDS = 8
+LONGEST_PATH = 400
+#: Pages of a host that share one copy of its template.
+PART_PAGES = 1000
 
 TOKEN = re.compile(
     r"<(?:(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -121,6 +127,12 @@ class Node:
         return re.findall(r"\w+", " ".join(blocks(first)).lower()) if isinstance(first, Node) and first.tag in HEADINGS else []
 
 
+def path_to(path: str, child: Node) -> str:
+    """The path of a child; a long one is named by its digest, so that deep pages have short paths too."""
+    below = f"{path}/{child.label()}"
+    return below if len(below) <= LONGEST_PATH else f"#{digest(below)}"
+
+
 def parse(source: str) -> Node:
     """The element tree of a page, with open elements ended as browsers end them."""
     root = Node("root")
@@ -212,7 +224,7 @@ def without(node: Node, template: frozenset[str] = frozenset()) -> None:
                 continue
             left.append(child)
             if child.children:
-                below, main = f"{path}/{child.label()}", in_main or child.is_main()
+                below, main = path_to(path, child), in_main or child.is_main()
                 todo.append((child, below, main))
                 if (in_main or not main) and (below in template or below in by_text):
                     judged.append((x, child, below, in_main))
@@ -220,16 +232,45 @@ def without(node: Node, template: frozenset[str] = frozenset()) -> None:
     gone: set[int] = set()
     behind = {id(child): then for x in {id(x): x for x, *_ in judged}.values()
               for elements in [[c for c in x.children if not isinstance(c, str)]] for child, then in zip(elements, elements[1:])}
+    low = {id(child) for _, child, path, _ in judged if path in template or f"{path} {said(own_text(child))}" in template}
+    at_edge = edges(node, low)
     # children come after their parents, and the ones behind after the ones before
     for parent, child, path, in_main in reversed(judged):
-        if not all(isinstance(c, str) or c.tag in INLINE or c.tag in VOID for c in child.children):
+        if id(child) not in low or in_main and id(child) not in at_edge:
             continue
-        if path not in template and f"{path} {said(own_text(child))}" not in template:
+        if not all(isinstance(c, str) or c.tag in INLINE or c.tag in VOID or id(c) in gone for c in child.children):
             continue
         if in_main and child.tag in LABEL_TAGS and id(child) in behind and id(behind[id(child)]) not in gone:
             continue
         gone.add(id(child))
-        parent.children = [" " if c is child else c for c in parent.children]
+    for x in {id(x): x for x, *_ in judged}.values():
+        x.children = [" " if id(c) in gone else c for c in x.children]
+
+
+def edges(node: Node, low: set[int]) -> set[int]:
+    """The nodes of ``low`` that main content begins or ends with, as far as such a run is worth the name."""
+    out: set[int] = set()
+    for main in mains(node) if low else []:
+        # what says something, in page order
+        items, todo = [], list(reversed(main.children))
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str) or x.tag in INLINE:
+                if isinstance(x, str) and x.strip() or not isinstance(x, str) and own_text(x):
+                    items.append((None, 0))
+                continue
+            words = own_text(x)
+            if words:
+                items.append((x if id(x) in low else None, len(words)))
+            todo += [c for c in reversed(x.children) if not isinstance(c, str) and c.tag not in INLINE]
+        first = next((i for i, (x, _) in enumerate(items) if x is None), len(items))
+        last = next((i for i in range(len(items), 0, -1) if items[i - 1][0] is None), 0)
+        for run, is_last in ((items[:first], False), (items[last:], True)):
+            if sum(n for _, n in run) < LEAST_WORDS:
+                headed = next((i for i, (x, _) in enumerate(run) if is_last and x.tag in HEADINGS), len(run))
+                run = run[headed:]
+            out |= {id(x) for x, _ in run}
+    return out
 
 
 def mains(node: Node) -> list[Node]:
@@ -296,7 +337,7 @@ def styles(source: str) -> list[tuple[bool, tuple[int, list[tuple[str, int, int]
         for child in x.children:
             if isinstance(child, str) or child.tag in INLINE or child.tag in VOID:
                 continue
-            below, main = f"{path}/{child.label()}", in_main or child.is_main()
+            below, main = path_to(path, child), in_main or child.is_main()
             layout, content, texts = parts[main].setdefault(below, ([], [], set()))
             layout += [c.label() for c in child.children if not isinstance(c, str)]
             own = own_text(child)
@@ -371,16 +412,32 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url and ``text``, the main text of every page."""
-    template = (templates(pages).groupBy("host").agg(F.collect_list("path").alias("template"))
-                .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    salted = rows_of(pages).withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int"))
-    met = salted.join(template, ["host", "salt"], "left").select("page_id", "url", "html", "template")
+    rows = rows_of(pages)
+    # large hosts only: at most one for every PART_PAGES pages
+    large = rows.groupBy("host").count().filter(F.col("count") > PART_PAGES).select(
+        "host", F.ceil(F.col("count") / PART_PAGES).cast("int").alias("parts"))
+    parts = F.coalesce("parts", F.lit(1))
+    template = (templates(pages).groupBy("host").agg(F.collect_list("path").alias("template")).join(large, "host", "left")
+                .select("host", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "template"))
+    placed = rows.join(large, "host", "left").select(
+        "host", F.pmod(F.xxhash64("page_id", "html"), parts).cast("int").alias("part"), "page_id", "url", "html")
+    met = (placed.unionByName(template, allowMissingColumns=True).repartition("host", "part")
+           .sortWithinPartitions("host", "part", F.col("template").isNull()))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, known = None, frozenset()
         for batch in slices(batches, "html"):
-            texts = [main_text(source, frozenset(template or ())) for source, template in
-                     zip(batch.column("html").to_pylist(), batch.column("template").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
-                                             ["page_id", "url", "text"])
+            page, texts = [], []
+            of_batch = (batch.column(c).to_pylist() for c in ("host", "part", "html", "template"))
+            for i, (host, part, source, template) in enumerate(zip(*of_batch)):
+                if key != (host, part):
+                    key, known = (host, part), frozenset()
+                if template is not None:
+                    known = frozenset(template)
+                else:
+                    page.append(i)
+                    texts.append(main_text(source, known))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(page, pa.int64())) for c in ("page_id", "url")),
+                                              pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     return met.mapInArrow(extract, "page_id long, url string, text string")

@@ -204,7 +204,20 @@ select c.conv_id, c.d::bigint as depth, p.conv_id as parent_conv_id, c.n_convs,
 from counted c join below b on b.key = c.key and b.d = c.d
 left join nodes p on p.d = c.d - 1 and p.key = substr(c.key, 1, 32 * (c.d - 1))"""
 
+#: The given pages mark one article each, whose markup is plain, and no part of theirs is the site's.
+ARTICLES = r"""
+with articles as (
+  select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) as h from pages),
+bare as (
+  select page_id, url, regexp_replace(regexp_replace(regexp_replace(h, '(?s)<!--.*?-->', '', 'g'), '</?b>', '', 'g'),
+    '<[^>]*>', ' ', 'g') as t from articles),
+decoded as (
+  select page_id, url, trim(regexp_replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'),
+    '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '[\x20\x09-\x0D]+', ' ', 'g')) as text from bare)
+select page_id, url, text, length(text)::bigint as n_chars from decoded"""
+
 ORACLE: dict[str, str] = {
+    "op6_sitetree": ARTICLES,
     "op7_chat": CHAT,
     "op8_suffixes": REPEATS,
     "op9_rules": f"with {rules_ctes()} select doc_id, {', '.join(rules.COUNTS)}, base_failed, kept from judged",

@@ -1,3 +1,8 @@
+import os
+from html.parser import HTMLParser
+
+import pytest
+
 from cadastria.llm import sitetree
 
 SCHEMA = "page_id long, url string, html string, text string, template string, salt int"
@@ -79,3 +84,82 @@ def test_names_inside_main_content():
     assert sitetree.main_text(f"<article>{body}</article>") == "a b c d Notice e"
     assert sitetree.main_text('<article>a<article class="comment">no</article></article><article class="comment-body">no</article>'
                               '<article class="comments-open">b</article><article class="post">c</article>') == "a b c"
+
+
+def test_repeated_short_parts_of_articles_stay(spark):
+    """What all pages of a host say between parts of their own, or in few words at the end, is the article's."""
+    def marked(i: int) -> str:
+        return (f"<article><h1>Title {i}</h1><p>Source: Agency.</p><ul><li>Yes</li><li>own {i}</li><li>No</li></ul><p>Text {i * 3} of it.</p>"
+                f"<table><tr><td>Yes</td><td>No</td></tr></table><p>Paragraph {i}.</p><p>Source: Agency.</p><ul><li>Yes</li></ul></article>")
+
+    rows = [(i, "http://h.example/", marked(i)) for i in range(12)]
+    # a long notice at either end goes, the same in the middle does not
+    notice = "This article first appeared in the paper of the town and is shown by its leave."
+    rows += [(100 + i, "http://n.example/", f"<article><p>{notice}</p><h1>T{i}</h1><p>a{i}</p><div><p>{notice} 2</p></div><p>b{i}</p><p>{notice}</p></article>")
+             for i in range(12)]
+    got = {r.page_id: r.text for r in sitetree.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[5] == "Title 5 Source: Agency. Yes own 5 No Text 15 of it. Yes No Paragraph 5. Source: Agency. Yes"
+    assert got[107] == f"T7 a7 {notice} 2 b7"
+
+
+def test_large_hosts_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sitetree, "PART_PAGES", 7)
+    rows = [(i, "http://h.example/x", page(i, f"text {i * 7}")) for i in range(60)]
+    rows += [(100 + i, f"http://h{i}.example/", page(i, "alone")) for i in range(5)]
+    got = {r.page_id: r.text for r in sitetree.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: f"text {i * 7} {i}" for i in range(60)}, **{100 + i: f"Same on all pages alone {i} Site map" for i in range(5)}}
+
+
+def test_long_and_deep_pages():
+    wide = "<article>" + "<p>a</p><aside>no</aside>" * 60_000 + "</article>"
+    assert sitetree.main_text(wide) == " ".join(["a"] * 60_000)
+    template = frozenset([f"/article/p {sitetree.said(['a'])}"])
+    assert sitetree.main_text(wide + "<article><h1>own</h1>" + "<p>a</p>" * 60_000 + "</article>", template) == "own"
+    deep = "<div>" * 30_000 + "<p>deep</p>" + "</div>" * 30_000
+    assert sitetree.main_text(f"<article>{deep}</article>") == "deep"
+    assert sitetree.main_text(deep, frozenset(["/div"])) == "deep"
+    (main, (_, nodes)), = sitetree.styles(deep)
+    assert not main and max(len(path) for path, _, _ in nodes) <= sitetree.LONGEST_PATH and len({path for path, _, _ in nodes}) == 30_001
+
+
+class Plain(HTMLParser):
+    """Text of the article by the standard library's parser."""
+
+    BLOCKS = {"article", "p", "h1", "ul", "li", "div"}
+
+    def __init__(self):
+        super().__init__()
+        self.inside, self.hidden, self.blocks = 0, 0, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.hidden += tag in ("script", "style")
+        if tag in self.BLOCKS:
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        self.hidden -= tag in ("script", "style")
+        if tag in self.BLOCKS:
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside and not self.hidden:
+            self.blocks[-1] += data
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_pages_equal_another_parser(spark, sf):
+    path = f"/root/testdata/{sf}/pages.parquet"
+    if not os.path.exists(path):
+        pytest.skip("no test data")
+    pages = spark.read.parquet(path)
+    want = {}
+    for r in pages.collect():
+        plain = Plain()
+        plain.feed(r.html)
+        plain.close()
+        want[r.page_id] = " ".join(t for t in (" ".join(b.split()) for b in plain.blocks) if t)
+    assert {r.page_id: r.text for r in sitetree.extracted(pages).collect()} == want
