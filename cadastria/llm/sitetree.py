@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastria.llm.common import slices
+from cadastria.llm.common import slices, written
 
 #: What a node is counted by.
 LAYOUT, CONTENT, TEXT = range(3)
@@ -53,7 +53,7 @@ MAIN_PRIOR = 0.1
 LEAST_WORDS = 8
 LONGEST_PATH = 400
 #: Pages of a host that share one copy of its template.
-PART_PAGES = 1000
+PART_PAGES = 250
 
 TOKEN = re.compile(
     r"<(?:(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -413,9 +413,9 @@ def templates(pages: DataFrame) -> DataFrame:
 def extracted(pages: DataFrame) -> DataFrame:
     """page_id, url and ``text``, the main text of every page."""
     rows = rows_of(pages)
-    # large hosts only: at most one for every PART_PAGES pages
-    large = rows.groupBy("host").count().filter(F.col("count") > PART_PAGES).select(
-        "host", F.ceil(F.col("count") / PART_PAGES).cast("int").alias("parts"))
+    # large hosts only, at most one for every PART_PAGES pages; a table, whose size Spark knows before it joins
+    large = written(rows.groupBy("host").count().filter(F.col("count") > PART_PAGES).select(
+        "host", F.ceil(F.col("count") / PART_PAGES).cast("int").alias("parts")), "hosts")
     parts = F.coalesce("parts", F.lit(1))
     template = (templates(pages).groupBy("host").agg(F.collect_list("path").alias("template")).join(large, "host", "left")
                 .select("host", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "template"))
