@@ -5,12 +5,13 @@ Candidates are the matches of one pattern per kind. Five labelers vote on each (
 shape. Expectation-maximisation over the counts of vote patterns estimates each labeler's
 reliabilities and gives every pattern a probability; a logistic span classifier is trained on those.
 Candidates of the four base kinds are spans if they pass their check, and no others of these kinds
-are; those that fail serve as negative examples. Of kinds without a check to rely on (credentials),
-the classifier decides.
+are; those that fail serve as negative examples. Of the other kinds (long credentials, assigned passwords, account
+numbers, phone numbers without a country) no check alone tells, and the classifier decides. Names of people are not looked for.
 
-The text is scanned in one projection without user functions or shuffles. Patterns are counted by a
-grouped aggregation; at most ``kinds * 3 ** labelers`` rows of counts reach the driver, which fits both
-models, and the classifier goes back as a column expression.
+The text is scanned once, in one projection without user functions. What it found is a table of the distinct texts that have
+candidates, by 128 bits of their digest. Patterns are counted by a grouped aggregation over it; at most ``kinds * 3 ** labelers`` rows of
+counts reach the driver, which fits both models, and the classifier goes back as a column expression. Documents meet their spans by
+digest in one join, which Spark broadcasts if the table is small.
 
 Null and empty texts have no spans. Offsets are in code points, the end exclusive. Repeated rows are
 treated one by one; in an empty table nothing is learned. Other columns pass through unless they carry
@@ -26,9 +27,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadastria.llm.common import let
+from cadastria.llm.common import let, written
 
-KINDS = ["email", "ip", "card", "phone", "secret"]
+KINDS = ["email", "ip", "card", "phone", "secret", "password", "account", "local_phone"]
 BASE_KINDS = KINDS[:4]
 LABELERS = ["check", "gazetteer", "cue", "edges", "shape"]
 #: Characters before a candidate in which cue words count.
@@ -36,13 +37,16 @@ CONTEXT = 24
 THRESHOLD = 0.5
 
 #: The base patterns, with possessive repeats and starts at the edge of a run, so that a search is
-#: linear; they match what the plain patterns match. The last has no base pattern.
+#: linear; they match what the plain patterns match. The last four have no base pattern.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}+(?![A-Za-z0-9+/_-])",
+    "password": r"(?<=[:=][\"'\x20]{0,2})(?<=(?i:passw(?:or[dt]|d)|passphrase|pwd)[\"']?\x20{0,2}[:=]\x20{0,2}[\"']?)[^\s\"'<>]{6,64}+",
+    "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
+    "local_phone": r"(?<![A-Za-z0-9+.,:/(\x2D])(?<![0-9]\x20)\(?0[1-9][0-9]{0,3}\)?(?:[\x20/.-][0-9]{2,9}){1,4}+(?![A-Za-z0-9])",
 }
 #: Words and prefixes that the labelers know.
 GAZETTEER = {
@@ -51,6 +55,9 @@ GAZETTEER = {
     "card": r"^(4|5[1-5]|2[2-7]|3[47]|6(011|5))",
     "phone": r"^\+(1|7|20|27|3[0-9]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-5])",
     "secret": r"^(AKIA|ASIA|sk-|ghp_|xox[abp]-|AIza)",
+    "password": r"(?i)^(?!(changeme|example|password|required|optional|string|hidden|secret|redacted|unknown|default|your|none|null|true|false|[x*.]+$))",
+    "account": r"^(AD|AE|AL|AT|BA|BE|BG|CH|CY|CZ|DE|DK|EE|ES|FI|FR|GB|GE|GI|GR|HR|HU|IE|IL|IS|IT|LI|LT|LU|LV|MC|MD|ME|MK|MT|NL|NO|PL|PT|RO|RS|SE|SI|SK|SM|TR|UA|XK)",
+    "local_phone": r"^\(?0(1[0-9]{1,2}|20|30|40|69|89|[1-9][0-9]{0,3})\)?[^0-9]",
 }
 CUES = {
     "email": r"(?i)(mail|contact|write|address)\W*$",
@@ -58,14 +65,26 @@ CUES = {
     "card": r"(?i)(card|visa|mastercard|amex|credit)\W*$",
     "phone": r"(?i)(tel|phone|call|mobile|fax)\W*$",
     "secret": r"(?i)(token|secret|key|passw(or)?d|bearer)\W*$",
+    "password": r"(?i)(passw(or[dt]|d)|passphrase|pwd)\W*$",
+    "account": r"(?i)(iban|account|konto|bank|compte|cuenta)\W*$",
+    "local_phone": r"(?i)(tel|phone|call|mobile|fax|telefon|téléphone|teléfono|anruf)\W*$",
 }
 SHAPES = {
     "email": r"^[A-Za-z0-9].*@[^@]*[A-Za-z]$",
     "ip": r"^(0|[1-9][0-9]*)(\.(0|[1-9][0-9]*)){3}$",
     "card": r"^([0-9]+|[0-9]{4}([ -][0-9]{4})+)$",
     "phone": r"^\+[0-9]{1,3}([ .-]?\(?[0-9]+\)?)+$",
-    "secret": r"^(?=.*[0-9])(?=.*[A-Za-z])",
+    # digits and letters, but no words joined by signs as in paths and titles
+    "secret": r"^(?=.*[0-9])(?=.*[A-Za-z])(?!(?:[A-Za-z0-9]*[/_-])*?[a-z]{2,}[/_-][a-z]{2,}(?:[/_-]|$))",
+    "password": r"^(?=.*[A-Za-z])(?=.*[^A-Za-z])",
+    "account": r"^([A-Z0-9]+|[A-Z0-9]{4}(\x20[A-Z0-9]{4})+(\x20[A-Z0-9]{1,3})?)$",
+    "local_phone": r"^(\(0[0-9]+\)|0[0-9]+)(\x20[0-9]+|/[0-9]+|-[0-9]+|\.[0-9]+)+$",
 }
+#: Kinds of which the gazetteer knows what they can't be; of kinds whose cue is part of the rule its absence counts too.
+CLOSED = {"card", "phone", "email", "password", "account", "local_phone"}
+CUED = {"local_phone"}
+#: Kinds whose check digits or length say for certain what can't be one.
+CERTAIN = ["account", "local_phone"]
 
 
 def running(values: Column, block: int = 256) -> Column:
@@ -97,6 +116,17 @@ def luhn(digits: Column) -> Column:
     return total % 10 == 0
 
 
+def ninety_seven(value: Column) -> Column:
+    """Whether an account number, read from its fifth character on with letters as numbers, leaves 1 when divided by 97."""
+    turned = F.concat(F.substring(value, 5, 40), F.substring(value, 1, 4))
+
+    def add(rest: Column, i: Column) -> Column:
+        code = F.ascii(F.substring(turned, i, F.lit(1)))
+        return F.when(code < 58, (rest * 10 + code - 48) % 97).otherwise((rest * 100 + code - 55) % 97)
+
+    return F.aggregate(F.sequence(F.lit(1), F.char_length(turned)), F.lit(0), add) == 1
+
+
 def check(kind: str, value: Column) -> Column:
     """The validity check of a kind."""
     digits = F.regexp_replace(value, "[^0-9]", "")
@@ -111,6 +141,13 @@ def check(kind: str, value: Column) -> Column:
         return n.between(9, 15)
     if kind == "secret":
         return value.rlike(r"^([0-9a-f]{32,}|[0-9A-F]{32,}|(?=.*[0-9])(?=.*[a-z])(?=.*[A-Z]).*)$") & value.rlike("[A-Za-z]")
+    if kind == "password":
+        return value.rlike(r"^(?=.*[0-9])(?=.*[^0-9])")
+    if kind == "account":
+        bare = F.regexp_replace(value, " ", "")
+        return F.when(F.char_length(bare).between(15, 34), ninety_seven(bare)).otherwise(False)
+    if kind == "local_phone":
+        return n.between(9, 12)
     return F.lit(True)
 
 
@@ -127,11 +164,12 @@ def candidates(text: Column, kind: str) -> Column:
             clean = ~before.rlike(r"[\p{L}\p{N}_]$") & ~after.rlike(r"^[\p{L}\p{N}_]")
             shaped = value.rlike(SHAPES[kind])
             known = value.rlike(GAZETTEER[kind])
+            cued = before.rlike(CUES[kind])
             return F.struct(
                 (F.get(ends, i) - F.char_length(value)).alias("start"), F.lit(number).alias("kind"), F.get(ends, i).alias("end"),
                 valid.alias("check"),
-                F.array(vote(valid, ~valid), vote(known, ~known) if kind in ("card", "phone", "email") else vote(known),
-                        vote(before.rlike(CUES[kind])), vote(clean, ~clean), vote(shaped, ~shaped)).alias("votes"))
+                F.array(vote(valid, ~valid), vote(known, ~known) if kind in CLOSED else vote(known),
+                        vote(cued, ~cued) if kind in CUED else vote(cued), vote(clean, ~clean), vote(shaped, ~shaped)).alias("votes"))
 
         return F.transform(values, one)
 
@@ -162,7 +200,8 @@ class Patterns:
 
 
 def patterns(found: DataFrame) -> Patterns:
-    rows = (found.select(F.explode("candidates").alias("c")).groupBy("c.kind", "c.votes").agg(F.count("*").alias("n"))
+    """``found`` has ``candidates`` and how many rows have them (copies)."""
+    rows = (found.select("copies", F.explode("candidates").alias("c")).groupBy("c.kind", "c.votes").agg(F.sum("copies").alias("n"))
             .orderBy("kind", "votes").collect())
     return Patterns(np.array([r["kind"] for r in rows], int), np.array([r["votes"] for r in rows], int).reshape(-1, len(LABELERS)),
                     np.array([r["n"] for r in rows], float))
@@ -228,17 +267,27 @@ def score(c: Column, weights: np.ndarray) -> Column:
 
 def with_spans(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``candidates`` and their spans: ``base``, and ``all``, which has the classifier's too."""
-    found = with_candidates(docs, text)
+    digest = F.substring(F.sha2(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"), 256), 1, 32)
+    # equal texts have equal candidates
+    scanned = with_candidates(docs.select(F.col(text).alias("text")), "text").filter(F.size("candidates") > 0)
+    found = written(scanned.groupBy(F.substring(F.sha2(F.encode("text", "UTF-8"), 256), 1, 32).alias("__digest"))
+                    .agg(F.first("candidates").alias("candidates"), F.count("*").alias("copies")), "candidates")
     seen = patterns(found)
     truth, _ = reliabilities(seen)
     weights = span_classifier(seen, truth)
     is_base = lambda c: (c["kind"] < len(BASE_KINDS)) & c["check"]
-    is_new = lambda c: (c["kind"] >= len(BASE_KINDS)) & (score(c, weights) >= threshold)
+    certain = [KINDS.index(k) for k in CERTAIN]
+    is_new = lambda c: ((c["kind"] >= len(BASE_KINDS)) & (c["check"] | ~c["kind"].isin(certain))
+                        & (score(c, weights) >= threshold))
     bare = lambda xs: F.transform(xs, lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
-    return found.withColumns({
-        "base": bare(F.filter("candidates", is_base)),
-        "all": bare(F.filter("candidates", lambda c: is_base(c) | is_new(c))),
-    })
+    chosen = found.select(F.col("__digest"), F.col("candidates").alias("__found"),
+                          bare(F.filter("candidates", is_base)).alias("__base"),
+                          bare(F.filter("candidates", lambda c: is_base(c) | is_new(c))).alias("__all"))
+    none = lambda c: F.coalesce(c, F.array().cast(chosen.schema[c].dataType))
+    marked = docs.withColumn("__own", digest)
+    return marked.join(chosen, F.col("__own") == F.col("__digest"), "left").withColumns(
+        {"candidates": none("__found"), "base": none("__base"), "all": none("__all")}).drop(
+        "__own", "__digest", "__found", "__base", "__all")
 
 
 def as_text(spans: Column) -> Column:

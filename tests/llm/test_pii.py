@@ -90,3 +90,58 @@ def test_overlapping_spans_are_hidden_once(spark):
 def test_native(edges):
     plan = pii.with_candidates(edges)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+PROBES = {
+    'the password = "hu$ter2!" is old': ("password", "hu$ter2!"),
+    "password: hunter2abc and more": ("password", "hunter2abc"),
+    "IBAN DE89 3704 0044 0532 0130 00 please": ("account", "DE89 3704 0044 0532 0130 00"),
+    "pay to GB82WEST12345698765432 today": ("account", "GB82WEST12345698765432"),
+    "call 030 1234567 after noon": ("local_phone", "030 1234567"),
+    "Tel: 0711/4567890.": ("local_phone", "0711/4567890"),
+    "see org/path/to/some-very-long-article-title-2024 there": None,
+    "DE89 3704 0044 0532 0130 01 is no account": None,
+    "password = changeme": None,
+    "the password: required": None,
+    "between 05-12-2024 and 06-12-2024": None,
+    "item 0042 12345 of 99": None,
+}
+
+
+def test_kinds_that_only_votes_settle(spark):
+    """Each probe among plain texts, as one of many and as the only one."""
+    texts = list(PROBES)
+    rows = [(i, t) for i, t in enumerate(texts * 3)] + [(1000 + i, "stones under water 12 345 on 2024-05-01") for i in range(50)]
+    found = {r["text"]: r["all"] for r in spans_of(spark.createDataFrame(rows, "doc_id long, text string"))}
+    for text, want in PROBES.items():
+        at = text.index(want[1]) if want else 0
+        assert found[text] == (f"{want[0]}:{at}:{at + len(want[1])}" if want else ""), text
+    assert found["stones under water 12 345 on 2024-05-01"] == ""
+
+
+def test_account_numbers_check(spark):
+    rows = [("DE89370400440532013000", True), ("GB82WEST12345698765432", True), ("FR1420041010050500013M02606", True),
+            ("DE89370400440532013001", False), ("NL91ABNA0417164300", True), ("NL19ABNA0417164300", False)]
+    got = spark.createDataFrame(rows, "v string, ok boolean").select("ok", pii.ninety_seven(F.col("v")).alias("got")).collect()
+    assert all(r.ok == r.got for r in got)
+
+
+def test_rows_and_repeats_keep_their_columns(spark, clashing):
+    df = spark.createDataFrame([(1, "write to a@b.cd"), (1, "write to a@b.cd"), (None, None), (2, "")], "doc_id long, text string")
+    got = pii.with_spans(df)
+    assert got.columns == ["doc_id", "text", "candidates", "base", "all"] and got.count() == 4
+    assert sorted(len(r.base) for r in got.collect()) == [0, 0, 1, 1]
+    assert pii.with_spans(clashing).columns == [*clashing.columns] and pii.with_spans(clashing).count() == clashing.count()
+
+
+def test_clean_documents_are_left_alone(spark):
+    """Of the given documents without a base span, nearly all have no other one."""
+    import os
+    path = "/root/testdata/sf0.1/documents.parquet"
+    if not os.path.exists(path):
+        return
+    rows = spans_of(spark.read.parquet(path).select("doc_id", "text"))
+    kinds = [{s.split(":")[0] for s in r["all"].split(",") if s} for r in rows]
+    assert sum(bool(k & {"password", "account", "local_phone"}) for k in kinds) <= 0.001 * len(rows)
+    hexes = [r for r in rows if "secret" in r["all"]]
+    assert all('token = "' in r["text"] for r in hexes)
