@@ -237,16 +237,29 @@ def latest_csv_resource(resources: DataFrame, by: list[str] | None = None) -> Da
         F.max_by("url", F.coalesce("last_modified", F.lit(""))).alias("url"))
 
 
-ENERGY_JSON = "aggs array<struct<value:string, aggs:array<struct<value:string, total:bigint>>>>"
+def entries(df: DataFrame, document: str, path: str) -> DataFrame:
+    """The columns of ``df`` and ``entry``, one row per element of the list (or object) at ``path`` of a variant.
+
+    ``name`` is the element's own "value", else its key in an object. Where there is nothing at ``path`` there is no row.
+    """
+    inner = F.try_variant_get(F.col(document).outer(), path, "variant")
+    found = df.lateralJoin(df.sparkSession.tvf.variant_explode(inner))
+    name = F.coalesce(F.try_variant_get("value", "$.value", "string"), F.col("key"))
+    return found.select(*df.columns, name.alias("name"), F.col("value").alias("entry"))
 
 
 def flatten_energy(documents: DataFrame, column: str = "value") -> DataFrame:
-    """Two-level aggregation documents to (commune, label, count); no inner list, no row."""
-    doc = F.from_json(F.col(column), ENERGY_JSON)
-    communes = documents.select(F.explode(doc["aggs"]).alias("c"))
-    return communes.select(F.col("c.value").alias("code_commune"),
-                           F.explode("c.aggs").alias("e")).select(
-        "code_commune", F.col("e.value").alias("etiquette_dpe"), F.col("e.total").alias("nb_dpe"))
+    """Two-level aggregation documents to (commune, label, count); no inner list, no row.
+
+    Documents are read as variants, so one of another shape is no loss: numbers may be texts, lists may be objects
+    by name, and what else a document holds doesn't matter. What isn't JSON gives no rows.
+    """
+    doc = documents.select(F.try_parse_json(column).alias("doc"))
+    communes = entries(doc, "doc", "$.aggs").select(F.col("name").alias("code_commune"), F.col("entry").alias("commune"))
+    labels = entries(communes, "commune", "$.aggs")
+    # an object by label may hold the bare count
+    total = F.coalesce(F.try_variant_get("entry", "$.total", "bigint"), F.try_variant_get("entry", "$", "bigint"))
+    return labels.select("code_commune", F.col("name").alias("etiquette_dpe"), total.alias("nb_dpe"))
 
 
 def read_energy(spark: SparkSession, paths: str | list[str]) -> DataFrame:

@@ -109,6 +109,18 @@ def test_energy_documents(spark, tmp_path):
         ).collect()
 
 
+def test_energy_documents_of_another_shape(spark):
+    documents = [
+        {"aggs": [{"value": 75101, "aggs": [{"value": "A", "total": "3"}, {"value": "B", "total": 4.0, "more": [1]}]}], "took": 5},
+        {"aggs": {"75102": {"aggs": {"C": {"total": 7}, "D": 9}}, "75103": {"note": "none"}}},
+        {"aggs": "soon"}, {"error": {"code": 503}}, [1, 2], None]
+    rows = [(json.dumps(d),) for d in documents] + [("<html>not JSON",), (None,)]
+    got = landing.flatten_energy(spark.createDataFrame(rows, "value string"))
+    assert got.dtypes == [("code_commune", "string"), ("etiquette_dpe", "string"), ("nb_dpe", "bigint")]
+    assert sorted(map(tuple, got.collect())) == [
+        ("75101", "A", 3), ("75101", "B", 4), ("75102", "C", 7), ("75102", "D", 9)]
+
+
 def test_latest_resource(spark):
     rows = [("csv", "u1", "2020"), ("CSV", "u2", "2021"), ("xlsx", "u3", "2023"), ("csv", "u4", None)]
     got = landing.latest_csv_resource(
