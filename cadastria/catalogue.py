@@ -591,6 +591,64 @@ def json_flatten(spark: SparkSession, sf: str) -> DataFrame:
     return landing.flatten_energy(outer)
 
 
+@source_query("json_files")
+def json_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The same counts as documents of many users each, one document a file, landed from their folder."""
+    folder = f"{_scratch(spark, 'json')}/files"
+    counts = standin.table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("total"))
+    inner = F.collect_list(F.struct(F.col("event_type").alias("value"), "total"))
+    users = counts.groupBy("user_id").agg(inner.alias("aggs"))
+    part = F.pmod(F.col("user_id"), F.lit(40)).alias("part")
+    documents = users.groupBy(part).agg(F.to_json(F.struct(F.collect_list(F.struct(
+        F.col("user_id").cast("string").alias("value"), "aggs")).alias("aggs"))).alias("value"))
+    documents.write.partitionBy("part").text(folder)
+    return landing.read_energy(spark, folder)
+
+
+@query("semicolon_csv")
+def semicolon_csv(w: Warehouse) -> DataFrame:
+    """Station lines as a published file, with semicolons and a point as text, and landed from it."""
+    folder = f"{_scratch(w.store.spark, 'stations')}/file"
+    point = F.concat(F.coalesce("latitude", F.lit("")), F.lit(", "), F.coalesce("longitude", F.lit("")))
+    published = w.inputs.stations().select("nom_gares", "mode", "res_com", point.alias("geo_point_2d"), F.lit("x").alias("autre"))
+    published.write.option("header", True).option("sep", ";").option("ignoreTrailingWhiteSpace", False).csv(folder)
+    return landing.read_stations(w.store.spark, folder)
+
+
+@source_query("income_of_departments")
+def income_of_departments(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers laid out like the published income file, found by keywords, two departments of them."""
+    folder = f"{_scratch(spark, 'income')}/file"
+    customers = standin.table(spark, sf, "customer")
+    text = lambda c: F.col(c).cast("string")
+    customers.select(
+        F.lpad(text("c_custkey"), 5, "0").alias("Code géographique"), F.col("c_name").alias("Libellé géographique"),
+        text("c_nationkey").alias("[DISP] Nbre de ménages fiscaux"), text("c_custkey").alias("[DISP] Médiane (€)"),
+        text("c_nationkey").alias("[DISP] 1er décile (€)"), text("c_custkey").alias("[DISP] 9e décile (€)"),
+        F.col("c_mktsegment").alias("[DISP] Part des pensions (%)"),
+    ).write.option("header", True).option("sep", ";").csv(folder)
+    return landing.read_income(spark, folder, ["00", "01"], "https://example.org/filo-2021.csv")
+
+
+@query("landing_provenance")
+def landing_provenance(w: Warehouse) -> DataFrame:
+    """Lines of one department landed from compressed files: all name their file and the time of loading."""
+    folder = f"{_scratch(w.store.spark, 'provenance')}/files"
+    w.raw_lines().filter("code_departement = '4'").write.option("header", True).option("compression", "gzip").csv(folder)
+    return landing.land_sales(w.store.spark, folder).agg(
+        F.count("*").alias("lignes"), F.count_if(F.col("_source_file").rlike(r"^part-.*\.csv\.gz$")).alias("fichier_nomme"),
+        F.count_if(F.col("_loaded_at").try_cast("timestamp").isNotNull()).alias("date_de_charge"))
+
+
+@query("reference_counts")
+def reference_counts(w: Warehouse) -> DataFrame:
+    """Rows of every reference table after its reload."""
+    tables = {"stations": w.inputs.stations(), "projets": w.inputs.planned(), "energie": w.inputs.energy(),
+              "departements": w.departments()}
+    counts = landing.load_references(tables, _scratch(w.store.spark, "references"))
+    return w.store.spark.createDataFrame(list(counts.items()), "reference string, lignes bigint")
+
+
 @source_query("json_latest_resource")
 def json_latest_resource(spark: SparkSession, sf: str) -> DataFrame:
     """Most recent CSV resource per catalogue; the key inside ``props`` makes the format."""

@@ -614,6 +614,19 @@ add("scope_files", """select y.annee, d.code_departement,
 from (select distinct cast(year(o_orderdate) as varchar) as annee from orders) y, seed d""")
 add("json_flatten", """select cast(user_id as varchar) as code_commune,
   event_type as etiquette_dpe, count(*) as nb_dpe from events group by 1, 2""")
+add("json_files", """select cast(user_id as varchar) as code_commune,
+  event_type as etiquette_dpe, count(*) as nb_dpe from events group by 1, 2""")
+add("semicolon_csv", "select nom_gares, mode, res_com, latitude, longitude from v_station_lines")
+add("income_of_departments", """select lpad(cast(c_custkey as varchar), 5, '0') as code_commune, c_name as libelle_commune,
+  cast(c_nationkey as varchar) as nb_menages, cast(c_custkey as varchar) as revenu_median, cast(c_nationkey as varchar) as revenu_d1,
+  cast(c_custkey as varchar) as revenu_d9, c_mktsegment as part_pensions_pct, '2021' as millesime,
+  'https://example.org/filo-2021.csv' as source_url
+from customer where substr(lpad(cast(c_custkey as varchar), 5, '0'), 1, 2) in ('00', '01')""")
+add("landing_provenance", """select count(*) as lignes, count(*) as fichier_nomme, count(*) as date_de_charge
+from v_raw where code_departement = '4'""")
+add("reference_counts", """select 'stations' as reference, count(*) as lignes from v_station_lines union all
+select 'projets', count(*) from v_planned_lines union all select 'energie', count(*) from v_energy_lines union all
+select 'departements', count(*) from region""")
 add("json_latest_resource", """select event_type, url,
   nullif(regexp_extract(url, '(20[0-9][0-9])', 1), '') as millesime
 from (select event_type, 'https://example.org/' || cast(2015 + k % 10 as varchar) || '/'
