@@ -81,11 +81,23 @@ def coverage_shares(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     ])
 
 
-def run_checks(table_name: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    """Report of all checks of a table: row checks share one scan, the others one plan each."""
+def row_marks(checks: list[Check]) -> list[Column]:
+    """What the row checks mark, for a count while the table is written."""
+    return [c.row() for c in checks if c.row is not None]
+
+
+def run_checks(table_name: str, df: DataFrame, checks: list[Check], seen: list[int] | None = None) -> DataFrame:
+    """Report of all checks of a table: row checks share one scan, the others one plan each.
+
+    With ``seen``, the counts of the row checks from the write of the table, there is no scan for them.
+    """
     rows = [c for c in checks if c.row is not None]
     parts = []
-    if rows:
+    if rows and seen is not None:
+        counted = [(c.name, c.column, c.severity, n) for c, n in zip(rows, seen, strict=True)]
+        parts.append(df.sparkSession.createDataFrame(
+            counted, "check_name string, column_name string, severity string, failures bigint"))
+    elif rows:
         entries = F.array(*[
             F.struct(F.lit(c.name).alias("check_name"), F.lit(c.column).alias("column_name"),
                      F.lit(c.severity).alias("severity"), F.col(f"_{i}").alias("failures"))

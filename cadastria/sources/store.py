@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from hashlib import md5
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cadastria.session import delete_at_end, shared_folder
 
@@ -20,17 +21,35 @@ class TableStore:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/tables/{app}/{md5(scope.encode()).hexdigest()[:12]}"
         self._written: set[str] = set()
+        self._watched: dict[str, list[Column]] = {}
+        self._seen: dict[str, list[int]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def watch(self, name: str, marks: list[Column]) -> None:
+        """Count the rows that each of ``marks`` marks while the table is written, if it isn't yet."""
+        if marks and name not in self._written:
+            self._watched[name] = marks
+
+    def seen(self, name: str, marks: int) -> list[int] | None:
+        """What the write of a table counted for so many marks, or None."""
+        found = self._seen.get(name)
+        return found if found is not None and len(found) == marks else None
+
     def table(self, name: str, build: Callable[[], DataFrame],
               partition_by: list[str] | None = None) -> DataFrame:
         if name not in self._written:
-            writer = build().write.mode("overwrite")
+            df, marks = build(), self._watched.get(name, [])
+            counted = Observation()
+            if marks:
+                df = df.observe(counted, *[F.count_if(m).alias(f"_{i}") for i, m in enumerate(marks)])
+            writer = df.write.mode("overwrite")
             if partition_by:
                 writer = writer.partitionBy(*partition_by)
             writer.parquet(self.path(name))
+            if marks:
+                self._seen[name] = [counted.get[f"_{i}"] for i in range(len(marks))]
             delete_at_end(self.spark, self.path(name))
             self._written.add(name)
         return self.spark.read.parquet(self.path(name))

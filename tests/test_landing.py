@@ -285,6 +285,28 @@ def test_checks_report_failures_and_severity(spark):
     assert Q.enforce(report.filter("status != 'error'")).count() == 3
 
 
+def test_row_checks_are_counted_by_the_write(spark):
+    from cadastria.sources.store import TableStore
+
+    df = spark.createDataFrame([("a", 1.0), ("a", -1.0), (None, None), ("c", 0.0)], "k string, v double").repartition(3)
+    found = [Q.not_null("k"), Q.unique("k"), Q.accepted_range("v", 0, inclusive=False, severity="warn"), Q.accepted_values("k", ["a"])]
+    store = TableStore(spark, "observed")
+    store.watch("t", Q.row_marks(found))
+    table = store.table("t", lambda: df)
+    assert store.seen("t", 3) == [1, 2, 1] and store.seen("t", 2) is None
+    # the report is the same, and its row checks need no scan
+    report = lambda seen: sorted(map(tuple, Q.run_checks("t", table, found, seen).collect()))
+    assert report(store.seen("t", 3)) == report(None)
+    only_rows = [c for c in found if c.row is not None]
+    plan = Q.run_checks("t", table, only_rows, store.seen("t", 3))._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
+    # a table that is there already is scanned
+    plain = TableStore(spark, "observed late")
+    plain.table("t", lambda: df)
+    plain.watch("t", Q.row_marks(found))
+    assert plain.seen("t", 3) is None
+
+
 def test_landing_gate_and_freshness(spark):
     from pyspark.sql import functions as F
 
