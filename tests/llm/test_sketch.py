@@ -26,9 +26,62 @@ def test_differences_are_recovered_at_any_size():
 
 def test_too_small_tables_are_seen():
     keys = lists(5, 1, 400)[0]
-    table = sketch.Sketches(1, sketch.CELLS)
-    table.add(np.zeros(len(keys), int), keys)
-    assert len(keys) > 100 and table.peel()[3].tolist() == [0]
+    table = sketch.Sketches.of([keys], [sketch.CELLS // sketch.PARTS])
+    assert len(keys) > 100 and table.recovered() == [None]
+
+
+def test_tables_have_a_cell_for_every_digest():
+    n = np.array([0, 1, 12, 13, 24, 25, 1000, 12 << 20])
+    cells = sketch.part_cells(n) * sketch.PARTS
+    assert cells.tolist() == [12, 12, 12, 24, 24, 48, 1536, 12 << 20]
+
+
+def test_folded_tables_are_the_small_tables():
+    keys = lists(6, 30, 500)
+    small = np.full(30, 8)
+    large = small << np.arange(30) % 5
+    folded = sketch.Sketches.of(keys, large).folded(np.arange(30)[::-1], small)
+    assert folded.texts([0] * 30) == sketch.Sketches.of(keys[::-1], small).texts([0] * 30)
+
+
+def test_fingerprints_are_read_back():
+    keys = [*lists(7, 40, 300), np.zeros(0, np.uint64)]
+    texts = sketch.fingerprints(keys).texts([len(x) for x in keys])
+    tables, counts = sketch.Sketches.read(texts)
+    assert tables.texts(counts) == texts and counts == [len(x) for x in keys]
+
+
+def test_stored_fingerprints_of_versions_tell_what_changed(spark):
+    """Two versions of 60 to 400 sentences: fingerprints alone give the digests, or nothing if too much differs."""
+    pick = random.Random(9)
+    rows, want = [], []
+    for i in range(40):
+        old = [f"Sentence {i} {k} {pick.random()}." for k in range(pick.randrange(60, 400))]
+        new = list(old)
+        for k in pick.sample(range(len(old)), pick.choice([0, 1, 12, 25])):
+            new[k] = f"Changed {pick.random()}."
+        if i % 5 == 4:
+            new = [f"All new {pick.random()}." for _ in range(2 * len(old))]
+        a, b = (sketch.digests(" ".join(x)) for x in (old, new))
+        rows.append((i, *sketch.fingerprints([a, b]).texts([len(a), len(b)])))
+        want.append((set(a.tolist()) - set(b.tolist()), set(b.tolist()) - set(a.tolist()), ratio(set(a.tolist()), set(b.tolist()))))
+    rows += [(40, None, rows[0][1]), (41, None, None)]
+    got = (spark.createDataFrame(rows, "i int, a string, b string").repartition(3)
+           .select("i", sketch.stored_difference("a", "b").alias("d")).orderBy("i").collect())
+    for row, (first, second, like) in zip(got, want):
+        if row["i"] % 5 == 4:
+            assert row["d"]["first"] is row["d"]["likeness"] is None
+        else:
+            assert [{k % 2 ** 64 for k in row["d"][side]} for side in ("first", "second")] == [first, second]
+            assert row["d"]["likeness"] == like
+    assert [r["d"]["likeness"] for r in got[40:]] == [None, None]
+
+
+def test_columns_of_the_same_name_do_no_harm(spark):
+    rows = [(i, prose(i, 5), "x", 1, 2.0, 3) for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fingerprint string, part int, near_next double, __part int")
+    plain = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    assert sorted(sketch.edited_and_next(df).collect()) == sorted(sketch.edited_and_next(plain).collect())
 
 
 def test_likeness():
