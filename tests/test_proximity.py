@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastria.functions.constants import EARTH_RADIUS_M
-from cadastria.operators.proximity import nearest_site, within_radius
+from cadastria.operators.proximity import DEPTH, dealt_points, nearest_site, within_radius
 from cadastria.plans import star
 
 
@@ -82,3 +82,37 @@ def test_grid_wraps_and_holds_at_the_poles(spark, lat, lon):
     near = haversine(a[:, None], b[:, None], c, d) <= 10000.0
     want = {(i, f"s{j}") for i, j in zip(*np.where(near))}
     assert set(zip(got.id, got.name)) == want and len(got) == len(want) > 0
+
+
+@pytest.mark.parametrize("lat,lon", [(48.85, 2.35), (12.0, 180.0), (89.97, 10.0), (-60.0, -180.0), (0.0, 0.0)])
+def test_dense_cells_are_dealt_out_and_lose_no_pair(spark, lat, lon):
+    """A third of the points in one cell, another third at a few metres from each other."""
+    rng = np.random.default_rng(3)
+    n, shares = 3000, 40
+    wide = 0.05 / max(np.cos(np.radians(lat)), 0.01)
+    la = np.concatenate([lat + rng.uniform(-.02, .02, n // 3), lat + .03 + rng.uniform(0, 1e-6, n // 3),
+                         lat + rng.uniform(-.5, .5, n // 3)]).clip(-90, 90)
+    lo = np.concatenate([lon + rng.uniform(-wide, wide, n // 3), lon + rng.uniform(0, 1e-6, n // 3),
+                         lon + rng.uniform(-10 * wide, 10 * wide, n // 3)])
+    lo = (lo + 180) % 360 - 180
+    c = (lat + rng.uniform(-.15, .15, 50)).clip(-90, 90)
+    d = (lon + rng.uniform(-3 * wide, 3 * wide, 50) + 180) % 360 - 180
+    p = spark.createDataFrame(pd.DataFrame({"id": range(n), "lat": la, "lon": lo}))
+    s = spark.createDataFrame(pd.DataFrame({"name": [f"s{i}" for i in range(50)], "s_lat": c, "s_lon": d}))
+    got = within_radius(p, s, 5000.0, ("lat", "lon"), ("s_lat", "s_lon"), shares).toPandas()
+    near = haversine(la[:, None], lo[:, None], c, d) <= 5000.0
+    want = {(i, f"s{j}") for i, j in zip(*np.where(near))}
+    assert set(zip(got.id, got.name)) == want and len(got) == len(want) > 0
+    dealt, quarters = dealt_points(p, 5000.0, ("lat", "lon"), shares)
+    groups = dealt.groupBy("_row", "_col", "_level", "_i", "_j", "_part").count().toPandas()
+    # parts are dealt by hash, so not evenly
+    assert groups["count"].sum() == n and groups["count"].max() <= 1.5 * n / shares
+    assert 1 < quarters.count() <= shares * 4 ** DEPTH
+
+
+def test_points_without_place_and_empty_sides(spark):
+    p = spark.createDataFrame([(1, 48.0, 2.0), (2, None, 2.0), (3, 48.0, None)], "id int, lat double, lon double")
+    s = spark.createDataFrame([("s", 48.0, 2.0), ("t", None, None)], "name string, s_lat double, s_lon double")
+    join = lambda a, b: within_radius(a, b, 1000.0, ("lat", "lon"), ("s_lat", "s_lon")).collect()
+    assert [(r.id, r.name, r.distance_m) for r in join(p, s)] == [(1, "s", 0.0)]
+    assert join(p.limit(0), s) == join(p, s.limit(0)) == []
