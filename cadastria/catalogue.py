@@ -787,7 +787,7 @@ def hedonic_segments(w: Warehouse) -> DataFrame:
 
 @query("hedonic_full")
 def hedonic_full(w: Warehouse) -> DataFrame:
-    return station_effect.station_effect(_station_sales(w))
+    return tidy(station_effect.station_effect(_station_sales(w)))
 
 
 @query("hedonic_equations")

@@ -586,6 +586,14 @@ from (select a.zone, a.type_bien, a.terme as terme_a, b.terme as terme_b, sum(a.
   from hedonic_centred a join hedonic_centred b using (rid)
     left join hedonic_used u on u.zone = a.zone and u.type_bien = a.type_bien and u.terme = a.terme
   where a.terme <> 'y' group by 1, 2, 3, 4)""")
+_EFFECTS = ", ".join(f"(exp(coefficient {sign}) - 1) * 100 as {name}" for name, sign in (
+    ("effet_pct", ""), ("ic95_bas_pct", "- 1.96 * erreur_standard"), ("ic95_haut_pct", "+ 1.96 * erreur_standard")))
+add("hedonic_full", rounded(
+    "zone type_bien variable coefficient~ erreur_standard~ effet_pct~ ic95_bas_pct~ ic95_haut_pct~ n groupes",
+    f"(select *, {_EFFECTS} from hedonic_effects)"))
+add("hedonic_report", f"""select zone, type_bien, variable, {even('effet_pct', 1)} as effet_pct,
+  {even('ic95_bas_pct', 1)} as ic95_bas_pct, {even('ic95_haut_pct', 1)} as ic95_haut_pct, n, groupes
+from (select *, {_EFFECTS} from hedonic_effects) where regexp_matches(variable, '^[0-9]')""")
 # what holds of the boosted model whatever its trees are
 add("prediction_checks", """select unnest(['ventes_predites', 'ventes_en_double',
     'ventes_sans_prediction', 'annees_predites', 'ecarts_faux', 'predictions_non_entieres',
