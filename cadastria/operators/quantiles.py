@@ -61,6 +61,18 @@ def from_counts(counts: DataFrame, keys: list[str], specs: dict[str, Spec],
     return _by_frequency(counts, keys, specs) if bounded else _by_rank(counts, keys, specs)
 
 
+def totals_from_counts(counts: DataFrame, sets: list[list[str]], specs: dict[str, Spec]) -> DataFrame:
+    """Quantiles of bounded values for several groupings of one table of counts.
+
+    One row per grouping (``_set``, its place in ``sets``) and group; keys that a grouping leaves out are NULL.
+    """
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    tagged = counts.withColumn("_set", F.explode(F.lit(list(range(len(sets))))))
+    kept = {k: F.when(F.col("_set").isin([i for i, s in enumerate(sets) if k in s]), F.col(k)).alias(k) for k in keys}
+    rolled = tagged.groupBy("_set", *kept.values(), "_m", "_v").agg(F.sum("_n").alias("_n"))
+    return _by_frequency(rolled, ["_set", *keys], specs)
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], specs: dict[str, Spec],
                     bounded: bool = False) -> DataFrame:
     """One row per group that has a value: ``keys`` and one column per spec (value, probability)."""

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastria.functions import columns as C
-from cadastria.operators.quantiles import exact_quantiles
-from cadastria.session import join_on
+from cadastria.operators.quantiles import exact_quantiles, totals_from_counts, value_counts
+from cadastria.session import checkpointed, join_on
 
 # Model columns and the origin of the continuous time variable.
 CATEGORIES = ["code_departement", "code_commune", "type_bien"]
@@ -54,19 +54,22 @@ def temporal_split(df: DataFrame, year: str = "annee") -> DataFrame:
 # ---- baseline ----------------------------------------------------------------------------
 
 def baseline(train: DataFrame, other: DataFrame, target: str = "prix_m2") -> DataFrame:
-    """Median of commune and type, else of department and type, else of everything."""
+    """Median of commune and type, else of department and type, else of everything.
+
+    One pass over the training rows: prices are counted once, the three medians are roll-ups of the counts.
+    """
+    place, dep, kind = "code_commune", "code_departement", "type_bien"
     price = {"_m": (F.col(target), 0.5)}
+    counts = value_counts(train, [place, dep, kind], price)
+    levels = checkpointed(totals_from_counts(counts, [[place, kind], [dep, kind], []], price))
 
-    def medians(keys: list[str], name: str) -> DataFrame:
-        found = exact_quantiles(train, keys, price, bounded=True)
-        return found.withColumnRenamed("_m", name)
+    def medians(level: int, keys: list[str], name: str) -> DataFrame:
+        return levels.filter(F.col("_set") == level).select(*keys, F.col("_m").alias(name))
 
-    by_place, by_dep = ["code_commune", "type_bien"], ["code_departement", "type_bien"]
-    everything = exact_quantiles(train.withColumn("_all", F.lit(1)), ["_all"], price, bounded=True)
-    overall = everything.select("_m").scalar()
+    overall = medians(2, [], "_m").scalar()
     return (
-        other.join(medians(by_place, "_place"), by_place, "left")
-        .join(medians(by_dep, "_dep"), by_dep, "left")
+        other.join(medians(0, [place, kind], "_place"), [place, kind], "left")
+        .join(medians(1, [dep, kind], "_dep"), [dep, kind], "left")
         .withColumn("prediction_baseline", F.coalesce("_place", "_dep", overall))
         .drop("_place", "_dep")
     )

@@ -10,7 +10,7 @@ from cadastria.operators.grouping import (
     majority_value,
     quantile_class,
 )
-from cadastria.operators.quantiles import approx_quantiles, exact_quantiles, value_bucket
+from cadastria.operators.quantiles import approx_quantiles, exact_quantiles, totals_from_counts, value_bucket, value_counts
 from cadastria.operators import sketches
 from cadastria.operators.rolling import rolling_quantile, windowed_quantile
 
@@ -188,3 +188,20 @@ def test_rank_error(spark):
     row = spark.range(1).select(*[sketches.rank_error(F.lit(0), F.lit(a), F.lit(b), F.lit(10), 0.5).alias(f"e{i}")
                                   for i, (a, b) in enumerate([(4, 6), (6, 7), (2, 4)])]).head()
     assert (row.e0, row.e1, row.e2) == (0.0, pytest.approx(0.1), pytest.approx(0.1))
+
+
+def test_groupings_of_one_count_table_equal_their_own_quantiles(spark):
+    rng = np.random.default_rng(6)
+    pdf = pd.DataFrame({"a": rng.choice(["x", "y", "z"], 900), "b": rng.choice(["p", "q"], 900),
+                        "v": rng.integers(0, 50, 900) / 4.0})
+    pdf.loc[:20, "a"] = None
+    pdf.loc[30:60, "v"] = np.nan
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    specs = {"m": (F.col("v"), 0.5), "q1": (F.col("v"), 0.25), "other": (F.col("v") * 2, 0.5)}
+    sets = [["a", "b"], ["b"], []]
+    got = totals_from_counts(value_counts(df, ["a", "b"], specs), sets, specs).collect()
+    for i, keys in enumerate(sets):
+        rows = {tuple(r[k] for k in keys): (r.m, r.q1, r.other) for r in got if r["_set"] == i}
+        alone = exact_quantiles(df.withColumn("one", F.lit(1)), keys or ["one"], specs, bounded=True).collect()
+        assert rows == {tuple(r[k] for k in keys): (r.m, r.q1, r.other) for r in alone}
+        assert all(r[k] is None for r in got if r["_set"] == i for k in {"a", "b"} - set(keys))
