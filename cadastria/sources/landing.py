@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -27,8 +26,8 @@ def source_file() -> Column:
     return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
 
 
-#: Files whose first lines one job finds, and jobs at a time.
-FILES_A_JOB, JOBS = 64, 4
+#: Files whose first lines are looked for at a time.
+JOBS = 16
 
 
 def file_paths(spark: SparkSession, paths: str | list[str]) -> list[str]:
@@ -39,16 +38,16 @@ def file_paths(spark: SparkSession, paths: str | list[str]) -> list[str]:
 def file_headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
     """The first line of every file that has one.
 
-    A limit on the read of one file stops after its first buffer, packed or not; a read of many files has no limit a file.
-    So a job is the union of such reads, and the names of the files are all that the driver handles.
+    A large file is read as several splits, and only the one at its beginning holds the header. A limit that ends a job takes
+    the splits in their order, so it stops after the first buffer, packed or not; inside a union it would take the line of any
+    split. So there is a small job a file, and the names of the files are all that the driver handles.
     """
-    def first_lines(some: list[str]) -> list[tuple[str, str]]:
-        reads = [spark.read.text(f).limit(1).select(F.lit(f).alias("file"), F.col("value").alias("header")) for f in some]
-        return [tuple(r) for r in reduce(DataFrame.unionAll, reads).collect()]
+    def first_line(file: str) -> list[tuple[str, str]]:
+        beginning = spark.read.text(file).filter(F.col("_metadata.file_block_start") == 0)
+        return [(file, r["value"]) for r in beginning.select("value").limit(1).collect()]
 
-    jobs = [files[i:i + FILES_A_JOB] for i in range(0, len(files), FILES_A_JOB)]
     with ThreadPool(JOBS) as pool:
-        return dict(pair for pairs in pool.map(first_lines, jobs) for pair in pairs)
+        return dict(pair for pairs in pool.map(first_line, files) for pair in pairs)
 
 
 def _split_header(header: str, sep: str) -> list[str]:

@@ -210,6 +210,28 @@ def test_headers_are_found_without_reading_the_files(spark, tmp_path):
     assert input_bytes(spark) - before < 1 << 20
 
 
+def test_header_of_a_file_of_many_splits_is_its_first_line(spark, tmp_path):
+    """Every split has a first row; only the one at the beginning of the file is read for the header."""
+    import time
+    for i in range(2):
+        (tmp_path / f"{i}.csv").write_text(f"a,b,{i}\n" + "1,2,3\n" * (1 << 20))
+    small = {"spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "1k"}
+    was = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        files = landing.file_paths(spark, str(tmp_path))
+        assert spark.read.text(files[0]).rdd.getNumPartitions() > 50
+        time.sleep(1)
+        before = input_bytes(spark)
+        assert sorted(landing.file_headers(spark, files).values()) == ["a,b,0", "a,b,1"]
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    time.sleep(1)
+    assert input_bytes(spark) - before < 1 << 20
+
+
 def test_refresh_follows_the_source(spark, tmp_path):
     inbox, target = tmp_path / "in", str(tmp_path / "out")
     inbox.mkdir()
