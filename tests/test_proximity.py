@@ -116,3 +116,14 @@ def test_points_without_place_and_empty_sides(spark):
     join = lambda a, b: within_radius(a, b, 1000.0, ("lat", "lon"), ("s_lat", "s_lon")).collect()
     assert [(r.id, r.name, r.distance_m) for r in join(p, s)] == [(1, "s", 0.0)]
     assert join(p.limit(0), s) == join(p, s.limit(0)) == []
+
+
+def test_pairs_of_few_points_and_sites_are_dealt_to_many_tasks(spark, monkeypatch):
+    """200 points and 400 sites, a few kB, in one town: no task may hold most of their 80 000 pairs."""
+    monkeypatch.setattr("cadastria.operators.proximity.PAIRS_A_TASK", 4000, raising=False)
+    rng = np.random.default_rng(11)
+    p = pd.DataFrame({"id": range(200), "lat": 48.80 + rng.uniform(0, .05, 200), "lon": 2.30 + rng.uniform(0, .05, 200)})
+    s = pd.DataFrame({"name": [f"s{i}" for i in range(400)], "s_lat": 48.80 + rng.uniform(0, .05, 400), "s_lon": 2.30 + rng.uniform(0, .05, 400)})
+    pairs = within_radius(spark.createDataFrame(p), spark.createDataFrame(s).coalesce(1), 10000.0, ("lat", "lon"), ("s_lat", "s_lon"))
+    held = pairs.groupBy(F.spark_partition_id().alias("task")).count().toPandas()["count"]
+    assert held.sum() == 200 * 400 and held.max() <= 200 * 400 / 4
