@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastria.functions.constants import EARTH_RADIUS_M
+from cadastria.operators import proximity
 from cadastria.operators.proximity import DEPTH, dealt_points, nearest_site, within_radius
 from cadastria.plans import star
 
@@ -127,3 +128,15 @@ def test_pairs_of_few_points_and_sites_are_dealt_to_many_tasks(spark, monkeypatc
     pairs = within_radius(spark.createDataFrame(p), spark.createDataFrame(s).coalesce(1), 10000.0, ("lat", "lon"), ("s_lat", "s_lon"))
     held = pairs.groupBy(F.spark_partition_id().alias("task")).count().toPandas()["count"]
     assert held.sum() == 200 * 400 and held.max() <= 200 * 400 / 4
+
+
+def test_sites_of_one_file_are_copied_to_quarters_in_many_tasks(spark):
+    """400 sites in one partition go to the quarters of 2 000 points: no task may make most of the copies."""
+    rng = np.random.default_rng(12)
+    p = pd.DataFrame({"id": range(2000), "lat": 48.80 + rng.uniform(0, .05, 2000), "lon": 2.30 + rng.uniform(0, .05, 2000)})
+    s = pd.DataFrame({"name": [f"s{i}" for i in range(400)], "s_lat": 48.80 + rng.uniform(0, .05, 400), "s_lon": 2.30 + rng.uniform(0, .05, 400)})
+    _, quarters = dealt_points(spark.createDataFrame(p), 10000.0, ("lat", "lon"), 64)
+    around = proximity.site_cells(spark.createDataFrame(s).coalesce(1), 10000.0, ("s_lat", "s_lon"))
+    copies = proximity.dealt_sites(around, quarters, 10000.0, ("s_lat", "s_lon"), 16)
+    made = copies.groupBy(F.spark_partition_id().alias("task")).count().toPandas()["count"]
+    assert made.sum() > 9 * 400 and made.max() <= made.sum() / 4
