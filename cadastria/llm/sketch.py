@@ -39,6 +39,8 @@ PARTS = 3
 CELL = np.dtype([("n", "<i4"), ("key", "<u8"), ("check", "<u8")])
 DIFFERENCE = (T.StructType().add("first", T.ArrayType(T.LongType())).add("second", T.ArrayType(T.LongType()))
               .add("likeness", T.DoubleType()))
+#: Bytes of text that are compared at once, besides a single longer text.
+COMPARED_BYTES = 1 << 20
 PARAGRAPH_END = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -247,7 +249,8 @@ def beside_next(docs: DataFrame) -> DataFrame:
 
     doc_id is cut at quantiles into as many stretches as there are shuffle partitions. Only the first
     id of each stretch reaches the driver. A stretch ends with a copy of the next one's first row, the
-    last with a copy of the very first. Adds ``__part`` and ``__ahead``; each stretch is in one partition.
+    last with a copy of the very first. Adds ``__part`` and ``__ahead``; each stretch has a partition of its
+    own, where hashing would put several in one. Only rows without an id may share one with the first stretch.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     quantiles = docs.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
@@ -270,7 +273,7 @@ def beside_next(docs: DataFrame) -> DataFrame:
                     F.struct(ahead.alias("p"), F.lit(1).alias("a")))
     spread = placed.withColumn("__spot", F.explode(F.filter(spots, lambda s: s["p"].isNotNull())))
     spread = spread.withColumn("__part", F.col("__spot.p")).withColumn("__ahead", F.col("__spot.a")).drop("__spot")
-    return spread.repartition(parts, "__part").sortWithinPartitions(
+    return spread.repartitionById(parts, "__part").sortWithinPartitions(
         "__part", "__ahead", F.desc_nulls_last("doc_id"), "text")
 
 
@@ -303,7 +306,7 @@ def edited_and_next(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likenesses."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row of its stretch so far: the row after it is still to come
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", COMPARED_BYTES):
             ready = []
             for doc_id, text, part, ahead in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "part", "ahead"))):
                 if held and held[2] == part:

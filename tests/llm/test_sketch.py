@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from cadastria.llm import sketch
 
@@ -139,3 +140,23 @@ def test_many_partitions(spark):
     want = {a[0]: hashlib.sha256((a[1][:len(a[1]) - len(a[1]) // 2] + b[1][:len(a[1]) // 2]).encode()).hexdigest()
             for a, b in zip(ordered, ordered[1:] + ordered[:1])}
     assert {r["doc_id"]: r["edited_sha256"] for r in sketch.edited_and_next(df).collect()} == want
+
+
+def test_no_two_stretches_share_a_partition(spark):
+    """As many stretches as partitions, of about equal length: hashed, some partitions would get several and others none."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = spark.range(1000 * parts).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    dealt = sketch.beside_next(docs).groupBy(F.spark_partition_id().alias("p")).agg(F.count_distinct("__part").alias("k"), F.count("*").alias("n"))
+    got = {r["p"]: (r["k"], r["n"]) for r in dealt.collect()}
+    assert len(got) == parts and {k for k, _ in got.values()} == {1}
+    assert max(n for _, n in got.values()) < 2000
+
+
+def test_documents_are_beside_the_next_across_slices(spark):
+    """A stretch has more text than is compared at once, so the next document often is in another slice."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = [f"{i}. " * 20000 + f"\nEnd {i}." for i in range(30 * parts)]
+    assert sum(map(len, texts)) > 2 * parts * sketch.COMPARED_BYTES
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    want = {i: hashlib.sha256(sketch.edit(t, texts[i - 1]).encode()).hexdigest() for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["edited_sha256"] for r in sketch.edited_and_next(df).select("doc_id", "edited_sha256").collect()} == want
