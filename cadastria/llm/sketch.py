@@ -261,7 +261,8 @@ def beside_next(docs: DataFrame) -> DataFrame:
     placed = (cut.transform(docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))))
               .withColumn("__part", F.when(F.col("doc_id").isNull(), last).otherwise(last - 1 - F.col("__cut").cast("int")))
               .drop("__id", "__cut"))
-    heads = placed.groupBy("__part").agg(F.max("doc_id").alias("first")).orderBy("__part").collect()
+    # a row for each stretch: ordered here, as a sort in Spark takes two more rounds of tasks
+    heads = sorted(placed.groupBy("__part").agg(F.max("doc_id").alias("first")).collect(), key=lambda head: head["__part"])
     firsts: list = [None] * last
     before: list = [None] * last
     for i, head in enumerate(heads):
