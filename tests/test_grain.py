@@ -139,3 +139,38 @@ def test_lines_without_an_id_are_one_sale(spark):
     sales = sale_grain(spark.createDataFrame([line, other, ("m", *line[1:])], ", ".join(columns))).collect()
     got = {r.id_mutation: (r.nb_parcelles, r.nb_maisons, r.valeur_fonciere, r.type_bien) for r in sales}
     assert got == {None: (2, 2, 100.0, "Multi-logements"), "m": (1, 1, 100.0, "Maison")}
+
+
+def test_branches_written_one_by_one_give_the_same_sales(spark, hot_lines):
+    """The last step then joins one row a sale from each branch; no shuffle of lines is left in it."""
+    from cadastria.session import stored
+
+    kept = []
+
+    def keep(df):
+        kept.append(stored(df))
+        return kept[-1]
+
+    staged = sale_grain(hot_lines, keep)
+    n = hot_lines.select("id_mutation").distinct().count()
+    assert [df.count() for df in kept] == [hot_lines.distinct().count(), n, n, n, n]
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in plan and "Aggregate" not in plan
+    order = lambda df: sorted(map(tuple, df.collect()))
+    assert order(staged) == order(sale_grain(hot_lines))
+
+
+def test_the_landed_stand_in_is_not_shuffled_once_more(spark):
+    from cadastria.plans.warehouse import standin_inputs, standin_warehouse
+
+    sf = "/root/testdata/sf0.001"
+    w = standin_warehouse(spark, sf)
+    asked = []
+    w.store.table = lambda name, build, *a: asked.append((name, build())) or asked[-1][1]
+    try:
+        w.raw_lines()
+    finally:
+        del w.store.table
+    (name, df), = asked
+    assert name == "raw_lines" and "REPARTITION" not in df._jdf.queryExecution().executedPlan().toString()
+    assert df.columns == standin_inputs(spark, sf).lines().columns
