@@ -35,6 +35,8 @@ LABELERS = ["check", "gazetteer", "cue", "edges", "shape"]
 #: Characters before a candidate in which cue words count.
 CONTEXT = 24
 THRESHOLD = 0.5
+#: Bits that tell every task which texts may have candidates; they change cost, not results.
+SLOTS = 1 << 23
 
 #: The base patterns, with possessive repeats and starts at the edge of a run, so that a search is
 #: linear; they match what the plain patterns match. The last four have no base pattern.
@@ -265,13 +267,18 @@ def score(c: Column, weights: np.ndarray) -> Column:
     return 1 / (1 + F.exp(-total))
 
 
+def slot(text: Column) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(SLOTS))
+
+
 def with_spans(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``candidates`` and their spans: ``base``, and ``all``, which has the classifier's too."""
     digest = F.substring(F.sha2(F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8"), 256), 1, 32)
     # equal texts have equal candidates
     scanned = with_candidates(docs.select(F.col(text).alias("text")), "text").filter(F.size("candidates") > 0)
     found = written(scanned.groupBy(F.substring(F.sha2(F.encode("text", "UTF-8"), 256), 1, 32).alias("__digest"))
-                    .agg(F.first("candidates").alias("candidates"), F.count("*").alias("copies")), "candidates")
+                    .agg(F.first("candidates").alias("candidates"), F.count("*").alias("copies"),
+                         F.first(slot(F.col("text"))).alias("slot")), "candidates")
     seen = patterns(found)
     truth, _ = reliabilities(seen)
     weights = span_classifier(seen, truth)
@@ -283,11 +290,19 @@ def with_spans(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD
     chosen = found.select(F.col("__digest"), F.col("candidates").alias("__found"),
                           bare(F.filter("candidates", is_base)).alias("__base"),
                           bare(F.filter("candidates", lambda c: is_base(c) | is_new(c))).alias("__all"))
-    none = lambda c: F.coalesce(c, F.array().cast(chosen.schema[c].dataType))
-    marked = docs.withColumn("__own", digest)
-    return marked.join(chosen, F.col("__own") == F.col("__digest"), "left").withColumns(
-        {"candidates": none("__found"), "base": none("__base"), "all": none("__all")}).drop(
-        "__own", "__digest", "__found", "__base", "__all")
+    empty = lambda c: F.array().cast(chosen.schema[c].dataType)
+    added = {"candidates": "__found", "base": "__base", "all": "__all"}
+    # at most SLOTS / 64 rows: texts without candidates, which are most, stay where they are
+    words = found.groupBy((F.col("slot") / 64).cast("long").alias("__word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("slot") % 64).cast("int"))).alias("__bits"))
+    looked = docs.withColumn("__slot", slot(F.coalesce(F.col(text), F.lit("")))).join(
+        F.broadcast(words), (F.col("__slot") / 64).cast("long") == F.col("__word"), "left")
+    met = F.coalesce(F.getbit("__bits", F.col("__slot") % 64) == 1, F.lit(False))
+    inner = ["__slot", "__word", "__bits"]
+    some = looked.filter(met).drop(*inner).withColumn("__own", digest).join(
+        chosen, F.col("__own") == F.col("__digest"), "left").withColumns(
+        {c: F.coalesce(x, empty(x)) for c, x in added.items()}).drop("__own", "__digest", *added.values())
+    return looked.filter(~met).drop(*inner).withColumns({c: empty(x) for c, x in added.items()}).union(some)
 
 
 def as_text(spans: Column) -> Column:

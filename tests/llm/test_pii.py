@@ -145,3 +145,17 @@ def test_clean_documents_are_left_alone(spark):
     assert sum(bool(k & {"password", "account", "local_phone"}) for k in kinds) <= 0.001 * len(rows)
     hexes = [r for r in rows if "secret" in r["all"]]
     assert hexes and all('token = "' in r["text"].lower() for r in hexes)
+
+
+def test_texts_without_candidates_are_not_shuffled(spark, edges, monkeypatch):
+    """They pass beside the join; what shares a slot with a text that has candidates meets it, and nothing changes."""
+    order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    found = pii.with_spans(edges)
+    plan = found._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    rest, some = (plan.children().apply(i).toString() for i in (0, 1))
+    assert "__own" not in rest and "__own" in some
+    assert "SortMergeJoin" not in rest and rest.count("Join") == 1 and "strategy=broadcast" in rest
+    got, hidden = order(found), order(pii.redacted_docs(edges))
+    monkeypatch.setattr(pii, "SLOTS", 1)
+    assert order(pii.with_spans(edges)) == got and order(pii.redacted_docs(edges)) == hidden
